@@ -178,4 +178,5 @@ def key_sql(column: str) -> str:
         steps = "list_value(" + ", ".join(f"struct_pack(a := {q(c)}, b := {q(p)})" for c, p in many) + ")"
         inner = f"CASE WHEN regexp_matches({column}, '[{''.join(c for c, _ in many)}]') THEN list_reduce(list_prepend({column}, list_transform({steps}, lambda x: x.a || chr(1) || x.b)), lambda acc, x: replace(acc, split_part(x, chr(1), 1), split_part(x, chr(1), 2))) ELSE {column} END"
     once = f"translate({inner}, {q(src)}, {q(dst)})"
-    return f"trim(translate(nfc_normalize({once}), {q(src)}, {q(dst)}))"
+    full = f"trim(translate(nfc_normalize({once}), {q(src)}, {q(dst)}))"
+    return f"CASE WHEN regexp_matches({column}, '[^\u4e00-\u9fff -~、]') THEN {full} ELSE trim({column}) END"
