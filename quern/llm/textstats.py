@@ -124,7 +124,9 @@ def is_prose(counts: np.ndarray) -> np.ndarray:
     visible = c[:, :CLASSES].sum(1) - c[:, SPACE] - c[:, TAB]
     chinese = (han >= latin) & (han >= 2) & (c[:, RARE] * 10 <= han) & (c[:, FUNC] * 40 >= han)
     english = (han < latin) & (c[:, WORDS] >= 3) & (c[:, COMMON] * 8 >= c[:, WORDS])
-    odd = (c[:, PIPE] >= 2) | (c[:, TAB] >= 2) | (c[:, ANGLE] >= 4) | (c[:, SIGN] * 20 > 3 * visible) | (c[:, REPEAT] * 5 > 2 * visible) | (c[:, FOREIGN] * 10 > 3 * visible)
+    # menus and the like: separators or gaps, but no punctuation of sentences
+    menu = (c[:, STOP] + c[:, COMMA] == 0) & (c[:, GAPS] + c[:, ANGLE] + c[:, PIPE] + c[:, SIGN] >= 1)
+    odd = menu | (c[:, PIPE] >= 2) | (c[:, TAB] >= 2) | (c[:, ANGLE] >= 4) | (c[:, SIGN] * 20 > 3 * visible) | (c[:, REPEAT] * 5 > 2 * visible) | (c[:, FOREIGN] * 10 > 3 * visible)
     return (chinese | english) & ~odd
 
 
