@@ -55,11 +55,11 @@ def bare(col: Column) -> Column:
 
 
 def categories(sides: Sequence[DataFrame], limit: int = CATEGORY_LIMIT) -> list[str]:
-    """The category vocabulary in look-alike form (a low-cardinality column;
-    its size is checked)."""
+    """The category vocabulary of keyed rows (a low-cardinality column; its size
+    is checked)."""
     both = None
     for df in sides:
-        one = df.select(F.replace(key(F.col("school_cat")), F.lit(" "), F.lit("")).alias("c"))
+        one = df.select("c")
         both = one if both is None else both.unionByName(one)
     found = at_most(both.where("c <> ''").distinct(), limit)
     if found is None:
@@ -84,11 +84,14 @@ def _lookup(col: Column, mapping: dict[str, str]) -> Column:
     return F.try_element_at(F.create_map(*pairs), F.coalesce(col, F.lit("")))
 
 
-def offers(rows: DataFrame, row_id: str, category: dict[str, str]) -> DataFrame:
-    """(row_id, school, cat, stem, direction) of every row with a school and a
-    major; look-alike form, '' where there is no category or direction."""
-    school, major = key(F.col("school")), key(F.col("major"))
-    base = rows.select(F.col(row_id), school.alias("s"), major.alias("m"), F.replace(key(F.col("school_cat")), F.lit(" "), F.lit("")).alias("c"))
+def keyed(rows: DataFrame, row_id: str) -> DataFrame:
+    """(row_id, s, m, c): school, major and category in look-alike form."""
+    return rows.select(F.col(row_id), key(F.col("school")).alias("s"), key(F.col("major")).alias("m"), F.replace(key(F.col("school_cat")), F.lit(" "), F.lit("")).alias("c"))
+
+
+def offers(base: DataFrame, row_id: str, category: dict[str, str]) -> DataFrame:
+    """(row_id, school, cat, stem, direction) of every keyed row with a school
+    and a major; '' where there is no category or direction."""
     named = F.array_remove(F.array(*[F.lit(c) for c in category] or [F.lit("")]), "")
     parts = base.select(
         row_id, "s", "m", "c",
@@ -183,13 +186,14 @@ def link(plan_rows: DataFrame, history_rows: DataFrame, rename_rows: DataFrame,
     default category; an empty side gives no rows. Repeated rows are all linked.
     Extra columns are ignored. Only confirmed renames (``is_rename`` true) count.
     """
-    category = canonical_categories(categories([plan_rows, history_rows]))
-    plan = settle(offers(plan_rows, plan_id, category), "plan-offers")
-    past = settle(offers(history_rows, past_id, category), "past-offers")
+    plan_keys, past_keys = settle(keyed(plan_rows, plan_id), "plan-keys"), settle(keyed(history_rows, past_id), "past-keys")
+    category = canonical_categories(categories([plan_keys, past_keys]))
+    plan = settle(offers(plan_keys, plan_id, category), "plan-offers")
+    past = settle(offers(past_keys, past_id, category), "past-offers")
     attrs = ["school", "cat", "stem", "direction"]
-    po = plan.groupBy(*attrs).agg(F.count(F.lit(1)).alias("pn"))
-    ho = past.groupBy(*attrs).agg(F.count(F.lit(1)).alias("hn"))
-    stands = settle(school_names(plan, past, renames(rename_rows)), "schools")
+    po = settle(plan.groupBy(*attrs).agg(F.count(F.lit(1)).alias("pn")), "plan-kinds")
+    ho = settle(past.groupBy(*attrs).agg(F.count(F.lit(1)).alias("hn")), "past-kinds")
+    stands = settle(school_names(po, ho, settle(renames(rename_rows), "renames")), "schools")
 
     # offers by the school they may belong to
     pm = po.join(stands, "school").withColumnsRenamed({"school": "p_school", "stem": "p_stem", "direction": "p_direction", "similarity": "p_sim"})
@@ -208,7 +212,7 @@ def link(plan_rows: DataFrame, history_rows: DataFrame, rename_rows: DataFrame,
     short = _short_slips(odd_h, pm, cols)
     agree = (F.col("p_direction") == "") | (F.col("h_direction") == "") | (F.col("p_direction") == F.col("h_direction"))
     edges = exact.unionByName(slips).unionByName(slips_p).unionByName(short).where(agree)
-    edges = edges.groupBy(*[c for c in cols]).agg(F.max("m_sim").alias("m_sim"))
+    edges = settle(edges.groupBy(*cols).agg(F.max("m_sim").alias("m_sim")), "candidates")
 
     # weights by rarity of what is shared: the school, the major, the direction
     by_school = po.groupBy("school").agg(F.sum("pn").alias("sn")).withColumnRenamed("school", "p_school")
@@ -217,7 +221,7 @@ def link(plan_rows: DataFrame, history_rows: DataFrame, rename_rows: DataFrame,
     weighted = edges.join(by_school, "p_school").join(by_stem, "p_stem")
     same_direction = F.when((F.col("p_direction") != "") & (F.col("p_direction") == F.col("h_direction")), 1.0).otherwise(0.0)
     weight = F.col("p_sim") * F.col("h_sim") * (1 + _weight(F.col("sn"), total)) + F.col("m_sim") * (1 + _weight(F.col("mn"), total)) + same_direction
-    weighted = weighted.withColumn("w", weight).drop("sn", "mn")
+    weighted = settle(weighted.withColumn("w", weight).drop("sn", "mn"), "weights")
     best_h = weighted.groupBy("h_school", "cat", "h_stem", "h_direction").agg(F.max("w").alias("bh"))
     best_p = weighted.groupBy("p_school", "cat", "p_stem", "p_direction").agg(F.max("w").alias("bp"))
     pruned = weighted.join(best_h, ["h_school", "cat", "h_stem", "h_direction"]).join(best_p, ["p_school", "cat", "p_stem", "p_direction"])
