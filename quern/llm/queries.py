@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quern.llm import oracles
 from quern.llm.leakage import EDITED_SHARE, RUN, leaks
 from quern.llm.linkage import link
 from quern.llm.lookalikes import plain_spelling
@@ -90,4 +91,4 @@ QUERIES = {f.__name__: f for f in (p1_found, p1_plain, p2_found, p2_linked, p6_p
 
 
 def oracle() -> dict[str, str]:
-    return {}
+    return oracles.oracle()

@@ -272,7 +272,7 @@ def derive(totals: np.ndarray) -> pd.DataFrame:
     visible = chars - t[:, SPACE] - t[:, TAB]
     words = han + t[:, WORDS]
     with np.errstate(divide="ignore", invalid="ignore"):
-        ratio = lambda a, b: np.where(b > 0, np.round(a / b, 6), np.nan)
+        ratio = lambda a, b: np.where(b > 0, np.floor(a / b * 1e6 + 0.5) / 1e6, np.nan)
         apart = ratio(t[:, APART], chars)
         out = pd.DataFrame({
             "n_chars": chars, "word_count": words,
