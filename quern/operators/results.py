@@ -105,8 +105,9 @@ def major_row() -> Column:
 
 def hierarchical(grid: DataFrame, results: DataFrame) -> DataFrame:
     """Every row of the source grid with seven result columns, filled on offer
-    rows; out-of-scope offers get only their stage."""
-    first = first_per_key(results.where("src_row_idx <> 0").select("src_row_idx", "J", "T", "log"), ["src_row_idx"], F.monotonically_increasing_id())
+    rows; out-of-scope offers get only their stage. Should a row have several
+    results, the one with the least note stands; row 0 doesn't count."""
+    first = first_per_key(results.where("src_row_idx <> 0").select("src_row_idx", "J", "T", "log"), ["src_row_idx"], F.col("log"))
     joined = grid.join(first.withColumnRenamed("src_row_idx", "_row_idx").withColumn("_there", F.lit(True)), "_row_idx", "left")
     there = F.col("_there").isNotNull() & major_row()
     beyond = major_row() & F.col("_there").isNull() & has_any(F.coalesce("c1", F.lit("")), OUT_OF_SCOPE_WORDS)

@@ -61,18 +61,22 @@ def rename_candidates(plan: DataFrame, past: DataFrame, *, topk: int = 5, measur
 
     Pairs are found by two neighbouring characters in common, an equi-join, so
     names without any such pair aren't proposed. ``measure`` is ``ratio``
-    (Ratcliff-Obershelp) or ``edit`` (1 - edit distance / longer length).
+    (Ratcliff-Obershelp), ``edit`` (1 - edit distance / longer length) or
+    ``pairs`` (Dice's share of neighbouring characters in common).
     ``topk`` of 0 or less keeps all.
     """
     new = new_schools(plan, past).select(F.col("school").alias("new_school"))
     old = gone_schools(plan, past).select(F.col("school").alias("old_school"))
     grams = lambda c: F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length(c) - 1, F.lit(1))), lambda i: F.substring(F.col(c), i, F.lit(2))))
-    pairs = new.select("new_school", F.explode(grams("new_school")).alias("_g")).join(old.select("old_school", F.explode(grams("old_school")).alias("_g")), "_g").select("new_school", "old_school").distinct()
-    if measure == "edit":
+    shared = new.select("new_school", F.explode(grams("new_school")).alias("_g")).join(old.select("old_school", F.explode(grams("old_school")).alias("_g")), "_g")
+    pairs = shared.groupBy("new_school", "old_school").agg(F.count(F.lit(1)).alias("_n"))
+    if measure == "pairs":
+        sim = F.round(2 * F.col("_n") / (F.size(grams("new_school")) + F.size(grams("old_school"))), 6)
+    elif measure == "edit":
         sim = F.round(1 - F.levenshtein("new_school", "old_school") / F.greatest(F.length("new_school"), F.length("old_school")), 6)
     else:
         sim = ro_similarity(F.col("new_school"), F.col("old_school"))
-    scored = pairs.withColumn("similarity", sim)
+    scored = pairs.withColumn("similarity", sim).drop("_n")
     place = F.row_number().over(Window.partitionBy("new_school").orderBy(F.desc("similarity"), "old_school"))
     ranked = scored.withColumn("place", place)
     return ranked.where(F.col("place") <= topk) if topk > 0 else ranked
