@@ -10,6 +10,9 @@ from quern.functions.text import OUT_OF_SCOPE_WORDS, has_any, subject_differs
 from quern.operators.match import MATCH, locate_past
 from quern.operators.order import first_per_key
 
+# First cells of a header row.
+HEADER_CELLS = ("batch", "批次")
+
 _SHORT = [c for c in MATCH if c != "matched_major"]
 
 
@@ -54,7 +57,7 @@ def demote(results: DataFrame, verdicts: DataFrame) -> tuple[DataFrame, DataFram
 def core_groups(past: DataFrame) -> DataFrame:
     """(school, core, n, names): number of past rows per core and the first
     three majors by position. The three smallest positions are found before
-    anything is collected."""
+    anything is collected. Rows with a NULL school or core belong to no group."""
     counted = past.groupBy("school", "core").agg(F.count(F.lit(1)).alias("n"))
     rank = F.row_number().over(Window.partitionBy("school", "core").orderBy("hist_pos"))
     top = past.select("school", "core", "hist_pos", "major").withColumn("_r", rank).where("_r <= 3")
@@ -99,8 +102,9 @@ def second_look_items(matches: DataFrame, plan: DataFrame, past: DataFrame, *, a
 
 
 def major_row() -> Column:
-    """Grid rows that hold an offer: both code and name are there."""
-    return (F.coalesce("c4", F.lit("")) != "") & (F.coalesce("c5", F.lit("")) != "")
+    """Grid rows that hold an offer: both code and name are there, and it isn't
+    the header."""
+    return ~F.coalesce("c0", F.lit("")).isin(*HEADER_CELLS) & (F.coalesce("c4", F.lit("")) != "") & (F.coalesce("c5", F.lit("")) != "")
 
 
 def hierarchical(grid: DataFrame, results: DataFrame) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from quern.functions.numeric import line_diff, number
 from quern.functions.text import category_in_major, core_name, fold, out_of_scope, split_school, strip_asides
+from quern.operators.results import HEADER_CELLS
 
 # Batches as the sources name them, and columns of the history
 # sheet (0-based) and of the supplement's lowest scores.
@@ -22,7 +23,6 @@ EARLY = "提前批"
 PAST_KEPT = ("常规批一段线", "提前批")
 SUPPLEMENT_KEPT = ("本科提前批A类", "本科提前批B类")
 LOW_COLUMNS = {2025: 10, 2024: 14, 2023: 18}
-HEADER_CELLS = ("batch", "批次")
 #: Feeds come one after the other: a past row's place is its feed times this.
 FEED = 1_000_000_000_000
 
