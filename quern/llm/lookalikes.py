@@ -179,8 +179,8 @@ def plain_spelling(rows: DataFrame, text: str, *, variants_limit: int = VARIANTS
     """Rows of ``rows`` whose ``text`` differs from its plain spelling, with
     that spelling in the column ``plain``.
 
-    Columns of ``rows`` are kept (``plain`` and names beginning with ``_`` are
-    the operator's own). NULL has no spelling and gives no row; '' is plain; a
+    Columns of ``rows`` are kept, but for ``plain`` and names beginning with
+    ``_``, which are the operator's own. NULL has no spelling and gives no row; '' is plain; a
     text of blanks and invisible characters is spelled ''. Repeated rows give
     repeated results. Word frequencies are taken over all rows.
 
@@ -190,7 +190,7 @@ def plain_spelling(rows: DataFrame, text: str, *, variants_limit: int = VARIANTS
     automaton while there are at most ``variants_limit``; beyond that, words of
     the suspicious rows are joined with the variants instead.
     """
-    rows = rows.drop("plain").where(F.col(text).isNotNull())
+    rows = rows.select(*[F.col(f"`{c}`") for c in rows.columns if c != "plain" and not c.startswith("_")]).where(F.col(text).isNotNull())
     odd = rows.where(suspicious(F.col(text)))
     # how often each character that may represent a class occurs: one row per
     # code point, so at most the size of Unicode

@@ -42,7 +42,8 @@ CLASSES = 18
 WORDS, COMMON, REPEAT, GAPS = range(CLASSES, CLASSES + 4)
 WIDTH = CLASSES + 4
 
-_ENGLISH = re.compile(r"[A-Za-z]+(?:'[A-Za-z]+)?")
+_ENGLISH = re.compile(r"[A-Za-z]+")
+_VISIBLE_END = " \u3000\xa0\r\x0b\x0c\t"
 
 
 @lru_cache(maxsize=1)
@@ -166,11 +167,12 @@ class Fragment:
     right: a word or a run of blanks in two pieces counts once, a character
     equal to the one before counts as a repeat."""
 
-    __slots__ = ("counts", "edge")
+    __slots__ = ("counts", "edge", "last")
 
-    def __init__(self, counts: np.ndarray, edge: str):
+    def __init__(self, counts: np.ndarray, edge: str, last: str):
         self.counts = counts
-        self.edge = edge  # the whole piece up to 2 * _KEEP, else both its ends
+        self.edge = edge  # the whole piece up to 4 * _KEEP, else both its ends
+        self.last = last  # its last visible character
 
     @classmethod
     def of(cls, text: str) -> Fragment:
@@ -178,7 +180,7 @@ class Fragment:
         # words count in every piece; whether they matter is judged on the line
         words = _ENGLISH.findall(text)
         counts[0, WORDS], counts[0, COMMON] = len(words), sum(w.lower() in ENGLISH_COMMON for w in words)
-        return cls(counts[0], cls.ends(text))
+        return cls(counts[0], cls.ends(text), text.rstrip(_VISIBLE_END)[-1:])
 
     @staticmethod
     def ends(text: str) -> str:
@@ -201,21 +203,19 @@ class Fragment:
             counts[k] += n(left + right) - n(left) - n(right)
         full = "\n" not in self.edge and "\n" not in other.edge and len(self.edge) + len(other.edge) <= 4 * _KEEP
         if full:
-            return Fragment(counts, self.edge + other.edge)
+            return Fragment(counts, self.edge + other.edge, other.last or self.last)
         head = self.edge[: 2 * _KEEP].split("\n")[0]
         head = head if len(head) >= 2 * _KEEP or "\n" in self.edge else (self.edge + other.edge.split("\n")[0])[: 2 * _KEEP]
         tail = other.edge[-2 * _KEEP :].split("\n")[-1]
         tail = tail if len(tail) >= 2 * _KEEP or "\n" in other.edge else (self.edge.split("\n")[-1] + other.edge)[-2 * _KEEP :]
-        return Fragment(counts, head + "\n" + tail)
+        return Fragment(counts, head + "\n" + tail, other.last or self.last)
 
     def line(self) -> np.ndarray:
         """The totals of this piece as a whole line."""
         c = self.counts.copy()
         if not (c[CONS] + c[VOWEL]) * 2 > c[HAN] + c[FUNC] + c[RARE]:
             c[WORDS] = c[COMMON] = 0
-        end = self.edge.rstrip(" \u3000\xa0\r\x0b\x0c\t")[-1:]
-        lut = classes()
-        closed = bool(end) and end != "\n" and ord(end) < 0x10000 and lut[ord(end)] == STOP
+        closed = bool(self.last) and ord(self.last) < 0x10000 and classes()[ord(self.last)] == STOP
         return judged(c[None, :], np.array([closed]))[0]
 
 
@@ -249,17 +249,17 @@ class Partial:
 
 def _pack(p: Partial) -> dict:
     return {
-        "inner": p.inner.tolist(), "head": p.head.counts.tolist(), "head_edge": p.head.edge,
-        "tail": None if p.tail is None else p.tail.counts.tolist(), "tail_edge": None if p.tail is None else p.tail.edge,
+        "inner": p.inner.tolist(), "head": p.head.counts.tolist(), "head_edge": p.head.edge, "head_last": p.head.last,
+        "tail": None if p.tail is None else p.tail.counts.tolist(), "tail_edge": None if p.tail is None else p.tail.edge, "tail_last": None if p.tail is None else p.tail.last,
     }
 
 
 def _unpack(r) -> Partial:
-    tail = None if r.tail is None else Fragment(np.asarray(r.tail, np.int64), r.tail_edge)
-    return Partial(np.asarray(r.inner, np.int64), Fragment(np.asarray(r.head, np.int64), r.head_edge), tail)
+    tail = None if r.tail is None else Fragment(np.asarray(r.tail, np.int64), r.tail_edge, r.tail_last)
+    return Partial(np.asarray(r.inner, np.int64), Fragment(np.asarray(r.head, np.int64), r.head_edge, r.head_last), tail)
 
 
-_STATE = "inner array<long>, head array<long>, head_edge string, tail array<long>, tail_edge string"
+_STATE = "inner array<long>, head array<long>, head_edge string, head_last string, tail array<long>, tail_edge string, tail_last string"
 _STATS = "n_chars long, word_count long, mean_word_length double, symbol_ratio double, punct_line_share double, common_word_share double, apart_share double, kind string"
 
 
@@ -322,7 +322,9 @@ def text_statistics(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     short = base.where(F.length("_t") <= chunk).mapInPandas(direct, schema)
 
     # long texts: linear cut into chunks, counted where they are, merged by key
-    cut = base.where(F.length("_t") > chunk).select(doc_id, F.monotonically_increasing_id().alias("_row"), F.posexplode(F.regexp_extract_all("_t", F.lit(f"(?s).{{1,{chunk}}}"), 0)).alias("_at", "_part"))
+    # (the row's number is taken before its chunks are exploded)
+    long = base.where(F.length("_t") > chunk).withColumn("_row", F.monotonically_increasing_id())
+    cut = long.select(doc_id, "_row", F.posexplode(F.regexp_extract_all("_t", F.lit(f"(?s).{{1,{chunk}}}"), 0)).alias("_at", "_part"))
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
