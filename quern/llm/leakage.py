@@ -3,9 +3,10 @@
 Texts are compared as their letters and digits alone (width and case folded).
 From each test item, n-gram seeds are chosen so that every run of ``run``
 characters holds one; among the choices the rarest in the whole corpus are
-taken. An automaton of the seeds joins documents to items while they are read,
-banded Smith-Waterman alignment scores each candidate pair, and the longest
-unbroken common run is measured beside it. Documents are never shuffled.
+taken. Rolling hashes of all n-grams of a batch of documents are joined with
+those of the seeds while the documents are read, banded Smith-Waterman
+alignment scores each candidate pair, and the longest unbroken common run is
+measured beside it. Documents are never shuffled.
 """
 
 from __future__ import annotations
@@ -14,7 +15,6 @@ import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
 
-import ahocorasick
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -64,10 +64,8 @@ def fold_text(s: str) -> str:
     return "".join(fold_char(c) for c in s)
 
 
-def fold_texts(texts: list[str]) -> list[str]:
-    """``fold_text`` of every text, vectorised over the batch."""
-    if not texts:
-        return []
+def fold_batch(texts: list[str]) -> np.ndarray:
+    """The folded characters of all texts, vectorised, 1 between two texts."""
     lut, many = _folds()
     joined = "\x01".join(t.replace("\x01", " ") if "\x01" in t else t for t in texts)
     codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
@@ -82,7 +80,70 @@ def fold_texts(texts: list[str]) -> list[str]:
         beyond = codes >= 0x10000
         out = np.where(beyond, codes, lut[np.where(beyond, 0, codes)])
         out[codes == 1] = 1
-    return out[out > 0].astype(np.uint32).tobytes().decode("utf-32-le", "surrogatepass").split("\x01")
+    return out[out > 0].astype(np.uint32)
+
+
+def fold_texts(texts: list[str]) -> list[str]:
+    """``fold_text`` of every text."""
+    return decode(fold_batch(texts)).split("\x01") if texts else []
+
+
+def decode(codes: np.ndarray) -> str:
+    return codes.tobytes().decode("utf-32-le", "surrogatepass")
+
+
+_BASE = np.uint64(0x9E3779B97F4A7C15)  # odd, so it has an inverse
+_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
+_POWERS: dict[str, np.ndarray] = {}
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    have = _POWERS.get("up")
+    if have is None or len(have) < n:
+        size = max(n, 1 << 16)
+        for name, base in (("up", _BASE), ("down", _INVERSE)):
+            p = np.full(size, base, np.uint64)
+            p[0] = 1
+            _POWERS[name] = np.multiply.accumulate(p)
+    return _POWERS["up"][:n], _POWERS["down"][:n]
+
+
+def gram_hashes(codes: np.ndarray, gram: int) -> np.ndarray:
+    """Hash of the n-gram at every place: the same for equal n-grams wherever
+    they stand. A prefix sum modulo 2^64, so the cost doesn't grow with n."""
+    n = len(codes)
+    if n < gram:
+        return np.zeros(0, np.uint64)
+    up, down = _powers(n)
+    sums = np.zeros(n + 1, np.uint64)
+    np.cumsum((codes.astype(np.uint64) + np.uint64(7)) * down, out=sums[1:])
+    h = (sums[gram:] - sums[:-gram]) * up[: n - gram + 1]
+    h ^= h >> np.uint64(29)
+    h *= np.uint64(0xBF58476D1CE4E5B9)
+    return h ^ (h >> np.uint64(32))
+
+
+class SeedIndex:
+    """Sorted hashes of a block's n-grams, with a bitmap in front."""
+
+    BITS = 22
+
+    def __init__(self, grams: list[str]):
+        codes = np.frombuffer("".join(grams).encode("utf-32-le"), np.uint32).reshape(len(grams), -1)
+        hashes = np.array([gram_hashes(c, len(c))[0] for c in codes], np.uint64)
+        self.order = np.argsort(hashes)
+        self.hashes = hashes[self.order]
+        self.map = np.zeros(1 << self.BITS, bool)
+        self.map[self.hashes >> np.uint64(64 - self.BITS)] = True
+
+    def find(self, codes: np.ndarray, gram: int) -> tuple[np.ndarray, np.ndarray]:
+        """(places, n-gram numbers) of hash matches; the caller compares texts."""
+        h = gram_hashes(codes, gram)
+        at = np.flatnonzero(self.map[h >> np.uint64(64 - self.BITS)])
+        k = np.searchsorted(self.hashes, h[at])
+        k[k == len(self.hashes)] = 0
+        hit = self.hashes[k] == h[at]
+        return at[hit], self.order[k[hit]]
 
 
 def seed_places(costs: list[int], step: int, reach: int, last: int) -> list[int]:
@@ -148,18 +209,14 @@ def common_run(a: str, i: int, b: str, j: int, n: int) -> tuple[int, int]:
     return i - lo, lo + hi
 
 
-_KEPT: dict[str, ahocorasick.Automaton] = {}
+_KEPT: dict[str, SeedIndex] = {}
 
 
-def _automaton(token: str, grams: dict[str, object]) -> ahocorasick.Automaton:
-    """The automaton of a block, built once per Python worker."""
+def _index(token: str, grams: list[str]) -> SeedIndex:
+    """The index of a block, built once per Python worker."""
     if token not in _KEPT:
         _KEPT.clear()
-        a = ahocorasick.Automaton()
-        for g, v in grams.items():
-            a.add_word(g, (g, v))
-        a.make_automaton()
-        _KEPT[token] = a
+        _KEPT[token] = SeedIndex(grams)
     return _KEPT[token]
 
 
@@ -221,17 +278,17 @@ def _search(corpus: DataFrame, block: list[tuple[int, str]], doc_id: str, item_i
     for _, s in block:
         for p in range(0, len(s) - gram + 1, step):
             grams.setdefault(s[p : p + gram], len(grams))
-    every, token = spark.sparkContext.broadcast(grams), uuid.uuid4().hex
+    every, token = spark.sparkContext.broadcast(list(grams)), uuid.uuid4().hex
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        a = _automaton(token, every.value)
+        index = _index(token, every.value)
         n = np.zeros(len(every.value), np.int64)
         for pdf in batches:
             texts = pdf[text].tolist()
             for lo, hi in _slices(texts):
-                for s in fold_texts(texts[lo:hi]):
-                    for _, (_, k) in a.iter(s):
-                        n[k] += 1
+                # by hash alone: a rarity need not be exact
+                _, k = index.find(fold_batch(texts[lo:hi]), gram)
+                n += np.bincount(k, minlength=len(n))
         k = np.flatnonzero(n)
         yield pd.DataFrame({"k": k, "n": n[k]})
 
@@ -247,30 +304,44 @@ def _search(corpus: DataFrame, block: list[tuple[int, str]], doc_id: str, item_i
             seeds.setdefault(s[p : p + gram], []).append((at, p))
     if not any(times[grams[g]] for g in seeds):
         return None
-    chosen, seed_token = spark.sparkContext.broadcast((block, {g: v for g, v in seeds.items() if times[grams[g]]})), uuid.uuid4().hex
+    # seeds that occur nowhere in the corpus need not be looked for
+    used = [g for g in seeds if times[grams[g]]]
+    chosen, seed_token = spark.sparkContext.broadcast((block, used, [seeds[g] for g in used])), uuid.uuid4().hex
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        own, places = chosen.value
-        a = _automaton(seed_token, places)
+        own, names, places = chosen.value
+        index = _index(seed_token, names)
         for pdf in batches:
             texts = pdf[text].tolist()
             for lo, hi in _slices(texts):
                 rows, pairs = [], []
-                for i, s in enumerate(fold_texts(texts[lo:hi]), lo):
+                codes = fold_batch(texts[lo:hi])
+                at_code, seed = index.find(codes, gram)
+                begins = np.concatenate(([0], np.flatnonzero(codes == 1) + 1))
+                doc = np.searchsorted(begins, at_code, "right") - 1
+                by_doc: dict[int, list[tuple[int, int]]] = {}
+                for d, p, k in zip(doc.tolist(), at_code.tolist(), seed.tolist()):
+                    by_doc.setdefault(d, []).append((p, k))
+                for d, hits in by_doc.items():
+                    begin = begins[d]
+                    s = decode(codes[begin : begins[d + 1] - 1] if d + 1 < len(begins) else codes[begin:])
+                    i = lo + d
                     best: dict[int, tuple[int, int]] = {}
                     done: dict[tuple[int, int], int] = {}
-                    for end, (g, where) in a.iter(s):
-                        j = end - len(g) + 1
-                        for at, p in where:
-                            if done.get((at, j - p), -1) >= p + len(g):
+                    for place, k in hits:
+                        j, g = int(place - begin), names[k]
+                        if s[j : j + gram] != g:
+                            continue
+                        for at, p in places[k]:
+                            if done.get((at, j - p), -1) >= p + gram:
                                 continue  # inside a run already measured
-                            start, n = common_run(own[at][1], p, s, j, len(g))
+                            start, n = common_run(own[at][1], p, s, j, gram)
                             done[(at, j - p)] = start + n
                             if n > best.get(at, (0, 0))[0]:
                                 best[at] = (n, j - p)
-                    for at, (n, d) in best.items():
+                    for at, (n, diagonal) in best.items():
                         rows.append((i, at, n))
-                        pairs.append((own[at][1], s, d))
+                        pairs.append((own[at][1], s, diagonal))
                 scores = align(pairs)
                 if rows:
                     yield pd.DataFrame({

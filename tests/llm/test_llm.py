@@ -296,6 +296,17 @@ def test_fold_texts():
     assert leakage.fold_texts(texts) == [leakage.fold_text(t.replace("\x01", " ")) for t in texts]
 
 
+def test_seed_index():
+    rnd = random.Random(1)
+    texts = ["".join(rnd.choices("甲乙ab", k=rnd.randrange(40))) for _ in range(50)]
+    grams = sorted({t[i : i + 5] for t in texts for i in range(len(t) - 4)})[::3]
+    codes = leakage.fold_batch(texts)
+    whole = leakage.decode(codes)
+    at, k = leakage.SeedIndex(grams).find(codes, 5)
+    known = {g: i for i, g in enumerate(grams)}
+    assert list(zip(at.tolist(), k.tolist())) == [(i, known[whole[i : i + 5]]) for i in range(len(whole) - 4) if whole[i : i + 5] in known]
+
+
 def naive_sw(a, b):
     h = np.zeros((len(a) + 1, len(b) + 1), int)
     for i in range(1, len(a) + 1):
