@@ -66,20 +66,21 @@ def fold_text(s: str) -> str:
 
 def fold_batch(texts: list[str]) -> np.ndarray:
     """The folded characters of all texts, vectorised, 1 between two texts."""
-    lut, many = _folds()
+    lut, _ = _folds()
     joined = "\x01".join(t.replace("\x01", " ") if "\x01" in t else t for t in texts)
     codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
     beyond = codes >= 0x10000
     out = lut[np.where(beyond, 0, codes)]
     out[codes == 1] = 1
     hard = beyond | (out == _MANY)
-    if hard.any():  # rare: characters of several letters, or beyond the first plane
-        swap = {c: fold_char(chr(c)) for c in np.unique(codes[hard]).tolist()}
-        joined = joined.translate(swap)
-        codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
-        beyond = codes >= 0x10000
-        out = np.where(beyond, codes, lut[np.where(beyond, 0, codes)])
-        out[codes == 1] = 1
+    places = np.flatnonzero(hard)
+    if len(places):  # rare: characters of several letters, or beyond the first plane
+        swap = {c: np.array([ord(x) for x in fold_char(chr(c))], np.uint32) for c in np.unique(codes[places]).tolist()}
+        pieces, at = [], 0
+        for i, c in zip(places.tolist(), codes[places].tolist()):
+            pieces += [out[at:i], swap[c]]
+            at = i + 1
+        out = np.concatenate([*pieces, out[at:]])
     return out[out > 0].astype(np.uint32)
 
 
