@@ -57,6 +57,9 @@ RADICALS = {
 # Signs that look like the hyphen-minus.
 HYPHENS = "‐‑‒–−⁃˗﹘﹣－"
 
+# Characters that are their own key, by themselves.
+_SIMPLE = r"^[\x21-\x7E一-鿿、]*$"
+
 SCRIPTS = (("L", "LATIN"), ("G", "GREEK"), ("C", "CYRILLIC"), ("A", "ARMENIAN"))
 
 
@@ -157,10 +160,11 @@ def key(col: Column) -> Column:
     NULL stays NULL; outer blanks are cut; '' stays ''. Not meant for display.
     """
     src, dst, hard = _jvm_tables()
-    mapped = F.translate(col, src, dst)
+    odd = ~col.rlike(_SIMPLE)  # most strings are plain and need no table
+    mapped = F.translate(F.when(odd, col), src, dst)
     # variation selectors are marks too, but translate has already removed them
     rest = _key_slow(F.when(mapped.rlike(hard), col))
-    return F.trim(F.coalesce(rest, mapped))
+    return F.coalesce(F.trim(rest), F.trim(mapped), col)
 
 
 @F.pandas_udf(StringType())
