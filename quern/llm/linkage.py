@@ -34,6 +34,7 @@ DIRECTION_ENDINGS = ("专业方向", "方向", "班")
 DEFAULT_CATEGORY = "普通计划"
 SHORT_WORDINGS = (("科学与技术", "科技"),)
 
+OFFER = ["school", "cat", "stem", "direction"]
 CATEGORY_LIMIT = 2000
 CONVERGE_ROUNDS = 6
 WEIGHT_SHARE = 0.5
@@ -51,7 +52,8 @@ def bare(col: Column) -> Column:
     out = col
     for _ in range(3):
         out = F.regexp_replace(out, _BRACKET, "")
-    return F.regexp_replace(F.regexp_replace(out, r"\(.*$", ""), r"[) ]", "")
+    out = F.regexp_replace(F.regexp_replace(out, r"\(.*$", ""), r"[) ]", "")
+    return F.when(col.rlike("[() ]"), out).otherwise(col)
 
 
 def categories(sides: Sequence[DataFrame], limit: int = CATEGORY_LIMIT) -> list[str]:
@@ -90,8 +92,9 @@ def keyed(rows: DataFrame, row_id: str) -> DataFrame:
 
 
 def offers(base: DataFrame, row_id: str, category: dict[str, str]) -> DataFrame:
-    """(row_id, school, cat, stem, direction) of every keyed row with a school
-    and a major; '' where there is no category or direction."""
+    """(row_id, school, cat, stem, direction, o1, o2) of every keyed row with a
+    school and a major; '' where there is no category or direction. o1 and o2
+    are a 128-bit hash of the four, the offer's id in the joins to come."""
     named = F.array_remove(F.array(*[F.lit(c) for c in category] or [F.lit("")]), "")
     parts = base.select(
         row_id, "s", "m", "c",
@@ -112,7 +115,8 @@ def offers(base: DataFrame, row_id: str, category: dict[str, str]) -> DataFrame:
         stem.alias("stem"),
         F.lower(F.regexp_replace(F.coalesce(F.get(direction, F.lit(0)), F.lit("")), ending, "")).alias("direction"),
     )
-    return out.where((F.col("school") != "") & (F.col("stem") != ""))
+    four = [F.col(c) for c in OFFER]
+    return out.where((F.col("school") != "") & (F.col("stem") != "")).withColumns({"o1": F.xxhash64(*four), "o2": F.xxhash64(F.lit("2"), *four)})
 
 
 def slip_keys(name: Column) -> Column:
@@ -190,61 +194,62 @@ def link(plan_rows: DataFrame, history_rows: DataFrame, rename_rows: DataFrame,
     category = canonical_categories(categories([plan_keys, past_keys]))
     plan = settle(offers(plan_keys, plan_id, category), "plan-offers")
     past = settle(offers(past_keys, past_id, category), "past-offers")
-    attrs = ["school", "cat", "stem", "direction"]
-    po = settle(plan.groupBy(*attrs).agg(F.count(F.lit(1)).alias("pn")), "plan-kinds")
-    ho = settle(past.groupBy(*attrs).agg(F.count(F.lit(1)).alias("hn")), "past-kinds")
+    po = settle(plan.groupBy(*OFFER, "o1", "o2").agg(F.count(F.lit(1)).alias("pn")), "plan-kinds")
+    ho = settle(past.select(*OFFER, "o1", "o2").distinct(), "past-kinds")
     stands = settle(school_names(po, ho, settle(renames(rename_rows), "renames")), "schools")
 
-    # offers by the school they may belong to
-    pm = po.join(stands, "school").withColumnsRenamed({"school": "p_school", "stem": "p_stem", "direction": "p_direction", "similarity": "p_sim"})
-    hm = ho.join(stands, "school").withColumnsRenamed({"school": "h_school", "stem": "h_stem", "direction": "h_direction", "similarity": "h_sim"})
+    # offers by the school they may belong to; a plan offer with the weights of
+    # what it can share: the rarer its school and its major, the more they tell
+    total = F.lit(float(po.agg(F.sum("pn")).first()[0] or 1))
+    by_school = po.groupBy("school").agg(_weight(F.sum("pn"), total).alias("ws"))
+    by_stem = po.groupBy("stem").agg(_weight(F.sum("pn"), total).alias("wm"))
+    pm = po.join(by_school, "school").join(by_stem, "stem").join(stands, "school").select(
+        "meant", "cat", "stem", "direction", "ws", "wm", F.col("school").alias("p_school"), F.col("similarity").alias("p_sim"), F.col("o1").alias("p1"), F.col("o2").alias("p2")
+    )
+    hm = ho.join(stands, "school").select(
+        "meant", "cat", "stem", "direction", F.col("school").alias("h_school"), F.col("similarity").alias("h_sim"), F.col("o1").alias("h1"), F.col("o2").alias("h2")
+    )
     pm, hm = settle(pm, "plan-meant"), settle(hm, "past-meant")
 
     # candidate edges: the same meant school and category, and a shared major key
-    cols = ["p_school", "p_stem", "p_direction", "h_school", "h_stem", "h_direction", "cat", "meant", "p_sim", "h_sim", "pn", "hn"]
-    exact = hm.join(pm.withColumn("h_stem", F.col("p_stem")), ["meant", "cat", "h_stem"]).select(*cols, F.lit(1.0).alias("m_sim"))
-    # a major that no plan row knows may be a slip; so may the reverse
+    same = (F.col("p.direction") == "") | (F.col("h.direction") == "") | (F.col("p.direction") == F.col("h.direction"))
+    both = (F.col("p.direction") == F.col("h.direction")).alias("same_direction")
+    told = ((F.col("p.direction") != "") & (F.col("p.direction") == F.col("h.direction"))).alias("shared_direction")
+    cols = ["p1", "p2", "h1", "h2", "p_school", "h_school", "meant", "p_sim", "h_sim", "ws", "wm"]
+    exact = hm.alias("h").join(pm.alias("p"), ["meant", "cat", "stem"]).where(same).select(*cols, both, told, F.lit(1.0).alias("m_sim"))
+    # a major that the other side doesn't know may be a slip: slips are looked
+    # for once per distinct major, then joined with the offers
     stems_p, stems_h = po.select("stem").distinct(), ho.select("stem").distinct()
-    odd_h = hm.join(stems_p.withColumnRenamed("stem", "h_stem"), "h_stem", "left_anti")
-    odd_p = pm.join(stems_h.withColumnRenamed("stem", "p_stem"), "p_stem", "left_anti")
-    slips = slip_pairs(odd_h, pm, "h_stem", "p_stem", ["meant", "cat"]).select(*cols, F.lit(SLIP_SIMILARITY).alias("m_sim"))
-    slips_p = slip_pairs(odd_p, hm, "p_stem", "h_stem", ["meant", "cat"]).select(*cols, F.lit(SLIP_SIMILARITY).alias("m_sim"))
-    short = _short_slips(odd_h, pm, cols)
-    agree = (F.col("p_direction") == "") | (F.col("h_direction") == "") | (F.col("p_direction") == F.col("h_direction"))
-    edges = exact.unionByName(slips).unionByName(slips_p).unionByName(short).where(agree)
-    edges = settle(edges.groupBy(*cols).agg(F.max("m_sim").alias("m_sim")), "candidates")
-
-    # weights by rarity of what is shared: the school, the major, the direction
-    by_school = po.groupBy("school").agg(F.sum("pn").alias("sn")).withColumnRenamed("school", "p_school")
-    by_stem = po.groupBy("stem").agg(F.sum("pn").alias("mn")).withColumnRenamed("stem", "p_stem")
-    total = F.lit(float(po.agg(F.sum("pn")).first()[0] or 1))
-    weighted = edges.join(by_school, "p_school").join(by_stem, "p_stem")
-    same_direction = F.when((F.col("p_direction") != "") & (F.col("p_direction") == F.col("h_direction")), 1.0).otherwise(0.0)
-    weight = F.col("p_sim") * F.col("h_sim") * (1 + _weight(F.col("sn"), total)) + F.col("m_sim") * (1 + _weight(F.col("mn"), total)) + same_direction
-    weighted = settle(weighted.withColumn("w", weight).drop("sn", "mn"), "weights")
-    best_h = weighted.groupBy("h_school", "cat", "h_stem", "h_direction").agg(F.max("w").alias("bh"))
-    best_p = weighted.groupBy("p_school", "cat", "p_stem", "p_direction").agg(F.max("w").alias("bp"))
-    pruned = weighted.join(best_h, ["h_school", "cat", "h_stem", "h_direction"]).join(best_p, ["p_school", "cat", "p_stem", "p_direction"])
-    pruned = settle(pruned.where((F.col("w") >= weight_share * F.col("bh")) | (F.col("w") >= weight_share * F.col("bp"))).drop("bh", "bp"), "edges")
-
-    accepted = _propagate(pruned, rounds)
-    linked = accepted.select(
-        F.col("p_school"), F.col("cat"), F.col("p_stem"), F.col("p_direction"), F.col("h_school"), F.col("h_stem"), F.col("h_direction"), "confidence"
-    )
-    rows_p = plan.withColumnsRenamed({"school": "p_school", "stem": "p_stem", "direction": "p_direction"})
-    rows_h = past.withColumnsRenamed({"school": "h_school", "stem": "h_stem", "direction": "h_direction"})
-    out = linked.join(rows_p, ["p_school", "cat", "p_stem", "p_direction"]).join(rows_h, ["h_school", "cat", "h_stem", "h_direction"])
-    return out.select(plan_id, past_id, "confidence")
-
-
-def _short_slips(odd_h: DataFrame, pm: DataFrame, cols: list[str]) -> DataFrame:
-    """Slips inside a short wording: compared with the short form of a major."""
-    out = None
+    odd_h, odd_p = stems_h.join(stems_p, "stem", "left_anti"), stems_p.join(stems_h, "stem", "left_anti")
+    meant_h = slip_pairs(odd_h.withColumnRenamed("stem", "h_stem"), _wordings(stems_p), "h_stem", "form").select("h_stem", F.col("stem").alias("p_stem"))
+    meant_p = slip_pairs(odd_p.withColumnRenamed("stem", "p_stem"), _wordings(stems_h), "p_stem", "form").select(F.col("stem").alias("h_stem"), "p_stem")
+    meant = settle(meant_h.unionByName(meant_p).distinct(), "slips")
+    slipped = hm.withColumnRenamed("stem", "h_stem").join(meant, "h_stem").withColumnRenamed("p_stem", "stem")
+    slips = slipped.alias("h").join(pm.alias("p"), ["meant", "cat", "stem"]).where(same).select(*cols, both, told, F.lit(SLIP_SIMILARITY).alias("m_sim"))
+    name = F.col("p_sim") * F.col("h_sim")
+    weight = name * (1 + F.col("ws")) + F.col("m_sim") * (1 + F.col("wm")) + F.when(F.col("shared_direction"), 1.0).otherwise(0.0)
+    edges = exact.unionByName(slips).select(
+        "p1", "p2", "h1", "h2", "p_school", "h_school", "meant", name.alias("start"), "m_sim", "same_direction", weight.alias("w")
+    )
+    edges = settle(edges, "candidates")
+
+    # weighted node pruning at both ends
+    best_h = edges.groupBy("h1", "h2").agg(F.max("w").alias("bh"))
+    best_p = edges.groupBy("p1", "p2").agg(F.max("w").alias("bp"))
+    kept = edges.join(best_h, ["h1", "h2"]).join(best_p, ["p1", "p2"]).where((F.col("w") >= weight_share * F.col("bh")) | (F.col("w") >= weight_share * F.col("bp")))
+    linked = _propagate(settle(kept.drop("bh", "bp"), "edges"), rounds)
+    rows_p = plan.select(plan_id, F.col("o1").alias("p1"), F.col("o2").alias("p2"))
+    rows_h = past.select(past_id, F.col("o1").alias("h1"), F.col("o2").alias("h2"))
+    return linked.join(rows_p, ["p1", "p2"]).join(rows_h, ["h1", "h2"]).select(plan_id, past_id, "confidence")
+
+
+def _wordings(stems: DataFrame) -> DataFrame:
+    """(stem, form): every major in its long wording and, where there is one,
+    in its short one."""
+    forms = [F.col("stem")]
     for long, short in SHORT_WORDINGS:
-        p = pm.where(F.col("p_stem").endswith(long)).withColumn("p_short", F.regexp_replace("p_stem", f"{long}$", short))
-        one = slip_pairs(odd_h, p, "h_stem", "p_short", ["meant", "cat"]).select(*cols, F.lit(SLIP_SIMILARITY).alias("m_sim"))
-        out = one if out is None else out.unionByName(one)
-    return out
+        forms.append(F.regexp_replace("stem", f"{long}$", short))
+    return stems.select("stem", F.explode(F.array_distinct(F.array(*forms))).alias("form"))
 
 
 def _propagate(edges: DataFrame, rounds: int) -> DataFrame:
@@ -257,23 +262,21 @@ def _propagate(edges: DataFrame, rounds: int) -> DataFrame:
     Stops as soon as no doubtful name changes its choice.
     """
     pair = ["h_school", "p_school", "meant"]
-    scored = edges.withColumn("school_score", F.col("p_sim") * F.col("h_sim"))
+    scored = edges.withColumn("school_score", F.col("start"))
     chosen_before = None
     for _ in range(rounds):
-        scored = scored.withColumn("score", F.col("school_score") * F.col("m_sim"))
-        support = scored.groupBy(*pair).agg(F.sum(F.col("score") * F.col("w")).alias("sup"), F.max(F.col("p_sim") * F.col("h_sim")).alias("start"))
+        weighed = F.col("school_score") * F.col("m_sim") * F.col("w")
+        support = scored.groupBy(*pair).agg(F.sum(weighed).alias("sup"), F.max("start").alias("start"))
         whole = support.groupBy("h_school").agg(F.sum("sup").alias("all"))
-        rescored = support.join(whole, "h_school").select(*pair, "start", F.when(F.col("start") >= 1, F.lit(1.0)).otherwise((F.col("start") + F.col("sup") / F.col("all")) / 2).alias("school_score"))
-        rescored = settle(rescored, "school-scores")
+        refined = F.when(F.col("start") >= 1, F.lit(1.0)).otherwise((F.col("start") + F.col("sup") / F.col("all")) / 2)
+        rescored = settle(support.join(whole, "h_school").select(*pair, "start", refined.alias("school_score")), "school-scores")
         scored = edges.join(rescored.drop("start"), pair)
         doubtful = rescored.where("start < 1").groupBy("h_school").agg(F.max(F.struct("school_score", "p_school", "meant")).alias("b"))
         chosen = doubtful.agg(F.sum(F.xxhash64("h_school", "b.p_school").cast("decimal(38,0)")).alias("c"), F.count(F.lit(1)).alias("n")).first()
-        if chosen_before is not None and tuple(chosen) == chosen_before or chosen["n"] == 0:
+        if chosen["n"] == 0 or tuple(chosen) == chosen_before:
             break
         chosen_before = tuple(chosen)
-    scored = scored.withColumn("score", F.col("school_score") * F.col("m_sim"))
-    best = scored.groupBy("h_school", "cat", "h_stem", "h_direction").agg(F.max("m_sim").alias("best_m"), F.max("school_score").alias("best_s"))
-    kept = scored.join(best, ["h_school", "cat", "h_stem", "h_direction"]).where((F.col("m_sim") == F.col("best_m")) & (F.col("school_score") >= F.col("best_s") - 1e-9))
-    both_directions = F.when(F.col("p_direction") == F.col("h_direction"), 1.0).otherwise(0.95)
-    out = kept.withColumn("confidence", F.round(F.col("score") * both_directions, 4))
-    return out.groupBy("p_school", "cat", "p_stem", "p_direction", "h_school", "h_stem", "h_direction").agg(F.max("confidence").alias("confidence"))
+    best = scored.groupBy("h1", "h2").agg(F.max("m_sim").alias("best_m"), F.max("school_score").alias("best_s"))
+    kept = scored.join(best, ["h1", "h2"]).where((F.col("m_sim") == F.col("best_m")) & (F.col("school_score") >= F.col("best_s") - 1e-9))
+    confidence = F.round(F.col("school_score") * F.col("m_sim") * F.when(F.col("same_direction"), 1.0).otherwise(0.95), 4)
+    return kept.groupBy("p1", "p2", "h1", "h2").agg(F.max(confidence).alias("confidence"))
