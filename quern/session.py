@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,8 +28,27 @@ def build_session(app: str = "quern", cores: str | int = "*", **conf: str) -> Sp
     return builder.getOrCreate()
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Makes this package importable in Python workers that don't have it: its
+    source goes to the executors as a zip file, once per application."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    _SHIPPED.add(context.applicationId)
+    here = Path(__file__).resolve().parent
+    path = os.path.join(tempfile.mkdtemp(prefix="quern-"), "quern.zip")
+    with zipfile.ZipFile(path, "w") as out:
+        for f in sorted(here.rglob("*.py")):
+            out.write(f, f.relative_to(here.parent))
+    context.addPyFile(path)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The whole of one parquet table; column pruning is left to Catalyst."""
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
