@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from quern.functions.lookalike import HAN_LOOKALIKES, LATIN_LOOKALIKES, plain_table
+from quern.functions.lookalike import HAN_LOOKALIKES, LATIN_LOOKALIKES, key_sql, plain_table
 from quern.llm.leakage import RUN
+from quern.llm.linkage import ASIDE_WORDS, DEFAULT_CATEGORY, DIRECTION_ENDINGS, SHORT_WORDINGS
 from quern.llm.textstats import CHINESE_COMMON, ENGLISH_COMMON
 
 
@@ -86,6 +87,63 @@ def p8_stats() -> str:
       CASE WHEN visible = 0 THEN 'blank' WHEN apart * 2 > n_chars THEN 'apart' ELSE 'prose' END AS kind FROM s"""
 
 
+def _bare(x: str) -> str:
+    inner = x
+    for _ in range(3):
+        inner = f"regexp_replace({inner}, '\\([^()]*\\)', '', 'g')"
+    return f"regexp_replace(regexp_replace({inner}, '\\(.*$', ''), '[) ]', '', 'g')"
+
+
+def _slip(a: str, b: str) -> str:
+    """One character left out, or two neighbours exchanged."""
+    out = lambda t, s: f"len(list_filter(generate_series(1, length({t})), lambda i: substring({t}, 1, i - 1) || substring({t}, i + 1) = {s})) > 0"
+    swap = f"len(list_filter(generate_series(1, length({a}) - 1), lambda i: substring({a}, 1, i - 1) || substring({a}, i + 1, 1) || substring({a}, i, 1) || substring({a}, i + 2) = {b})) > 0"
+    return f"{a} <> {b} AND CASE length({a}) - length({b}) WHEN 1 THEN {out(a, b)} WHEN -1 THEN {out(b, a)} WHEN 0 THEN {swap} ELSE false END"
+
+
+def p2_found() -> str:
+    """The rules of a match, pair by pair within a school: where several schools
+    are a slip away with the same similarity, all of them count here."""
+    cut = lambda xs: f"list_transform({xs}, lambda x: replace(x, ' ', ''))"
+    inner = lambda x: cut(f"regexp_extract_all({x}, '\\(([^()]*)\\)', 1)")
+    keyed = lambda t, i: f"SELECT {i} AS id, {key_sql('school')} AS s, {key_sql('major')} AS m, coalesce(replace({key_sql('school_cat')}, ' ', ''), '') AS c FROM {t}"
+    long, short = SHORT_WORDINGS[0]
+    stem = f"regexp_replace(regexp_replace({_bare('m')}, '^(.+)类$', '\\1'), '{short}$', '{long}')"
+
+    def offers(k: str) -> str:
+        own = f"list_filter(list_transform(list_concat([c], {inner('s')}, {inner('m')}), lambda x: coalesce(vm[x], '')), lambda x: x <> '')"
+        direction = f"list_filter({inner('m')}, lambda x: x <> '' AND NOT list_contains(vl, x) AND NOT starts_with(x, '含') AND NOT regexp_matches(x, '{'|'.join(ASIDE_WORDS)}'))"
+        return f"""SELECT * FROM (SELECT id, {_bare('s')} AS school, coalesce(({own})[1], '') AS cat, {stem} AS stem,
+          lower(regexp_replace(coalesce(({direction})[1], ''), '(?:{'|'.join(DIRECTION_ENDINGS)})$', '')) AS direction FROM {k}, VM WHERE s IS NOT NULL AND m IS NOT NULL) WHERE school <> '' AND stem <> ''"""
+
+    renamed = lambda n, prior: f"{n} AS (SELECT school, coalesce(new, meant) AS meant, similarity FROM {prior} LEFT JOIN R ON R.old = {prior}.meant)"
+    agree = "(p.direction = '' OR h.direction = '' OR p.direction = h.direction)"
+    form = f"unnest([stem, regexp_replace(stem, '{long}$', '{short}')])"
+    return f"""WITH
+PK AS MATERIALIZED ({keyed('plan_rows', 'src_row_idx')}), HK AS MATERIALIZED ({keyed('history_rows', 'hist_pos')}),
+V AS (SELECT DISTINCT c FROM (SELECT c FROM PK UNION ALL SELECT c FROM HK) WHERE c <> ''),
+VC AS (SELECT a.c, CASE WHEN a.c = '{DEFAULT_CATEGORY}' THEN '' ELSE arg_max(b.c, lpad(CAST(length(b.c) AS VARCHAR), 6, '0') || b.c) END AS canon FROM V a JOIN V b ON contains(b.c, a.c) GROUP BY a.c),
+VM AS MATERIALIZED (SELECT map(list(c), list(canon)) AS vm, list(c) AS vl FROM VC),
+P AS MATERIALIZED ({offers('PK')}), H AS MATERIALIZED ({offers('HK')}),
+R AS MATERIALIZED (SELECT DISTINCT {_bare(key_sql('old_school'))} AS old, {_bare(key_sql('new_school'))} AS new FROM rename_rows WHERE is_rename AND old_school <> '' AND new_school <> '' AND old_school <> new_school),
+A AS MATERIALIZED (SELECT school, count(DISTINCT side) AS n, min(side) AS side, school IN (SELECT old FROM R UNION SELECT new FROM R) AS told
+  FROM (SELECT school, 'plan' AS side FROM P UNION ALL SELECT school, 'past' FROM H UNION ALL SELECT old, NULL FROM R UNION ALL SELECT new, NULL FROM R) GROUP BY 1),
+S1 AS (SELECT school, side FROM A WHERE n = 1 AND NOT told),
+AN AS (SELECT school AS anchor, 'both' AS aside FROM A WHERE n = 2 OR told UNION ALL SELECT school, side FROM S1),
+T0 AS (SELECT school, school AS meant, 1.0 AS similarity FROM A UNION ALL SELECT school, anchor, 0.8 FROM S1 JOIN AN ON side <> aside AND abs(length(school) - length(anchor)) <= 1 AND {_slip('school', 'anchor')}),
+{renamed('T1', 'T0')}, {renamed('T2', 'T1')}, T AS MATERIALIZED (SELECT school, meant, max(similarity) AS similarity FROM T2 GROUP BY 1, 2),
+PM AS MATERIALIZED (SELECT P.*, meant, similarity AS sim FROM P JOIN T USING (school)), HM AS MATERIALIZED (SELECT H.*, meant, similarity AS sim FROM H JOIN T USING (school)),
+SP AS (SELECT DISTINCT stem FROM P), SH AS (SELECT DISTINCT stem FROM H),
+OH AS (SELECT stem FROM SH WHERE stem NOT IN (SELECT stem FROM SP)), OP AS (SELECT stem FROM SP WHERE stem NOT IN (SELECT stem FROM SH)),
+M AS MATERIALIZED (SELECT stem AS hs, stem AS ps, 1.0 AS ms FROM SH UNION
+  SELECT DISTINCT o.stem, v.stem, 0.8 FROM OH o JOIN (SELECT stem, {form} AS f FROM SP) v ON abs(length(o.stem) - length(f)) <= 1 AND {_slip('o.stem', 'f')} UNION
+  SELECT DISTINCT v.stem, o.stem, 0.8 FROM OP o JOIN (SELECT stem, {form} AS f FROM SH) v ON abs(length(o.stem) - length(f)) <= 1 AND {_slip('o.stem', 'f')}),
+E AS MATERIALIZED (SELECT p.id AS pid, h.id AS hid, h.school, h.cat, h.stem, h.direction, max(ms) AS ms, max(p.sim * h.sim) AS ss
+  FROM HM h JOIN M ON M.hs = h.stem JOIN PM p ON p.meant = h.meant AND p.cat = h.cat AND p.stem = M.ps WHERE {agree} GROUP BY ALL),
+B AS (SELECT school, cat, stem, direction, max(ms) AS bm, max(ss) AS bs FROM E GROUP BY ALL)
+SELECT DISTINCT pid AS src_row_idx, hid AS hist_pos FROM E JOIN B USING (school, cat, stem, direction) WHERE ms = bm AND ss >= bs"""
+
+
 def oracle() -> dict[str, str]:
     stats = p8_stats()
-    return {"p1_found": p1_found(), "p7_found": p7_found(), "p8_stats": stats, "p8_found": f"SELECT doc_id FROM ({stats}) WHERE kind = 'apart'"}
+    return {"p1_found": p1_found(), "p2_found": p2_found(), "p7_found": p7_found(), "p8_stats": stats, "p8_found": f"SELECT doc_id FROM ({stats}) WHERE kind = 'apart'"}
