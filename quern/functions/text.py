@@ -161,13 +161,14 @@ def subject_atoms(subject: Column) -> Column:
 def subject_covers(new: Column, past: Column, variants: str = " \\| ") -> Column:
     """Whether one of the variants in ``past`` asks for all that ``new`` asks.
 
-    Nothing asked is covered by anything; an empty past covers nothing else.
+    Nothing asked (no part at all) is covered by anything; an empty past covers
+    nothing else.
     ``variants`` is the pattern between variants: with its blanks by default,
     ``\\s*\\|\\s*`` to allow for blanks removed by folding."""
     n, p = F.coalesce(new, F.lit("")), F.coalesce(past, F.lit(""))
     wanted = subject_atoms(n)
     some = F.exists(F.split(p, variants), lambda v: F.size(F.array_except(wanted, subject_atoms(v))) == 0)
-    return F.when(F.trim(n) == "", F.lit(True)).when(F.trim(p) == "", F.lit(False)).otherwise(some)
+    return F.when(F.size(wanted) == 0, F.lit(True)).when(F.trim(p) == "", F.lit(False)).otherwise(some)
 
 
 def subject_differs(a: Column, b: Column) -> Column:

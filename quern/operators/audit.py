@@ -58,13 +58,15 @@ def figures_consistent(results: DataFrame, past: DataFrame, estimates: DataFrame
     """Matched figures equal those of some past row of the same school and
     matched name, estimated ones their estimate; all rows are checked. Matches
     without a past row of that name are skipped."""
-    any_close = F.bool_or(close_number(F.col("J"), F.col("_hj")) & close_number(F.col("T"), F.col("_ht")))
-    # copies of a figure count once, so a name's rows don't multiply
+    # figures that occur on either side are compared once, however many rows have them
     h = past.select("school", F.col("major").alias("matched_major"), F.col("J").alias("_hj"), F.col("T").alias("_ht")).distinct()
-    m = results.where("matched").join(h, ["school", "matched_major"]).groupBy("src_row_idx").agg(any_close.alias("ok"))
+    kinds = results.where("matched").groupBy("school", "matched_major", "J", "T").agg(F.count(F.lit(1)).alias("n"))
+    any_close = F.bool_or(close_number(F.col("J"), F.col("_hj")) & close_number(F.col("T"), F.col("_ht")))
+    m = kinds.join(h, ["school", "matched_major"]).groupBy("school", "matched_major", "J", "T").agg(F.first("n").alias("n"), any_close.alias("ok")).select("n", "ok")
     e = results.where("NOT matched").join(estimates.select("src_row_idx", F.col("value").alias("_ev"), F.col("T").alias("_et")), "src_row_idx")
-    e = e.select("src_row_idx", (close_number(F.col("J"), F.col("_ev")) & close_number(F.col("T"), F.col("_et"))).alias("ok"))
-    return _check(m.unionByName(e), "jt_consistency", ~F.col("ok"), "inconsistent")
+    e = e.select(F.lit(1).cast("long").alias("n"), (close_number(F.col("J"), F.col("_ev")) & close_number(F.col("T"), F.col("_et"))).alias("ok"))
+    bad = F.coalesce(F.sum(F.when(~F.col("ok"), F.col("n"))), F.lit(0))
+    return m.unionByName(e).agg(F.lit("jt_consistency").alias("name"), (bad == 0).alias("passed"), F.concat(F.lit("inconsistent: "), bad.cast("string")).alias("detail"))
 
 
 def renames_sourced(renamed: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quern.functions import notes
 from quern.functions.numeric import round2, short_number
-from quern.functions.text import subject_covers
+from quern.functions.text import subject_atoms, subject_covers
 
 REFERENCE_VARIANTS = " \\| "
 INTENDED_VARIANTS = "\\s*\\|\\s*"
@@ -19,8 +19,8 @@ def estimate(rows: DataFrame, past: DataFrame, *, variants: str = REFERENCE_VARI
     Level 0 averages the past rows of the same school whose subjects cover the
     row's, level 1 all past rows of the school, level 2 has nothing to go by. T
     is averaged at the same level and may be NULL. Past rows are summed per
-    (school, subject) first, so a school of any size costs its number of
-    distinct subjects; means are taken over decimals, so they don't depend on
+    (school, subject) first, and distinct subjects meet by their rarest part;
+    means are taken over decimals, so they don't depend on
     the order of rows.
     """
     ok = lambda c: F.when(~F.isnan(c), F.col(c).cast("decimal(18,4)"))
@@ -28,15 +28,20 @@ def estimate(rows: DataFrame, past: DataFrame, *, variants: str = REFERENCE_VARI
         F.sum(ok("J")).alias("_sj"), F.count(ok("J")).alias("_nj"), F.sum(ok("T")).alias("_st"), F.count(ok("T")).alias("_nt")
     )
     asked = rows.select("school", "subject").distinct()
-    fits = subject_covers(F.col("subject"), F.col("_hs"), variants)
-    both = asked.join(sums, "school")
-
-    def part(c: str, name: str, cond) -> object:
-        return F.sum(F.when(cond, F.col(c))).alias(name)
-
-    levels = both.groupBy("school", "subject").agg(
-        *[part(c, c + "0", fits) for c in ("_sj", "_nj", "_st", "_nt")], *[part(c, c + "1", F.lit(True)) for c in ("_sj", "_nj", "_st", "_nt")]
-    )
+    figures = ("_sj", "_nj", "_st", "_nt")
+    whole = sums.groupBy("school").agg(*[F.sum(c).alias(c + "1") for c in figures])
+    # A past subject covers a row's only if one of its variants has the row's
+    # rarest part: an equi-join on that part instead of all pairs of a school.
+    pattern = F.split(F.coalesce("_hs", F.lit("")), variants)
+    parts = sums.select("school", "_hs", F.explode(F.array_distinct(F.flatten(F.transform(pattern, subject_atoms)))).alias("_a"))
+    often = parts.groupBy("school", "_a").agg(F.count(F.lit(1)).alias("_f"))
+    wanted = asked.where("trim(coalesce(subject, '')) <> ''").select("school", "subject", F.explode_outer(F.array_distinct(subject_atoms(F.col("subject")))).alias("_a"))
+    rarest = wanted.join(often, ["school", "_a"], "left").groupBy("school", "subject").agg(F.min(F.struct(F.coalesce("_f", F.lit(0)), F.col("_a"))).alias("_m")).select("school", "subject", F.col("_m._a").alias("_a"))
+    covered = rarest.join(parts, ["school", "_a"]).where(subject_covers(F.col("subject"), F.col("_hs"), variants)).select("school", "subject", "_hs")
+    fitting = covered.join(sums, ["school", "_hs"]).groupBy("school", "subject").agg(*[F.sum(c).alias(c + "0") for c in figures])
+    levels = asked.join(whole, "school").join(fitting, ["school", "subject"], "left")
+    free = F.size(subject_atoms(F.coalesce("subject", F.lit("")))) == 0  # nothing asked: every row fits
+    levels = levels.withColumns({c + "0": F.when(free, F.col(c + "1")).otherwise(F.col(c + "0")) for c in figures})
     mean = lambda s, n: F.when(F.col(n) > 0, round2(F.col(s) / F.col(n)))
     level = F.when(F.coalesce("_nj0", F.lit(0)) > 0, 0).when(F.coalesce("_nj1", F.lit(0)) > 0, 1).otherwise(2)
     told = levels.select(

@@ -17,6 +17,8 @@ from quern.functions.numeric import same_number
 from quern.functions.text import family_keys, fold_category, subject_differs
 
 PLAN = ["src_row_idx", "school", "school_cat", "major", "stripped", "core", "subject", "batch"]
+#: How far a nearest J may be.
+NEAR = 0.5
 MATCH = ["src_row_idx", "school", "school_cat", "major", "matched", "matched_major", "J", "T", "log"]
 
 
@@ -121,17 +123,20 @@ def locate_past(matches: DataFrame, plan: DataFrame, past: DataFrame) -> DataFra
     named = m.where("coalesce(matched_major, '') <> ''").join(
         h.groupBy("school", F.col("_hm").alias("matched_major")).agg(F.min(F.struct(*fields)).alias("_r")), ["school", "matched_major"]
     ).select("src_row_idx", F.lit(1).alias("level"), F.lit(0.0).alias("_d"), "_r")
-    # per core: figures that occur, each with its first row and count
-    kinds = h.groupBy("school", F.col("_hc").alias("core"), "_hj", "_ht").agg(F.count(F.lit(1)).alias("_n"), F.min(F.struct(*fields)).alias("_r"))
-    pairs = m.join(kinds, ["school", "core"])
-    totals = h.groupBy("school", F.col("_hc").alias("core")).agg(F.count(F.lit(1)).alias("_all"))
-    pairs = pairs.join(totals, ["school", "core"])
-    dist = F.abs(F.coalesce("_hj", F.lit(0.0)) - F.coalesce("_j", F.lit(0.0)))
-    level = (
-        F.when(F.col("_hj").eqNullSafe(F.col("_j")) & F.col("_ht").eqNullSafe(F.col("_t")), 2)
-        .when(F.col("_all") == 1, 3)
-        .when(F.col("_j").isNotNull() & (dist <= 0.5), 4)
-    )
-    ranked = pairs.select("src_row_idx", level.alias("level"), F.when(level == 4, dist).otherwise(0.0).alias("_d"), "_r").where("level IS NOT NULL")
+    # (2) figures that occur, each with its first row: an equi-join, NULL equal to NULL
+    kinds = h.groupBy("school", F.col("_hc").alias("core"), "_hj", "_ht").agg(F.min(F.struct(*fields)).alias("_r"))
+    echo = m.alias("m").join(
+        kinds.alias("k"),
+        (F.col("m.school") == F.col("k.school")) & (F.col("m.core") == F.col("k.core")) & F.col("m._j").eqNullSafe(F.col("k._hj")) & F.col("m._t").eqNullSafe(F.col("k._ht")),
+    ).select("src_row_idx", F.lit(2).alias("level"), F.lit(0.0).alias("_d"), "_r")
+    # (3) cores with one row
+    alone = h.groupBy("school", F.col("_hc").alias("core")).agg(F.count(F.lit(1)).alias("_n"), F.min(F.struct(*fields)).alias("_r")).where("_n = 1")
+    only = m.join(alone, ["school", "core"]).select("src_row_idx", F.lit(3).alias("level"), F.lit(0.0).alias("_d"), "_r")
+    # (4) the nearest J: candidates share a bucket of the tolerance's width, or neighbour it
+    near = h.groupBy("school", F.col("_hc").alias("core"), F.coalesce("_hj", F.lit(0.0)).alias("_z")).agg(F.min(F.struct(*fields)).alias("_r")).withColumn("_b", F.floor(F.col("_z") / NEAR))
+    asked = m.where("_j IS NOT NULL").withColumn("_b", F.explode(F.array(*[F.floor(F.col("_j") / NEAR) + i for i in (-1, 0, 1)])))
+    dist = F.abs(F.col("_z") - F.col("_j"))
+    close = asked.join(near, ["school", "core", "_b"]).where(dist <= NEAR).select("src_row_idx", F.lit(4).alias("level"), dist.alias("_d"), "_r")
+    ranked = echo.unionByName(only).unionByName(close)
     best = named.unionByName(ranked).groupBy("src_row_idx").agg(F.min(F.struct("level", "_d", "_r")).alias("_b"))
     return best.select("src_row_idx", "_b.level", "_b._r.hist_pos", F.col("_b._r._hm").alias("major"), F.col("_b._r._hc").alias("core"), F.col("_b._r._hj").alias("J"), F.col("_b._r._ht").alias("T"))

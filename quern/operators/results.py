@@ -9,6 +9,7 @@ from quern.functions import notes
 from quern.functions.text import OUT_OF_SCOPE_WORDS, has_any, subject_differs
 from quern.operators.match import MATCH, locate_past
 from quern.operators.order import first_per_key
+from quern.session import spread
 
 # First cells of a header row.
 HEADER_CELLS = ("batch", "批次")
@@ -56,11 +57,12 @@ def demote(results: DataFrame, verdicts: DataFrame) -> tuple[DataFrame, DataFram
 
 def core_groups(past: DataFrame) -> DataFrame:
     """(school, core, n, names): number of past rows per core and the first
-    three majors by position. The three smallest positions are found before
-    anything is collected. Rows with a NULL school or core belong to no group."""
+    three majors by position. The three smallest positions are found in salted
+    parts of a group first, so no task sorts a whole hot group. Rows with a NULL school or core belong to no group."""
     counted = past.groupBy("school", "core").agg(F.count(F.lit(1)).alias("n"))
-    rank = F.row_number().over(Window.partitionBy("school", "core").orderBy("hist_pos"))
-    top = past.select("school", "core", "hist_pos", "major").withColumn("_r", rank).where("_r <= 3")
+    top = past.select("school", "core", "hist_pos", "major", spread(F.col("hist_pos"), 16).alias("_s"))
+    for parts in (["school", "core", "_s"], ["school", "core"]):
+        top = top.withColumn("_r", F.row_number().over(Window.partitionBy(*parts).orderBy("hist_pos"))).where("_r <= 3")
     names = top.groupBy("school", "core").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("_r", "major"))), lambda x: x["major"]), "/").alias("names"))
     return counted.join(names, ["school", "core"])
 

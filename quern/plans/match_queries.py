@@ -16,7 +16,7 @@ from quern.operators import audit as checks
 from quern.operators import contracts, match, order, results, schools
 from quern.operators.estimate import estimate
 from quern.plans import pipeline
-from quern.session import settle, table
+from quern.session import salted_join, settle, table
 from quern.sources import files, grids
 
 W = tx.fold_width
@@ -110,12 +110,12 @@ def q_diff_brackets(spark, d):
 
 
 def q_subject_coverage(spark, d):
-    """Distinct pairs of subjects of one school, and whether one covers the other."""
+    """Offers with the first past row of their name, and whether its subjects
+    cover theirs."""
     p, h = _sides(spark, d)
-    a = p.select("school", F.col("subject").alias("new_subject")).distinct()
-    b = h.select("school", F.col("subject").alias("past_subject")).distinct()
-    covers = tx.subject_covers(F.col("new_subject"), F.col("past_subject"))
-    return a.join(b, "school").select("school", "new_subject", "past_subject", covers.alias("covers"))
+    first = h.groupBy("school", "stripped").agg(match.first_row("subject").alias("_h"))
+    covers = tx.subject_covers(F.col("subject"), F.col("_h.subject"))
+    return p.join(first, ["school", "stripped"]).select("src_row_idx", "subject", F.col("_h.subject").alias("past_subject"), covers.alias("covers"))
 
 
 def q_nfkc(spark, d):
@@ -241,8 +241,9 @@ def q_contract_lines(spark, d):
 def q_duplicate_keys(spark, d):
     """Offers that repeat an earlier one's school, category and name."""
     p = plan_offers(spark, d)
-    dup = contracts.seen_before(F.struct("school", "school_cat", "stripped"), F.lit(True), "src_row_idx")
-    return p.withColumn("dup", dup).where("dup").select("src_row_idx", "school", "stripped")
+    key = ["school", "school_cat", "stripped"]
+    first = p.groupBy(*key).agg(F.min("src_row_idx").alias("_first"))
+    return salted_join(p, first, key, "inner", "src_row_idx").where("src_row_idx > _first").select("src_row_idx", "school", "stripped")
 
 
 def q_verdict_demote(spark, d):
@@ -392,7 +393,7 @@ def _atoms(x: str) -> str:
 
 
 def _covers(new: str, past: str) -> str:
-    return f"CASE WHEN trim({new}) = '' THEN true WHEN trim({past}) = '' THEN false ELSE len(list_filter(string_split({past}, ' | '), lambda v: list_has_all({_atoms('v')}, {_atoms(new)}))) > 0 END"
+    return f"CASE WHEN len({_atoms(new)}) = 0 THEN true WHEN trim({past}) = '' THEN false ELSE len(list_filter(string_split({past}, ' | '), lambda v: list_has_all({_atoms('v')}, {_atoms(new)}))) > 0 END"
 
 
 def _r2(x: str) -> str:
@@ -507,7 +508,7 @@ def oracle() -> dict[str, str]:
         "q_strip_brackets": base + "SELECT src_row_idx, stripped FROM P",
         "q_core_name": base + "SELECT src_row_idx, core FROM P",
         "q_diff_brackets": base + f"SELECT hist_pos, place, CASE WHEN {gender} THEN '性别' WHEN contains(c, '合作') THEN '合作' ELSE '其他' END AS kind, CASE WHEN {gender} THEN CASE WHEN contains(c, '男') THEN '男' ELSE '女' END ELSE c END AS value FROM ({brackets})",
-        "q_subject_coverage": base + f"SELECT school, new_subject, past_subject, {_covers('new_subject', 'past_subject')} AS covers FROM (SELECT DISTINCT school, subject AS new_subject FROM P) JOIN (SELECT DISTINCT school, subject AS past_subject FROM H) USING (school)",
+        "q_subject_coverage": base + f"SELECT src_row_idx, p.subject, h.subject AS past_subject, {_covers('p.subject', 'h.subject')} AS covers FROM P p JOIN (SELECT * FROM H QUALIFY row_number() OVER (PARTITION BY school, stripped ORDER BY hist_pos) = 1) h USING (school, stripped)",
         "q_strict_match": base + "SELECT * FROM S",
         "q_strict_unmatched": base + "SELECT src_row_idx, school, major FROM U",
         "q_coarse_match": base + "SELECT * FROM C",

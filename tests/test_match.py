@@ -345,3 +345,23 @@ def test_blank_cells(spark):
     h = spark.createDataFrame([(1, None, None, None, None, None, None, None, None, None)], H)
     assert match.strict_match(p, h).first()["matched"] is False
     assert results.core_groups(h).count() == 0 and estimate(p, h).first()["level"] == 2
+
+
+def test_command_line(spark, workbooks, tmp_path, capsys):
+    from quern.__main__ import int_map, main, names
+
+    assert int_map("2025=441, 2024=444") == {2025: 441, 2024: 444} and names("a, b,") == ("a", "b")
+    base = ["--plan", workbooks.plan, "--history", workbooks.history, "--supplement", workbooks.supplement, "--out", str(tmp_path / "o"), "--judged-dir", str(tmp_path / "j")]
+    (tmp_path / "j").mkdir()
+    assert main(["run", *base, "--workbooks"]) == 0 and main(["audit", *base]) == 1
+    assert main(["show", workbooks.plan, "--grep", "量子"]) == 0 and "量子信息" in capsys.readouterr().out
+    (tmp_path / "p").mkdir()
+    doc = {"batch": 1, "items": [{"src_row_idx": 7, "school": "s", "major": "m", "candidates": [{"major": "数", "core": "数", "J": 1.0, "T": None}]}]}
+    (tmp_path / "p" / "batch_01_prompt.json").write_text(json.dumps(doc, ensure_ascii=False), encoding="utf-8")
+    (tmp_path / "d.tsv").write_text("7\t0\t像\n", encoding="utf-8")
+    assert main(["decide", "--prompts", str(tmp_path / "p"), "--pattern", "batch_*_prompt.json", "--tsv", str(tmp_path / "d.tsv"), "--out", str(tmp_path / "r")]) == 0
+    text = "".join(open(os.path.join(tmp_path / "r", f), encoding="utf-8").read() for f in os.listdir(tmp_path / "r") if f.endswith(".txt"))
+    assert json.loads(text) == {"src_row_idx": 7, "school": "s", "major": "m", "match": "数", "J": 1.0, "T": None, "reason": "像"}
+    (tmp_path / "d.tsv").write_text("7\t3\t像\n", encoding="utf-8")
+    with pytest.raises(contracts.ContractError):
+        main(["decide", "--prompts", str(tmp_path / "p"), "--pattern", "batch_*_prompt.json", "--tsv", str(tmp_path / "d.tsv"), "--out", str(tmp_path / "r")])
