@@ -96,15 +96,29 @@ def spread(col, ways: int):
     return F.pmod(F.xxhash64(col), F.lit(ways)).cast("int")
 
 
+#: A key with fewer rows than this does no harm unsalted; of the others, the
+#: most frequent so many are salted (each of the rest holds less than a
+#: thousandth of all rows).
+HOT_ROWS, HOT_KEYS = 20_000, 1000
+
+
 def salted_join(rows: DataFrame, small: DataFrame, on: list[str], how: str, salt_by: str, ways: int = 16) -> DataFrame:
     """Equi-join for a side whose keys may be extremely skewed.
 
-    ``rows`` is spread over ``ways`` salts of each key and ``small`` (one row
-    per key, or a few) is repeated once per salt, so a key that holds a third
-    of all rows is read by ``ways`` tasks. ``how`` is inner, left or left_semi.
+    The hot keys of ``rows`` are counted (map-side combined; at most HOT_KEYS
+    come to the driver). Their rows are spread over ``ways`` salts, and their
+    rows of ``small`` (one per key, or a few) are repeated once per salt, so a
+    key that holds a third of all rows is read by ``ways`` tasks; every other
+    key is joined as it is. ``how`` is inner, left or left_semi.
     """
-    left = rows.withColumn("_salt", spread(F.col(salt_by), ways))
-    right = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(ways - 1))))
+    counts = rows.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= HOT_ROWS)
+    hot = counts.orderBy(F.desc("_n")).limit(HOT_KEYS).select(*on).collect()
+    if not hot:
+        return rows.join(small, on, how)
+    keys = F.broadcast(rows.sparkSession.createDataFrame(hot, rows.select(*on).schema).withColumn("_hot", F.lit(True)))
+    left = rows.join(keys, on, "left").withColumn("_salt", F.when(F.col("_hot"), spread(F.col(salt_by), ways)).otherwise(0)).drop("_hot")
+    salts = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(ways - 1))).otherwise(F.array(F.lit(0)))
+    right = small.join(keys, on, "left").withColumn("_salt", F.explode(salts)).drop("_hot")
     return left.join(right, [*on, "_salt"], how).drop("_salt")
 
 

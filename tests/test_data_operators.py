@@ -155,3 +155,16 @@ def test_mining(spark):
     held, dicts = mine_dependencies(spark.createDataFrame(rows, FILL), TARGETS, [("log",), ("g",)])
     assert held == {("log",): ["a"]}
     assert dicts[("log",)].count() == 10
+
+
+def test_salted_join(spark, monkeypatch):
+    from quern import session
+
+    rows = spark.createDataFrame([(i, "hot" if i % 3 else f"k{i % 7}") for i in range(300)] + [(999, None)], "id int, k string")
+    small = spark.createDataFrame([("hot", 1), ("k1", 2), ("k1", 3), ("x", 4), (None, 5)], "k string, v int")
+    for how in ("inner", "left", "left_semi"):
+        want = sorted(map(str, rows.join(small, ["k"], how).collect()))
+        monkeypatch.setattr(session, "HOT_ROWS", 20_000)
+        assert sorted(map(str, session.salted_join(rows, small, ["k"], how, "id").collect())) == want
+        monkeypatch.setattr(session, "HOT_ROWS", 100)
+        assert sorted(map(str, session.salted_join(rows, small, ["k"], how, "id").collect())) == want
