@@ -118,12 +118,12 @@ def fill_missing(
     out, values, marks = df, {t.name: [] for t in targets}, {t.name: [] for t in targets}
     for i, (det, names) in enumerate(held.items()):
         d = dictionaries[det].select(*det, *[F.col(f"_fd_{n}").alias(f"_fd{i}_{n}") for n in names])
-        out = salted_join(out, d, list(det), "left", row_id, ways)
+        out = salted_join(out, d, list(det), "left", row_id, ways, df)
         for n in names:
             values[n].append((F.col(f"_fd{i}_{n}").cast("double"), "fd:" + "+".join(det)))
     for i, by in enumerate(groups):
         stats = _group_stats(df.where(_all_known(by)), targets, by, f"_g{i}_")
-        out = salted_join(out, stats, list(by), "left", row_id, ways)
+        out = salted_join(out, stats, list(by), "left", row_id, ways, df)
         for t in targets:
             values[t.name].append((_fallback(t, f"_g{i}_"), "group:" + "+".join(by)))
     cols = []

@@ -57,7 +57,7 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     # a group's statistics come from rows of the same school; a dependency may
     # tell more, but a cell counts only if its school holds a usable value too
     school = table(spark, sf_dir, "edge_rows").groupBy("school").agg(*[F.count_if(F.expr(t.usable)).alias(f"_k_{t.name}") for t in ESTIMATES])
-    joined = salted_join(filled, school.where(F.col("school").isNotNull()), ["school"], "left", "edge_id")
+    joined = salted_join(filled, school.where(F.col("school").isNotNull()), ["school"], "left", "edge_id", counted=table(spark, sf_dir, "edge_rows"))
     marks = [
         F.when(~F.col(f"{t.name}_source").isin("own", "not_due", "none") & (F.col(f"_k_{t.name}") > 0), F.lit(t.name))
         for t in ESTIMATES

@@ -102,16 +102,17 @@ def spread(col, ways: int):
 HOT_ROWS, HOT_KEYS = 20_000, 1000
 
 
-def salted_join(rows: DataFrame, small: DataFrame, on: list[str], how: str, salt_by: str, ways: int = 16) -> DataFrame:
+def salted_join(rows: DataFrame, small: DataFrame, on: list[str], how: str, salt_by: str, ways: int = 16, counted: DataFrame | None = None) -> DataFrame:
     """Equi-join for a side whose keys may be extremely skewed.
 
     The hot keys of ``rows`` are counted (map-side combined; at most HOT_KEYS
     come to the driver). Their rows are spread over ``ways`` salts, and their
     rows of ``small`` (one per key, or a few) are repeated once per salt, so a
     key that holds a third of all rows is read by ``ways`` tasks; every other
-    key is joined as it is. ``how`` is inner, left or left_semi.
+    key is joined as it is. ``how`` is inner, left or left_semi. ``counted`` is
+    a cheaper relation with the same keys, where ``rows`` has been derived.
     """
-    counts = rows.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= HOT_ROWS)
+    counts = (rows if counted is None else counted).groupBy(*on).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= HOT_ROWS)
     hot = counts.orderBy(F.desc("_n")).limit(HOT_KEYS).select(*on).collect()
     if not hot:
         return rows.join(small, on, how)
