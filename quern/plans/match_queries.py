@@ -159,9 +159,9 @@ def q_locate_echo(spark, d):
 
 
 def q_locate_fallback(spark, d):
-    """Coarse matches traced back; names of every third are withheld."""
+    """Coarse matches traced back; names of those without a deviation are withheld."""
     p, h = _sides(spark, d)
-    m = settle(match.coarse_match(match.unmatched(p, match.strict_match(p, h)), h).withColumn("matched_major", F.when(F.col("src_row_idx") % 3 != 0, F.col("matched_major"))), "coarse")
+    m = settle(match.coarse_match(match.unmatched(p, match.strict_match(p, h)), h).withColumn("matched_major", F.when(F.col("T").isNotNull(), F.col("matched_major"))), "coarse")
     return match.locate_past(m, p, h).select("src_row_idx", "level", "hist_pos")
 
 
@@ -233,7 +233,7 @@ def q_contract_lines(spark, d):
     """JSON lines made of edge_rows, some broken, through the strict checks."""
     e = table(spark, d, "edge_rows")
     good = F.to_json(F.struct(F.col("edge_id").alias("src_row_idx"), F.when(F.col("est_level") == 0, "确定").otherwise("存疑").alias("verdict"), F.coalesce("log", F.lit("")).alias("reason")))
-    value = F.when(F.col("edge_id") % 11 == 0, F.concat(good, F.lit(" junk"))).when(F.col("edge_id") % 13 == 0, F.lit("{}")).otherwise(good)
+    value = F.when(F.col("est_n") < 0, F.concat(good, F.lit(" junk"))).when(F.col("est_level").isNull(), F.lit("{}")).otherwise(good)
     lines = e.select(F.lit("lines.jsonl").alias("file"), F.col("edge_id").alias("lineno"), value.alias("value"))
     return contracts.check_verdicts(lines, e.select(F.col("edge_id").cast("int").alias("src_row_idx")))
 
@@ -285,7 +285,7 @@ LOG_COLUMNS = ("stage", "single_year", "drift", "second_look", "reason")
 
 def q_official_url(spark, d):
     s = table(spark, d, "supplier")
-    text = F.concat(F.lit("见 http://www.example.org/a 和 https://jyt."), F.lower(F.replace("s_name", F.lit("#"), F.lit(""))), F.when(F.col("s_suppkey") % 2 == 0, ".gov.cn/x）等").otherwise(".edu.cn/y)"))
+    text = F.concat(F.lit("见 http://www.example.org/a 和 https://jyt."), F.lower(F.replace("s_name", F.lit("#"), F.lit(""))), F.when(F.col("s_acctbal") > 0, ".gov.cn/x）等").otherwise(".edu.cn/y)"))
     return s.select("s_suppkey", notes.official_url(text).alias("url"), notes.has_official_link(text).alias("official"))
 
 
@@ -297,9 +297,10 @@ def q_notes_pairs(spark, d):
 
 
 def plan_grid(spark: SparkSession, d: str) -> DataFrame:
-    """plan_rows as the grid they could have come from."""
+    """plan_rows as the grid they could have come from: early batches play the
+    rows out of scope, rows without a subject those without a code."""
     t = table(spark, d, "plan_rows")
-    cells = {0: F.col("batch"), 1: F.when(F.col("src_row_idx") % 17 == 0, "专科").otherwise(F.col("school_cat")), 3: F.col("school"), 4: F.when(F.col("src_row_idx") % 19 != 0, F.col("src_row_idx").cast("string")), 5: F.col("major"), 6: F.col("subject")}
+    cells = {0: F.col("batch"), 1: F.when(F.col("batch") == "提前批", "专科").otherwise(F.col("school_cat")), 3: F.col("school"), 4: F.when(F.col("subject") != "", F.col("src_row_idx").cast("string")), 5: F.col("major"), 6: F.col("subject")}
     return t.select(F.col("src_row_idx").alias("_row_idx"), *[cells.get(i, F.lit(None).cast("string")).alias(f"c{i}") for i in range(12)])
 
 
@@ -307,7 +308,8 @@ _GRID_NAMES = {"近三年统计线差": "j", "近三年线差标准差": "t"} |
 
 
 def _hierarchical(spark: SparkSession, d: str) -> DataFrame:
-    strict = match.strict_match(*_sides(spark, d)).where("src_row_idx % 17 <> 0")
+    p, h = _sides(spark, d)
+    strict = match.strict_match(p.where("batch <> '提前批'"), h)
     return results.hierarchical(plan_grid(spark, d), strict).withColumnsRenamed(_GRID_NAMES).select("_row_idx", "c0", "c1", "c3", "c4", "c5", "j", "t", *LOG_COLUMNS)
 
 
@@ -487,8 +489,8 @@ def oracle() -> dict[str, str]:
     grams = lambda s: f"SELECT DISTINCT school, substring(school, i, 2) AS g FROM (SELECT school, unnest(generate_series(1, greatest(length(school) - 1, 1))) AS i FROM {s})"
     major = "coalesce(c4, '') <> '' AND coalesce(c5, '') <> ''"
     scope = f"NOT regexp_matches(coalesce(c1, ''), '{_any(tx.OUT_OF_SCOPE_WORDS)}')"
-    grid = "SELECT src_row_idx AS _row_idx, batch AS c0, CASE WHEN src_row_idx % 17 = 0 THEN '专科' ELSE school_cat END AS c1, school AS c3, CASE WHEN src_row_idx % 19 <> 0 THEN CAST(src_row_idx AS VARCHAR) END AS c4, major AS c5 FROM plan_rows"
-    logs = _log_sql("(SELECT * FROM S WHERE src_row_idx % 17 <> 0)")
+    grid = "SELECT src_row_idx AS _row_idx, batch AS c0, CASE WHEN batch = '提前批' THEN '专科' ELSE school_cat END AS c1, school AS c3, CASE WHEN subject <> '' THEN CAST(src_row_idx AS VARCHAR) END AS c4, major AS c5 FROM plan_rows"
+    logs = _log_sql("(SELECT * FROM S WHERE src_row_idx IN (SELECT src_row_idx FROM P WHERE batch <> '提前批'))")
     on = f"({major}) AND l.src_row_idx IS NOT NULL"
     cells = ", ".join(f"CASE WHEN {on} THEN l.{c} END AS {c}" for c in ("single_year", "drift", "second_look", "reason"))
     beyond = f"({major}) AND l.src_row_idx IS NULL AND NOT ({scope})"
@@ -496,7 +498,7 @@ def oracle() -> dict[str, str]:
       FROM ({grid}) g LEFT JOIN ({logs}) l ON l.src_row_idx = g._row_idx"""
     brackets = "SELECT hist_pos, CAST(unnest(generate_series(0, len(b) - 1)) AS INTEGER) AS place, unnest(b) AS c FROM (SELECT hist_pos, regexp_extract_all(major, '\\(([^()]*)\\)', 1) AS b FROM H) WHERE len(b) > 0"
     gender = f"regexp_matches(c, '{tx.GENDER}') AND regexp_matches(c, '[男女]')"
-    official = "'见 http://www.example.org/a 和 https://jyt.' || lower(replace(s_name, '#', '')) || CASE WHEN s_suppkey % 2 = 0 THEN '.gov.cn/x）等' ELSE '.edu.cn/y)' END"
+    official = "'见 http://www.example.org/a 和 https://jyt.' || lower(replace(s_name, '#', '')) || CASE WHEN s_acctbal > 0 THEN '.gov.cn/x）等' ELSE '.edu.cn/y)' END"
     deleted = "FROM H WHERE school IN (SELECT school FROM P WHERE school <> '') AND school NOT IN (SELECT new_school FROM RN) AND NOT EXISTS (SELECT 1 FROM P WHERE P.school = H.school AND P.major = H.major)"
     return {
         "q_plan_projection": base + "SELECT src_row_idx, school, school_cat, major, stripped, core, subject, batch FROM P",
@@ -518,7 +520,7 @@ def oracle() -> dict[str, str]:
           L AS (SELECT src_row_idx, arg_max(struct_pack(J := J, T := T), hist_pos) AS l FROM Q GROUP BY 1)
           SELECT src_row_idx, major AS match, hist_pos FROM Q JOIN L USING (src_row_idx)
           QUALIFY row_number() OVER (PARTITION BY src_row_idx ORDER BY CASE WHEN l.J IS NOT NULL AND round(J, 2) IS NOT DISTINCT FROM round(l.J, 2) AND round(T, 2) IS NOT DISTINCT FROM round(l.T, 2) THEN 0 ELSE 1 END, hist_pos) = 1""",
-        "q_locate_fallback": base + """, A AS (SELECT C.src_row_idx, C.school, P.core, CASE WHEN C.src_row_idx % 3 <> 0 THEN matched_major END AS mm, C.J, C.T FROM C JOIN P USING (src_row_idx)),
+        "q_locate_fallback": base + """, A AS (SELECT C.src_row_idx, C.school, P.core, CASE WHEN C.T IS NOT NULL THEN matched_major END AS mm, C.J, C.T FROM C JOIN P USING (src_row_idx)),
           L AS (SELECT A.src_row_idx, 1 AS level, 0.0 AS dist, h.hist_pos FROM A JOIN H h ON h.school = A.school AND h.major = A.mm WHERE coalesce(mm, '') <> ''
             UNION ALL SELECT A.src_row_idx, CASE WHEN h.J IS NOT DISTINCT FROM A.J AND h.T IS NOT DISTINCT FROM A.T THEN 2 WHEN n = 1 THEN 3 WHEN A.J IS NOT NULL AND abs(coalesce(h.J, 0) - A.J) <= 0.5 THEN 4 END,
               CASE WHEN NOT (h.J IS NOT DISTINCT FROM A.J AND h.T IS NOT DISTINCT FROM A.T) AND n > 1 THEN abs(coalesce(h.J, 0) - coalesce(A.J, 0)) ELSE 0.0 END, h.hist_pos FROM A JOIN H h ON h.school = A.school AND h.core = A.core JOIN CC ON CC.school = A.school AND CC.core = A.core)
@@ -546,7 +548,7 @@ def oracle() -> dict[str, str]:
           FROM C JOIN P USING (src_row_idx) LEFT JOIN CC ON CC.school = P.school AND CC.core = P.core""",
         "q_main_results": base + "SELECT * FROM M",
         "q_structured_log": base + ", Z AS (SELECT CAST(src_row_idx AS BIGINT) AS id, log FROM C UNION ALL SELECT -edge_id, '新增专业：' || log || '；（仅一年数据，无标准差）' FROM edge_rows) SELECT id, stage, single_year, drift, second_look, reason FROM (" + _log_sql("Z") + ")",
-        "q_official_url": f"SELECT s_suppkey, CASE WHEN s_suppkey % 2 = 0 THEN regexp_extract({official}, 'https://[^\\s)）]+') ELSE '' END AS url, regexp_matches({official}, 'moe\\.gov\\.cn|gov\\.cn|\\.edu\\.cn') AS official FROM supplier",
+        "q_official_url": f"SELECT s_suppkey, CASE WHEN s_acctbal > 0 THEN regexp_extract({official}, 'https://[^\\s)）]+') ELSE '' END AS url, regexp_matches({official}, 'moe\\.gov\\.cn|gov\\.cn|\\.edu\\.cn') AS official FROM supplier",
         "q_notes_pairs": "SELECT n_nationkey, unnest([2023, 2024]) AS year, CAST(unnest([n_nationkey + 400, n_nationkey + 410]) AS INTEGER) AS value FROM nation",
         "q_hierarchical": base + hier,
         "q_flat": base + f"SELECT * FROM ({hier}) WHERE {major} AND {scope}",

@@ -121,8 +121,3 @@ def salted_join(rows: DataFrame, small: DataFrame, on: list[str], how: str, salt
     salts = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(ways - 1))).otherwise(F.array(F.lit(0)))
     right = small.join(keys, on, "left").withColumn("_salt", F.explode(salts)).drop("_hot")
     return left.join(right, [*on, "_salt"], how).drop("_salt")
-
-
-def cores(spark: SparkSession) -> int:
-    """Parallelism for repartitioning before CPU-heavy Python stages."""
-    return max(int(spark.conf.get("spark.sql.shuffle.partitions", "200")), os.cpu_count() or 1)
