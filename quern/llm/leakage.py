@@ -1,9 +1,10 @@
 """Evaluation texts leaking into training text (problem 7).
 
 Texts are compared as their letters and digits alone (width and case folded).
-From each test item, n-gram seeds are chosen so that every run of ``run``
-characters holds one; among the choices the rarest in the whole corpus are
-taken. Rolling hashes of all n-grams of a batch of documents are joined with
+Seeds are the n-grams of each test item, every few places, that occur in the
+corpus: an edited copy is found by any of them that it still holds. Where runs
+alone are asked for, they are chosen so that every run of ``run`` characters
+holds one; among the choices the rarest in the whole corpus are taken. Rolling hashes of all n-grams of a batch of documents are joined with
 those of the seeds while the documents are read, banded Smith-Waterman
 alignment scores each candidate pair, and the longest unbroken common run is
 measured beside it. Documents are never shuffled.
@@ -246,12 +247,14 @@ def blocks(items: DataFrame, item_id: str, text: str, block_chars: int = BLOCK_C
         yield block
 
 
-def leaks(docs: DataFrame, items: DataFrame, *, doc_id: str = "doc_id", item_id: str = "item_id", text: str = "text", run: int = RUN, gram: int = GRAM, step: int = STEP, block_chars: int = BLOCK_CHARS) -> DataFrame:
+def leaks(docs: DataFrame, items: DataFrame, *, doc_id: str = "doc_id", item_id: str = "item_id", text: str = "text", run: int = RUN, gram: int = GRAM, step: int = STEP, block_chars: int = BLOCK_CHARS, edited: bool = True) -> DataFrame:
     """(doc_id, item_id, run_length, score, score_share) of candidate pairs.
 
     Every pair whose texts share an unbroken run of ``run`` characters is among
-    them, with the length of the longest such run; other pairs are there where
-    a seed is shared, with their alignment score. NULL, empty and short texts
+    them, with the length of the longest such run; so is, with its alignment
+    score, every pair that shares an n-gram standing at a multiple of ``step``
+    in the item. ``edited`` False looks for the runs alone, with fewer seeds,
+    and gives other pairs by chance. NULL, empty and short texts
     match nothing; repeated documents and items come out once per row. Columns
     other than id and text are ignored.
     """
@@ -262,13 +265,13 @@ def leaks(docs: DataFrame, items: DataFrame, *, doc_id: str = "doc_id", item_id:
     corpus = docs.select(doc_id, text).where(F.length(text) >= gram)
     out = None
     for block in blocks(items, item_id, text, block_chars):
-        one = _search(corpus, [(i, s) for i, s in block if len(s) >= run], doc_id, item_id, text, run, gram, step, schema)
+        one = _search(corpus, [(i, s) for i, s in block if len(s) >= run], doc_id, item_id, text, run, gram, step, schema, edited)
         if one is not None:
             out = one if out is None else out.unionByName(one)
     return out if out is not None else docs.sparkSession.createDataFrame([], schema)
 
 
-def _search(corpus: DataFrame, block: list[tuple[int, str]], doc_id: str, item_id: str, text: str, run: int, gram: int, step: int, schema: str) -> DataFrame | None:
+def _search(corpus: DataFrame, block: list[tuple[int, str]], doc_id: str, item_id: str, text: str, run: int, gram: int, step: int, schema: str, edited: bool) -> DataFrame | None:
     import uuid
 
     if not block:
@@ -300,8 +303,11 @@ def _search(corpus: DataFrame, block: list[tuple[int, str]], doc_id: str, item_i
     reach = run - gram + 1
     seeds: dict[str, list[tuple[int, int]]] = {}
     for at, (_, s) in enumerate(block):
-        costs = [1 + times[grams[s[p : p + gram]]] for p in range(0, len(s) - gram + 1, step)]
-        for p in seed_places(costs, step, reach - step + 1, len(s) - gram):
+        places = range(0, len(s) - gram + 1, step)
+        if not edited:
+            # a run that occurs has all its n-grams in the corpus, so those that don't are cheapest
+            places = seed_places([1 + times[grams[s[p : p + gram]]] for p in places], step, reach - step + 1, len(s) - gram)
+        for p in places:
             seeds.setdefault(s[p : p + gram], []).append((at, p))
     if not any(times[grams[g]] for g in seeds):
         return None

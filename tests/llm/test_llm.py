@@ -281,6 +281,23 @@ def test_leaks_edges(spark):
     assert leakage.leaks(e.select(F.col("item_id").alias("doc_id"), "text"), e.limit(0)).count() == 0
 
 
+def test_edited_copies(spark):
+    """Every edited copy that holds an n-gram of the seeds' places, against alignment without a band."""
+    rnd = random.Random(11)
+    letters = [chr(c) for c in range(0x4E00, 0x5200)]
+    items = [(i, "".join(rnd.choices(letters, k=200))) for i in range(20)]
+    docs = []
+    for i, s in items:
+        even = "".join("x" if k % 24 == 23 else c for k, c in enumerate(s))
+        uneven = "".join("x" if rnd.random() < 1 / 26 else c for c in s)
+        docs += [(2 * i, "前" * 9 + even + "后" * 9), (2 * i + 1, "前" * 9 + uneven + "后" * 9)]
+    out = leakage.leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    got = {(r["doc_id"], r["item_id"]): r["score"] for r in out.collect()}
+    held = lambda s, t: any(s[p : p + leakage.GRAM] in t for p in range(0, len(s) - leakage.GRAM + 1, leakage.STEP))
+    assert got == {(d, i): naive_sw(s, t) for d, t in docs for i, s in items if d // 2 == i and held(s, t)}
+    assert all(got[2 * i, i] >= 2 * 200 * leakage.EDITED_SHARE for i, _ in items)
+
+
 @settings(max_examples=80, deadline=None)
 @given(st.lists(st.integers(1, 9), min_size=7, max_size=60), st.sampled_from([4, 5]))
 def test_seed_places(costs, step):
