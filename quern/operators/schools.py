@@ -2,12 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from difflib import SequenceMatcher
+from heapq import heappush, heapreplace
+
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quern.functions import notes
-from quern.functions.similarity import ro_similarity
 from quern.operators.order import first_per_key
+from quern.session import settle, spread
+
+#: Names in a block when all names of two sides are compared.
+NEW_BLOCK, OLD_BLOCK = 250, 500
 
 
 def schools(df: DataFrame) -> DataFrame:
@@ -55,31 +63,82 @@ def apply_renames(past: DataFrame, renamed: DataFrame) -> DataFrame:
     return joined.withColumn("school", F.coalesce("_new", "school")).select(*past.columns)
 
 
-def rename_candidates(plan: DataFrame, past: DataFrame, *, topk: int = 5, measure: str = "ratio") -> DataFrame:
+def name_blocks(new: DataFrame, old: DataFrame, new_block: int, old_block: int) -> DataFrame:
+    """(news, olds): blocks of names by hash, every block of one side beside
+    every block of the other, each pair of blocks once."""
+    new, old = settle(new, "new-names"), settle(old, "old-names")
+    n, m = (max(1, -(-df.count() // size)) for df, size in ((new, new_block), (old, old_block)))
+    news = new.groupBy(spread(F.col("new_school"), n).alias("_i")).agg(F.collect_list("new_school").alias("news"))
+    olds = old.groupBy(spread(F.col("old_school"), m).alias("_j")).agg(F.collect_list("old_school").alias("olds"))
+    pairs = news.withColumn("_j", F.explode(F.sequence(F.lit(0), F.lit(m - 1)))).join(olds, "_j").select("news", "olds")
+    # by number, so that few bytes aren't put into one task
+    return pairs.repartition(max(min(n * m, 4 * new.sparkSession.sparkContext.defaultParallelism), n * m // 256))
+
+
+class _Name(str):
+    """A name that sorts in reverse, for a heap with the worst candidate on top."""
+
+    __slots__ = ()
+
+    def __lt__(self, other: str) -> bool:
+        return str.__gt__(self, other)
+
+
+def best_ratios(news: list[str], olds: list[str], topk: int) -> list[tuple[str, str, float]]:
+    """Ratcliff-Obershelp ratios of all pairs, or of each new name's ``topk``
+    best; a pair is passed over only if its upper bound is below all of them."""
+    kept: dict[str, list[tuple[float, _Name]]] = {a: [] for a in news}
+    match = SequenceMatcher(None)
+    for b in olds:
+        match.set_seq2(b)
+        for a, heap in kept.items():
+            match.set_seq1(a)
+            full = 0 < topk <= len(heap)
+            if full and (match.real_quick_ratio() < heap[0][0] or match.quick_ratio() < heap[0][0]):
+                continue
+            one = (match.ratio(), _Name(b))
+            if not full:
+                heappush(heap, one) if topk > 0 else heap.append(one)
+            elif heap[0] < one:
+                heapreplace(heap, one)
+    return [(a, str(b), x) for a, heap in kept.items() for x, b in heap]
+
+
+def rename_candidates(plan: DataFrame, past: DataFrame, *, topk: int = 5, measure: str = "ratio", new_block: int = NEW_BLOCK, old_block: int = OLD_BLOCK) -> DataFrame:
     """(new_school, old_school, similarity, place) for schools only this year
     has, against schools only the past has, best first; ties by name.
 
-    Pairs are found by two neighbouring characters in common, an equi-join, so
-    names without any such pair aren't proposed. ``measure`` is ``ratio``
-    (Ratcliff-Obershelp), ``edit`` (1 - edit distance / longer length) or
-    ``pairs`` (Dice's share of neighbouring characters in common).
-    ``topk`` of 0 or less keeps all.
+    ``measure`` is ``ratio`` (Ratcliff-Obershelp), ``edit`` (1 - edit distance /
+    longer length) or ``pairs`` (Dice's share of neighbouring characters in
+    common). By ratio and edit all old names are compared with each new one, in
+    blocks of bounded size; pairs are found by an equi-join, so names without
+    two neighbouring characters in common, whose share is 0, aren't proposed.
+    ``topk`` of 0 or less keeps all; otherwise names with nothing in common
+    (similarity 0) aren't proposed.
     """
     new = new_schools(plan, past).select(F.col("school").alias("new_school"))
     old = gone_schools(plan, past).select(F.col("school").alias("old_school"))
-    grams = lambda c: F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length(c) - 1, F.lit(1))), lambda i: F.substring(F.col(c), i, F.lit(2))))
-    shared = new.select("new_school", F.explode(grams("new_school")).alias("_g")).join(old.select("old_school", F.explode(grams("old_school")).alias("_g")), "_g")
-    pairs = shared.groupBy("new_school", "old_school").agg(F.count(F.lit(1)).alias("_n"))
     if measure == "pairs":
+        grams = lambda c: F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length(c) - 1, F.lit(1))), lambda i: F.substring(F.col(c), i, F.lit(2))))
+        shared = new.select("new_school", F.explode(grams("new_school")).alias("_g")).join(old.select("old_school", F.explode(grams("old_school")).alias("_g")), "_g")
+        pairs = shared.groupBy("new_school", "old_school").agg(F.count(F.lit(1)).alias("_n"))
         sim = F.round(2 * F.col("_n") / (F.size(grams("new_school")) + F.size(grams("old_school"))), 6)
+        scored = pairs.withColumn("similarity", sim).drop("_n")
     elif measure == "edit":
+        pairs = name_blocks(new, old, new_block, old_block).select(F.explode("news").alias("new_school"), "olds").select("new_school", F.explode("olds").alias("old_school"))
         sim = F.round(1 - F.levenshtein("new_school", "old_school") / F.greatest(F.length("new_school"), F.length("old_school")), 6)
+        scored = pairs.withColumn("similarity", sim)
     else:
-        sim = ro_similarity(F.col("new_school"), F.col("old_school"))
-    scored = pairs.withColumn("similarity", sim).drop("_n")
+
+        def ratios(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for pdf in batches:
+                for news, olds in zip(pdf["news"], pdf["olds"]):
+                    yield pd.DataFrame(best_ratios(list(news), list(olds), topk), columns=["new_school", "old_school", "similarity"])
+
+        scored = name_blocks(new, old, new_block, old_block).mapInPandas(ratios, "new_school string, old_school string, similarity double")
     place = F.row_number().over(Window.partitionBy("new_school").orderBy(F.desc("similarity"), "old_school"))
     ranked = scored.withColumn("place", place)
-    return ranked.where(F.col("place") <= topk) if topk > 0 else ranked
+    return ranked.where((F.col("place") <= topk) & (F.col("similarity") > 0)) if topk > 0 else ranked
 
 
 def rename_overlap(pairs: DataFrame, plan: DataFrame, past: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 import json
 import os
 import random
+from difflib import SequenceMatcher
 
 import pytest
 from pyspark.sql import functions as F
@@ -144,6 +145,22 @@ def test_schools(spark):
     assert (o["shared"], o["smaller"], o["overlap"]) == (1, 1, 1.0)
 
 
+@pytest.mark.parametrize("blocks", [{}, {"new_block": 2, "old_block": 3}])
+def test_rename_candidates(spark, blocks):
+    """All pairs are ranked, whether or not they share neighbouring characters."""
+    new = ["晓沅祁民航学院", "盛嵩安水利学院", "雀谷望电力大学", "甲", "乙丙丁"]
+    old = ["峰柳隆海洋大学", "霖景露医药大学", "德汾景师范学院", "晓沅海运学校", "学院民航", "大电力谷", "戊", "丁乙", "丙x丁", "学大"]
+    p = spark.createDataFrame([plan_row(i, s, "", "数") for i, s in enumerate(new)], P)
+    h = spark.createDataFrame([past_row(i, s, "", "数") for i, s in enumerate(old)], H)
+    ranked = {a: sorted((-SequenceMatcher(None, a, b).ratio(), b) for b in old) for a in new}
+    for topk in (0, 1, 5):
+        got = schools.rename_candidates(p, h, topk=topk, **blocks).collect()
+        want = [(a, i, b, -x) for a, bs in ranked.items() for i, (x, b) in enumerate(bs[: topk or None], 1) if x < 0 or not topk]
+        assert sorted((r["new_school"], r["place"], r["old_school"], r["similarity"]) for r in got) == sorted(want)
+    assert schools.rename_candidates(p, h, topk=0, measure="edit", **blocks).count() == len(new) * len(old)
+    assert schools.rename_candidates(p, h.limit(0), topk=0, **blocks).count() == 0
+
+
 # --- contracts ---------------------------------------------------------------
 
 
