@@ -43,6 +43,7 @@ WORDS, COMMON, REPEAT, GAPS = range(CLASSES, CLASSES + 4)
 WIDTH = CLASSES + 4
 
 _ENGLISH = re.compile(r"[A-Za-z]+")
+_LONGEST_COMMON = max(map(len, ENGLISH_COMMON))
 _VISIBLE_END = " \u3000\xa0\r\x0b\x0c\t"
 
 
@@ -72,6 +73,27 @@ def classes() -> np.ndarray:
     return lut
 
 
+@lru_cache(maxsize=1)
+def common_codes() -> np.ndarray:
+    """The common English words as numbers, five bits a letter."""
+    return np.array(sorted(sum((ord(c) - 96) << 5 * k for k, c in enumerate(w)) for w in ENGLISH_COMMON), np.int64)
+
+
+def latin_words(codes: np.ndarray, letter: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(places where runs of Latin letters begin, whether each is a common word)."""
+    edges = np.diff(letter.astype(np.int8), prepend=0, append=0)
+    begin, end = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
+    short = np.flatnonzero(end - begin <= _LONGEST_COMMON)
+    word = np.zeros(len(short), np.int64)
+    for k in range(_LONGEST_COMMON):
+        at = begin[short] + k
+        inside = at < end[short]
+        word[inside] |= ((codes[at[inside]].astype(np.int64) | 32) - 96) << 5 * k
+    common = np.zeros(len(begin), bool)
+    common[short] = np.isin(word, common_codes())
+    return begin, common
+
+
 def fragments(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Counts per line of all texts, vectorised over the whole batch: (index of
     each line's text, counts, whether it ends in sentence punctuation)."""
@@ -95,12 +117,9 @@ def fragments(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         gap[1:] = blank[1:] & blank[:-1]
         gap[2:] &= ~blank[:-2]
         counts[:, GAPS] = np.bincount(line_of[gap], minlength=lines)
-        letters = counts[:, CONS] + counts[:, VOWEL]
-        # words only where letters prevail; elsewhere they don't matter
-        for i in np.flatnonzero(letters * 2 > counts[:, HAN] + counts[:, FUNC] + counts[:, RARE]):
-            found = _ENGLISH.findall(joined, starts[i], ends[i])
-            counts[i, WORDS] = len(found)
-            counts[i, COMMON] = sum(w.lower() in ENGLISH_COMMON for w in found)
+        begin, common = latin_words(codes, (cls == CONS) | (cls == VOWEL))
+        counts[:, WORDS] = np.bincount(line_of[begin], minlength=lines)
+        counts[:, COMMON] = np.bincount(line_of[begin[common]], minlength=lines)
     counts[:, NEWLINE] = 0
     lengths = np.fromiter((len(t) for t in texts), np.int64, len(texts))
     first_at = np.concatenate(([0], np.cumsum(lengths + 1)[:-1])) if len(texts) else np.zeros(0, np.int64)
@@ -132,16 +151,18 @@ def is_prose(counts: np.ndarray) -> np.ndarray:
 
 
 # A document's numbers: the line counts summed, then lines with visible
-# characters, lines closed by punctuation, characters outside prose lines.
-LINES, CLOSED, APART = range(WIDTH, WIDTH + 3)
-TOTAL = WIDTH + 3
+# characters, lines closed by punctuation, characters outside prose lines, and
+# the words and common words of the lines where letters prevail.
+LINES, CLOSED, APART, WORDS_THERE, COMMON_THERE = range(WIDTH, WIDTH + 5)
+TOTAL = WIDTH + 5
 
 
 def judged(counts: np.ndarray, closed: np.ndarray) -> np.ndarray:
     """Counts of whole lines with their verdicts, ready to be summed."""
     chars = counts[:, :CLASSES].sum(1)
     visible = chars - counts[:, SPACE] - counts[:, TAB] > 0
-    return np.column_stack((counts, visible, visible & closed, np.where(is_prose(counts), 0, chars)))
+    there = (counts[:, CONS] + counts[:, VOWEL]) * 2 > counts[:, HAN] + counts[:, FUNC] + counts[:, RARE]
+    return np.column_stack((counts, visible, visible & closed, np.where(is_prose(counts), 0, chars), counts[:, WORDS] * there, counts[:, COMMON] * there))
 
 
 def whole_texts(texts: list[str]) -> np.ndarray:
@@ -177,9 +198,6 @@ class Fragment:
     @classmethod
     def of(cls, text: str) -> Fragment:
         _, counts, _ = fragments([text])
-        # words count in every piece; whether they matter is judged on the line
-        words = _ENGLISH.findall(text)
-        counts[0, WORDS], counts[0, COMMON] = len(words), sum(w.lower() in ENGLISH_COMMON for w in words)
         return cls(counts[0], cls.ends(text), text.rstrip(_VISIBLE_END)[-1:])
 
     @staticmethod
@@ -212,11 +230,8 @@ class Fragment:
 
     def line(self) -> np.ndarray:
         """The totals of this piece as a whole line."""
-        c = self.counts.copy()
-        if not (c[CONS] + c[VOWEL]) * 2 > c[HAN] + c[FUNC] + c[RARE]:
-            c[WORDS] = c[COMMON] = 0
         closed = bool(self.last) and ord(self.last) < 0x10000 and classes()[ord(self.last)] == STOP
-        return judged(c[None, :], np.array([closed]))[0]
+        return judged(self.counts[None, :], np.array([closed]))[0]
 
 
 class Partial:
@@ -263,23 +278,25 @@ _STATE = "inner array<long>, head array<long>, head_edge string, head_last strin
 _STATS = "n_chars long, word_count long, mean_word_length double, symbol_ratio double, punct_line_share double, common_word_share double, apart_share double, kind string"
 
 
-def derive(totals: np.ndarray) -> pd.DataFrame:
-    """Ratios and the rule outcome from totals; a blank text has no ratios."""
+def derive(totals: np.ndarray, every_word: bool = True) -> pd.DataFrame:
+    """Ratios and the rule outcome from totals; a blank text has no ratios.
+    ``every_word`` as in ``text_statistics``."""
     t = totals
     han = t[:, HAN] + t[:, FUNC] + t[:, RARE]
     latin = t[:, CONS] + t[:, VOWEL]
     chars = t[:, :CLASSES].sum(1)
     visible = chars - t[:, SPACE] - t[:, TAB]
-    words = han + t[:, WORDS]
+    english, common = (t[:, WORDS], t[:, COMMON]) if every_word else (t[:, WORDS_THERE], t[:, COMMON_THERE])
+    words = han + english
     with np.errstate(divide="ignore", invalid="ignore"):
         ratio = lambda a, b: np.where(b > 0, np.floor(a / b * 1e6 + 0.5) / 1e6, np.nan)
         apart = ratio(t[:, APART], chars)
         out = pd.DataFrame({
             "n_chars": chars, "word_count": words,
-            "mean_word_length": ratio(han + np.where(t[:, WORDS] > 0, latin, 0), words),
+            "mean_word_length": ratio(han + np.where(english > 0, latin, 0), words),
             "symbol_ratio": ratio(t[:, SIGN] + t[:, ANGLE] + t[:, PIPE], visible),
             "punct_line_share": ratio(t[:, CLOSED], t[:, LINES]),
-            "common_word_share": ratio(t[:, FUNC] + t[:, COMMON], words),
+            "common_word_share": ratio(t[:, FUNC] + common, words),
             "apart_share": apart,
         })
     out["kind"] = np.where(visible == 0, "blank", np.where(t[:, APART] * 2 > chars, "apart", "prose"))
@@ -298,12 +315,13 @@ def _slices(texts: list[str], limit: int = 2_000_000) -> Iterator[tuple[int, int
         yield a, len(texts)
 
 
-def text_statistics(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", chunk: int = CHUNK, fan_in: int = FAN_IN) -> DataFrame:
+def text_statistics(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", chunk: int = CHUNK, fan_in: int = FAN_IN, every_word: bool = True) -> DataFrame:
     """One row of statistics per row of ``docs``.
 
     kind is ``prose``, ``apart`` (more than half of the characters stand in
     lines that aren't natural prose) or ``blank``. A word is a run of Latin
-    letters or one ideograph. NULL and blank texts have no words and no ratios
+    letters or one ideograph; ``every_word`` False leaves out the Latin words of
+    lines with no more than half as many letters as ideographs. NULL and blank texts have no words and no ratios
     (NULL). Repeated rows and ids give repeated rows; other columns are
     ignored. Texts up to ``chunk`` characters take one pass and no shuffle.
     """
@@ -314,7 +332,7 @@ def text_statistics(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
         for pdf in batches:
             texts = pdf["_t"].tolist()
             for a, b in _slices(texts):
-                out = derive(whole_texts(texts[a:b]))
+                out = derive(whole_texts(texts[a:b]), every_word)
                 out.insert(0, doc_id, pdf[doc_id].iloc[a:b].to_numpy())
                 yield out
 
@@ -352,7 +370,7 @@ def text_statistics(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     def finish(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             if len(pdf):
-                out = derive(np.array([_unpack(r).totals() for r in pdf.itertuples()], np.int64))
+                out = derive(np.array([_unpack(r).totals() for r in pdf.itertuples()], np.int64), every_word)
                 out.insert(0, doc_id, pdf[doc_id].to_numpy())
                 yield out
 

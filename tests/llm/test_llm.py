@@ -396,6 +396,22 @@ def test_statistics(spark):
     assert textstats.text_statistics(df.limit(0)).count() == 0 and len(whole) == len(texts) + 1
 
 
+def test_words_of_every_line(spark):
+    """Latin words count in Chinese lines too, in short and in long texts."""
+    rnd = random.Random(5)
+    texts = ["学校的专业很多，我们都看过了，学校的专业 the IoT and 班。\nIt is the end.", "我们用 the 方法来看这些学校的专业。"]
+    texts += ["".join(rnd.choices([*"学校的了专业水利工程", " the", "And ", "x", "throughout", "\n", "。"], k=n)) for n in (40, 400)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for chunk in (textstats.CHUNK, 30):
+        for r in textstats.text_statistics(df, chunk=chunk, fan_in=3).collect():
+            t = texts[r["doc_id"]]
+            latin, han = re.findall("[A-Za-z]+", t), re.findall("[\u3400-\u9fff]", t)
+            n = len(latin) + len(han)
+            common = sum(w.lower() in textstats.ENGLISH_COMMON for w in latin) + sum(c in textstats.CHINESE_COMMON for c in han)
+            assert r["word_count"] == n and r["common_word_share"] == pytest.approx(common / n, abs=1e-6)
+            assert r["mean_word_length"] == pytest.approx((len(han) + sum(map(len, latin))) / n, abs=1e-6)
+
+
 @here
 def test_labels(spark):
     """Agreement with the labels that both annotators share."""
