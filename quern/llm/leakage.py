@@ -5,9 +5,9 @@ Seeds are the n-grams of each test item, every few places, that occur in the
 corpus: an edited copy is found by any of them that it still holds. Where runs
 alone are asked for, they are chosen so that every run of ``run`` characters
 holds one; among the choices the rarest in the whole corpus are taken. Rolling hashes of all n-grams of a batch of documents are joined with
-those of the seeds while the documents are read, banded Smith-Waterman
-alignment scores each candidate pair, and the longest unbroken common run is
-measured beside it. Documents are never shuffled.
+those of the seeds while the documents are read, Smith-Waterman alignment
+scores each candidate pair around all its seeds, and the longest unbroken
+common run is measured beside it. Documents are never shuffled.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ GRAM, STEP = 16, 4
 #: Items are searched in blocks of about so many characters, each block in its
 #: own pass over the corpus; what is broadcast never exceeds a block.
 BLOCK_CHARS = 2_000_000
-#: Half the width of the alignment band, and its scores.
+#: Half the width of an alignment band around one diagonal, and the scores.
 BAND, MATCH, MISMATCH, GAP = 12, 2, -2, -3
 #: Share of an item's best possible score that makes an edited copy.
 EDITED_SHARE = 0.5
@@ -168,37 +168,82 @@ def seed_places(costs: list[int], step: int, reach: int, last: int) -> list[int]
     return out[::-1]
 
 
+#: Cells that one step of a batch of alignments works on.
+_CELLS = 1 << 17
+
+
 def align(pairs: list[tuple[str, str, int]], band: int = BAND) -> list[int]:
     """Smith-Waterman scores of (item, text, diagonal) within a band around the
-    diagonal (text place minus item place), for all pairs at once."""
-    if not pairs:
-        return []
-    rows = max(len(a) for a, _, _ in pairs)
-    width = 2 * band + 1
+    diagonal (text place minus item place)."""
+    return align_between([(a, b, d - band, d + band) for a, b, d in pairs])
+
+
+def align_between(pairs: list[tuple[str, str, int, int]]) -> list[int]:
+    """Smith-Waterman scores of (item, text, lowest diagonal, highest diagonal),
+    in batches of pairs of like width."""
+    out = [0] * len(pairs)
+    order = sorted(range(len(pairs)), key=lambda i: pairs[i][3] - pairs[i][2])
+    at = 0
+    while at < len(order):
+        end = at + 1
+        while end < len(order) and (pairs[order[end]][3] - pairs[order[end]][2] + 1) * (end + 1 - at) <= _CELLS:
+            end += 1
+        for i, x in zip(order[at:end], _align_batch([pairs[i] for i in order[at:end]])):
+            out[i] = x
+        at = end
+    return out
+
+
+def _align_batch(pairs: list[tuple[str, str, int, int]]) -> list[int]:
+    """All pairs at once: one row of the item a step, pairs side by side."""
+    rows = max(len(a) for a, *_ in pairs)
+    width = max(hi - lo for _, _, lo, hi in pairs) + 1
     n = len(pairs)
-    item = np.zeros((n, rows), np.uint32)
-    window = np.full((n, rows + width), 0xFFFFFFFF, np.uint32)
-    for i, (a, b, d) in enumerate(pairs):
-        item[i, : len(a)] = np.frombuffer(a.encode("utf-32-le"), np.uint32)
-        lo = d - band
+    item = np.zeros((rows, n), np.uint32)
+    window = np.full((rows + width, n), 0xFFFFFFFF, np.uint32)
+    for i, (a, b, lo, hi) in enumerate(pairs):
+        item[: len(a), i] = np.frombuffer(a.encode("utf-32-le"), np.uint32)
         piece = b[max(lo, 0) : max(lo + rows + width, 0)]
         if piece:
             at = max(-lo, 0)
-            window[i, at : at + len(piece)] = np.frombuffer(piece.encode("utf-32-le"), np.uint32)
-    h = np.zeros((n, width), np.int32)
-    best = np.zeros(n, np.int32)
-    slide = np.arange(width, dtype=np.int32) * -GAP
+            window[at : at + len(piece), i] = np.frombuffer(piece.encode("utf-32-le"), np.uint32)
+    kind = np.int16 if MATCH * rows - GAP * width < 30_000 else np.int32
+    h = np.zeros((width, n), kind)
+    best = np.zeros(n, kind)
+    slide = (np.arange(width) * -GAP).astype(kind)[:, None]
+    same, score, up, zero = np.empty((width, n), bool), np.empty((width, n), kind), np.empty((width - 1, n), kind), np.zeros((width, n), kind)
     for r in range(rows):
-        score = np.where(item[:, r : r + 1] == window[:, r : r + width], MATCH, MISMATCH)
-        up = np.full_like(h, -(1 << 20))
-        up[:, :-1] = h[:, 1:] + GAP
-        h = np.maximum(np.maximum(h + score, up), 0)
-        # a gap in the item, for the whole row at once
-        h = np.maximum(h, np.maximum.accumulate(h + slide, axis=1) - slide)
-        best = np.maximum(best, h.max(axis=1))
+        np.add(h[1:], kind(GAP), out=up)
+        np.equal(item[r], window[r : r + width], out=same)
+        np.multiply(same, kind(MATCH - MISMATCH), out=score)
+        h += score
+        h += kind(MISMATCH)
+        np.maximum(h[:-1], up, out=h[:-1])
+        np.maximum(h, zero, out=h)
+        # a gap in the item, for the whole row at once: a running maximum by doubling
+        h += slide
+        step = 1
+        while step < width:
+            h[step:] = np.maximum(h[step:], h[:-step])
+            step *= 2
+        h -= slide
+        np.maximum(best, h.max(axis=0), out=best)
     return best.tolist()
 
 
+def bands(diagonals: set[int], length: int) -> list[tuple[int, int]]:
+    """Ranges of diagonals that hold every alignment through one of the given
+    diagonals: gaps cost more than an item's matches can bring beyond them."""
+    reach = MATCH * length // -GAP
+    out: list[tuple[int, int]] = []
+    for d in sorted(diagonals):
+        if out and d - reach <= out[-1][1]:
+            out[-1] = (out[-1][0], d + reach)
+        else:
+            out.append((d - reach, d + reach))
+    return out
+
+
 def common_run(a: str, i: int, b: str, j: int, n: int) -> tuple[int, int]:
     """Start in ``a`` and length of the unbroken run around an n-gram that
     stands at ``a[i:]`` and ``b[j:]``."""
@@ -254,20 +299,27 @@ def leaks(docs: DataFrame, items: DataFrame, *, doc_id: str = "doc_id", item_id:
     them, with the length of the longest such run; so is, with its alignment
     score, every pair that shares an n-gram standing at a multiple of ``step``
     in the item. ``edited`` False looks for the runs alone, with fewer seeds,
-    and gives other pairs by chance. NULL, empty and short texts
-    match nothing; repeated documents and items come out once per row. Columns
+    and gives other pairs by chance, none of items shorter than ``run``. An item
+    shorter than ``gram`` is found where it stands whole; each such length takes
+    its own pass. The score is that of the best alignment through a shared
+    n-gram. NULL and empty texts match nothing; repeated documents and items come out once per row. Columns
     other than id and text are ignored.
     """
     if gram > run:
         raise ValueError("a seed may not be longer than the run")
     doc_kind, item_kind = docs.schema[doc_id].dataType.simpleString(), items.schema[item_id].dataType.simpleString()
     schema = f"{doc_id} {doc_kind}, {item_id} {item_kind}, run_length int, score int, score_share double"
-    corpus = docs.select(doc_id, text).where(F.length(text) >= gram)
+    corpus = docs.select(doc_id, text).where(F.length(text) > 0)
     out = None
     for block in blocks(items, item_id, text, block_chars):
-        one = _search(corpus, [(i, s) for i, s in block if len(s) >= run], doc_id, item_id, text, run, gram, step, schema, edited)
-        if one is not None:
-            out = one if out is None else out.unionByName(one)
+        sizes: dict[int, list[tuple[int, str]]] = {}
+        for i, s in block:
+            if len(s) >= (1 if edited else run):
+                sizes.setdefault(min(gram, len(s)), []).append((i, s))
+        for size, some in sizes.items():
+            one = _search(corpus, some, doc_id, item_id, text, run, size, step, schema, edited)
+            if one is not None:
+                out = one if out is None else out.unionByName(one)
     return out if out is not None else docs.sparkSession.createDataFrame([], schema)
 
 
@@ -321,7 +373,7 @@ def _search(corpus: DataFrame, block: list[tuple[int, str]], doc_id: str, item_i
         for pdf in batches:
             texts = pdf[text].tolist()
             for lo, hi in _slices(texts):
-                rows, pairs = [], []
+                rows, pairs, row_of = [], [], []
                 codes = fold_batch(texts[lo:hi])
                 at_code, seed = index.find(codes, gram)
                 begins = np.concatenate(([0], np.flatnonzero(codes == 1) + 1))
@@ -333,7 +385,8 @@ def _search(corpus: DataFrame, block: list[tuple[int, str]], doc_id: str, item_i
                     begin = begins[d]
                     s = decode(codes[begin : begins[d + 1] - 1] if d + 1 < len(begins) else codes[begin:])
                     i = lo + d
-                    best: dict[int, tuple[int, int]] = {}
+                    best: dict[int, int] = {}
+                    diagonals: dict[int, set[int]] = {}
                     done: dict[tuple[int, int], int] = {}
                     for place, k in hits:
                         j, g = int(place - begin), names[k]
@@ -344,12 +397,16 @@ def _search(corpus: DataFrame, block: list[tuple[int, str]], doc_id: str, item_i
                                 continue  # inside a run already measured
                             start, n = common_run(own[at][1], p, s, j, gram)
                             done[(at, j - p)] = start + n
-                            if n > best.get(at, (0, 0))[0]:
-                                best[at] = (n, j - p)
-                    for at, (n, diagonal) in best.items():
+                            best[at] = max(n, best.get(at, 0))
+                            diagonals.setdefault(at, set()).add(j - p)
+                    for at, n in best.items():
+                        for low, high in bands(diagonals[at], len(own[at][1])):
+                            row_of.append(len(rows))
+                            pairs.append((own[at][1], s, low, high))
                         rows.append((i, at, n))
-                        pairs.append((own[at][1], s, diagonal))
-                scores = align(pairs)
+                scores = [0] * len(rows)
+                for k, x in zip(row_of, align_between(pairs)):
+                    scores[k] = max(scores[k], x)
                 if rows:
                     yield pd.DataFrame({
                         doc_id: [pdf[doc_id].iloc[i] for i, _, _ in rows],

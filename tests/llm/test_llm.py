@@ -298,6 +298,21 @@ def test_edited_copies(spark):
     assert all(got[2 * i, i] >= 2 * 200 * leakage.EDITED_SHARE for i, _ in items)
 
 
+def test_short_items_and_shifted_copies(spark):
+    """Short items are found whole, copies with a long stretch put in or left out are scored as a whole."""
+    rnd = random.Random(13)
+    text = lambda n: "".join(chr(rnd.randrange(0x4E00, 0x5200)) for _ in range(n))
+    items = [(n, text(n)) for n in (1, 5, 15, 16, 23, 39)] + [(100, text(100)), (120, text(120)), (130, text(130))]
+    docs = [(i, text(30) + s + text(30)) for i, s in items if i < 100] + [(7, items[2][1])]
+    a, b, c = (s for _, s in items[6:])
+    docs += [(100, text(9) + a[:50] + text(20) + a[50:] + text(9)), (120, text(9) + b[:50] + b[70:] + text(9)), (130, c[60:] + text(200) + c[:60])]
+    out = leakage.leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    got = {(r["doc_id"], r["item_id"]): r for r in out.collect()}
+    own = {(d, d): naive_sw(dict(items)[d], t) for d, t in docs if d != 7} | {(7, 15): 30}
+    assert {k: r["score"] for k, r in got.items() if k in own} == own
+    assert all(got[k]["score_share"] == 1 for k in own if k[1] < 40) and {k for k in got if k[1] > 1} == {k for k in own if k[1] > 1}
+
+
 @settings(max_examples=80, deadline=None)
 @given(st.lists(st.integers(1, 9), min_size=7, max_size=60), st.sampled_from([4, 5]))
 def test_seed_places(costs, step):
