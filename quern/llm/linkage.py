@@ -36,7 +36,7 @@ SHORT_WORDINGS = (("科学与技术", "科技"),)
 
 OFFER = ["school", "cat", "stem", "direction"]
 CATEGORY_LIMIT = 2000
-CONVERGE_ROUNDS = 6
+CONVERGE_ROUNDS = 100
 WEIGHT_SHARE = 0.5
 SLIP_SIMILARITY = 0.8
 
@@ -156,11 +156,28 @@ def renames(rename_rows: DataFrame) -> DataFrame:
     )
 
 
+def rename_ends(renamed: DataFrame) -> DataFrame:
+    """(old, end): the last name of every chain of renames; of names that are
+    renamed in a circle the least."""
+    following = renamed.select(F.col("old").alias("meant"), F.col("new").alias("next"))
+    step, out = renamed.select("old", F.col("new").alias("meant"), F.array("old").alias("path")), None
+    path = F.array_append("path", F.col("meant"))
+    circle = F.array_contains(path, F.col("next"))
+    while True:
+        led = settle(step.join(following, "meant", "left"), "renames-led")
+        least = F.array_min(F.slice(path, F.array_position(path, F.col("next")).cast("int"), F.size(path)))
+        ended = led.where(F.col("next").isNull() | circle).select("old", F.when(F.col("next").isNull(), F.col("meant")).otherwise(least).alias("end"))
+        out = ended if out is None else out.unionByName(ended)
+        step = led.where(F.col("next").isNotNull() & ~circle).select("old", F.col("next").alias("meant"), path.alias("path"))
+        if step.isEmpty():
+            return out.distinct()
+
+
 def school_names(plan: DataFrame, past: DataFrame, renamed: DataFrame) -> DataFrame:
     """(side, name, school, similarity): the schools each name may stand for.
 
     A name known on both sides, or in a confirmed rename, stands for itself,
-    a renamed one for its new name (followed twice, for chains). Another name
+    a renamed one for its new name (followed to the end, for chains). Another name
     stands for the known names one slip away, if any, else for itself.
     """
     names = plan.select(F.lit("plan").alias("side"), "school").distinct().unionByName(past.select(F.lit("past").alias("side"), "school").distinct())
@@ -178,8 +195,7 @@ def school_names(plan: DataFrame, past: DataFrame, renamed: DataFrame) -> DataFr
     )
     itself = all_names.select("school", F.col("school").alias("meant"), F.lit(1.0).alias("similarity"))
     stands = itself.unionByName(slips)
-    for _ in range(2):
-        stands = stands.join(renamed.withColumnRenamed("old", "meant"), "meant", "left").select("school", F.coalesce("new", "meant").alias("meant"), "similarity")
+    stands = stands.join(rename_ends(renamed).withColumnRenamed("old", "meant"), "meant", "left").select("school", F.coalesce("end", "meant").alias("meant"), "similarity")
     return stands.groupBy("school", "meant").agg(F.max("similarity").alias("similarity"))
 
 
@@ -259,7 +275,8 @@ def _propagate(edges: DataFrame, rounds: int) -> DataFrame:
     share of the past school's evidence that this plan school explains. An
     offer pair's score is the product of both. A past offer whose best partner
     is exact drops its slips; a doubtful school name keeps its best school.
-    Stops as soon as no doubtful name changes its choice.
+    Stops as soon as no doubtful name changes its choice; fails if that hasn't
+    happened within ``rounds``.
     """
     pair = ["h_school", "p_school", "meant"]
     scored = edges.withColumn("school_score", F.col("start"))
@@ -276,6 +293,8 @@ def _propagate(edges: DataFrame, rounds: int) -> DataFrame:
         if chosen["n"] == 0 or tuple(chosen) == chosen_before:
             break
         chosen_before = tuple(chosen)
+    else:
+        raise RuntimeError(f"the choice of schools hasn't settled in {rounds} rounds")
     best = scored.groupBy("h1", "h2").agg(F.max("m_sim").alias("best_m"), F.max("school_score").alias("best_s"))
     kept = scored.join(best, ["h1", "h2"]).where((F.col("m_sim") == F.col("best_m")) & (F.col("school_score") >= F.col("best_s") - 1e-9))
     confidence = F.round(F.col("school_score") * F.col("m_sim") * F.when(F.col("same_direction"), 1.0).otherwise(0.95), 4)

@@ -148,6 +148,21 @@ def test_link_edges(spark):
     assert linkage.link(hot, h, empty(rs)).count() == 1000
 
 
+def test_rename_chains_and_rounds(spark):
+    ps, hs, rs = "src_row_idx int, school string, school_cat string, major string", "hist_pos long, school string, school_cat string, major string", "new_school string, old_school string, is_rename boolean"
+    names = ["晓沅民航学院", "峰柳海洋大学", "盛嵩水利学校", "霖景医药专科", "雀谷电力大专"]
+    p = spark.createDataFrame([(1, names[4], None, "数学"), (2, "德汾师范学院", None, "化学")], ps)
+    h = spark.createDataFrame([(10, names[0], None, "数学"), (11, "德汾师学院", None, "化学")], hs)
+    chain = list(zip(names[1:], names))
+    r = spark.createDataFrame([(new, old, True) for new, old in chain], rs)
+    assert {tuple(x)[:2] for x in linkage.link(p, h, r).collect()} == {(1, 10), (2, 11)}
+    ends = lambda pairs: {tuple(x) for x in linkage.rename_ends(spark.createDataFrame(pairs, "new string, old string")).collect()}
+    assert ends(chain) == {(old, names[4]) for old in names[:4]}
+    assert ends([("b", "a"), ("a", "b"), ("a", "d")]) == {("a", "a"), ("b", "a"), ("d", "a")}
+    with pytest.raises(RuntimeError):
+        linkage.link(p, h, r, rounds=1).count()
+
+
 def test_slip_pairs(spark):
     rnd = random.Random(5)
     names = sorted({"".join(rnd.choices("甲乙丙", k=rnd.randrange(2, 6))) for _ in range(80)})
