@@ -1,13 +1,17 @@
 """Evaluation texts leaking into training text (problem 7).
 
 Texts are compared as their letters and digits alone (width and case folded).
-Seeds are the n-grams of each test item, every few places, that occur in the
-corpus: an edited copy is found by any of them that it still holds. Where runs
-alone are asked for, they are chosen so that every run of ``run`` characters
-holds one; among the choices the rarest in the whole corpus are taken. Rolling hashes of all n-grams of a batch of documents are joined with
-those of the seeds while the documents are read, Smith-Waterman alignment
-scores each candidate pair around all its seeds, and the longest unbroken
-common run is measured beside it. Documents are never shuffled.
+
+1. Every n-gram of the test items is hashed; a Bloom filter of those hashes is
+   built in Spark. Its size is bounded, whatever the number of items.
+2. One pass over the corpus hashes the n-gram at every place and keeps the
+   places that pass the filter. Only those are shuffled.
+3. Seeds: in every stretch of an item the n-grams of the rarest class, by how
+   often they occur in corpus and items. They join corpus places to items.
+4. Smith-Waterman alignment scores each pair around all its seeds, in the texts
+   of the pairs alone; the longest unbroken run is measured beside it.
+
+Equal texts and equal items are searched once and spread to their rows at the end.
 """
 
 from __future__ import annotations
@@ -18,18 +22,30 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quern.session import settle
+
 #: Shortest unbroken run that counts as a leak, in letters and digits.
 RUN = 40
-#: Length of a seed and distance between the places it may start at.
-GRAM, STEP = 16, 4
-#: Items are searched in blocks of about so many characters, each block in its
-#: own pass over the corpus; what is broadcast never exceeds a block.
-BLOCK_CHARS = 2_000_000
-#: Half the width of an alignment band around one diagonal, and the scores.
-BAND, MATCH, MISMATCH, GAP = 12, 2, -2, -3
+#: Weight of an n-gram: an ideograph, kana or hangul counts 2, any other letter 1.
+WEIGHT = 16
+#: Starts in a stretch of an item. A run of RUN letters holds at least
+#: RUN - WEIGHT + 1 starts, hence a whole stretch and with it a seed.
+STRETCH = 12
+#: Bits of the filter: so many a hash, at most 2 ** BLOOM_MOST (64 MB). Beyond
+#: that it lets more places through, which the join then drops.
+BLOOM_BITS, BLOOM_LEAST, BLOOM_MOST, BLOOM_PROBES = 64, 18, 29, 4
+#: Texts of candidate pairs are found by a plain join up to this many, beyond
+#: it a filter of their hashes goes ahead of the join.
+PLAIN_JOIN = 100_000
+#: Most diagonals on either side of a seed that an alignment may reach.
+REACH = 4000
+#: Half the width of the first, narrow alignment.
+NARROW = 16
+#: Scores of the alignment.
+MATCH, MISMATCH, GAP = 2, -2, -3
 #: Share of an item's best possible score that makes an edited copy.
 EDITED_SHARE = 0.5
 
@@ -110,74 +126,52 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS["up"][:n], _POWERS["down"][:n]
 
 
-def gram_hashes(codes: np.ndarray, gram: int) -> np.ndarray:
-    """Hash of the n-gram at every place: the same for equal n-grams wherever
-    they stand. A prefix sum modulo 2^64, so the cost doesn't grow with n."""
+def weights(codes: np.ndarray) -> np.ndarray:
+    """2 for characters that stand for a syllable or a word, 1 for others."""
+    heavy = ((codes >= 0x3040) & (codes < 0xA000)) | ((codes >= 0xAC00) & (codes < 0xD7B0)) | ((codes >= 0xF900) & (codes < 0xFB00)) | (codes >= 0x20000)
+    return heavy.astype(np.int64) + 1
+
+
+def gram_hashes(codes: np.ndarray, weight: int = WEIGHT) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, end) of the n-gram at every place that has one.
+
+    An n-gram is the shortest piece that weighs ``weight`` or more, so it hangs
+    on nothing but the characters themselves. Equal n-grams have equal hashes
+    wherever they stand; a prefix sum modulo 2^64 gives all of them in one go.
+    """
     n = len(codes)
-    if n < gram:
-        return np.zeros(0, np.uint64)
-    up, down = _powers(n)
+    total = np.zeros(n + 1, np.int64)
+    np.cumsum(weights(codes), out=total[1:])
+    # first place at which a total weight is reached; of weight 2, two totals are
+    first = np.empty(total[-1] + 1, np.int64)
+    first[total[1:] - 1] = np.arange(1, n + 1)
+    first[total] = np.arange(n + 1)
+    starts = int(np.searchsorted(total, total[-1] - weight, "right"))
+    ends = first[total[:starts] + weight]
+    return _hashes(codes, np.arange(starts), ends), ends
+
+
+def _hashes(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    n = len(codes)
+    up, down = _powers(max(n, 1))
     sums = np.zeros(n + 1, np.uint64)
-    np.cumsum((codes.astype(np.uint64) + np.uint64(7)) * down, out=sums[1:])
-    h = (sums[gram:] - sums[:-gram]) * up[: n - gram + 1]
+    np.cumsum((codes.astype(np.uint64) + np.uint64(7)) * down[:n], out=sums[1:])
+    h = (sums[ends] - sums[starts]) * up[starts]
     h ^= h >> np.uint64(29)
     h *= np.uint64(0xBF58476D1CE4E5B9)
     return h ^ (h >> np.uint64(32))
 
 
-class SeedIndex:
-    """Sorted hashes of a block's n-grams, with a bitmap in front."""
-
-    BITS = 22
-
-    def __init__(self, grams: list[str]):
-        codes = np.frombuffer("".join(grams).encode("utf-32-le"), np.uint32).reshape(len(grams), -1)
-        hashes = np.array([gram_hashes(c, len(c))[0] for c in codes], np.uint64)
-        self.order = np.argsort(hashes)
-        self.hashes = hashes[self.order]
-        self.map = np.zeros(1 << self.BITS, bool)
-        self.map[self.hashes >> np.uint64(64 - self.BITS)] = True
-
-    def find(self, codes: np.ndarray, gram: int) -> tuple[np.ndarray, np.ndarray]:
-        """(places, n-gram numbers) of hash matches; the caller compares texts."""
-        h = gram_hashes(codes, gram)
-        at = np.flatnonzero(self.map[h >> np.uint64(64 - self.BITS)])
-        k = np.searchsorted(self.hashes, h[at])
-        k[k == len(self.hashes)] = 0
-        hit = self.hashes[k] == h[at]
-        return at[hit], self.order[k[hit]]
-
-
-def seed_places(costs: list[int], step: int, reach: int, last: int) -> list[int]:
-    """Places (multiples of ``step`` up to ``last``) with the least total cost
-    such that every window of ``reach`` consecutive starts holds one."""
-    n = len(costs)
-    total, came = [0] * n, [-1] * n
-    for i in range(n):
-        if i * step < reach:
-            total[i], came[i] = costs[i], -1
-            continue
-        best = min((j for j in range(max(0, i - reach // step), i) if (i - j) * step <= reach), key=lambda j: (total[j], -j))
-        total[i], came[i] = total[best] + costs[i], best
-    ends = [i for i in range(n) if i * step > last - reach]
-    i = min(ends, key=lambda j: (total[j], j))
-    out = []
-    while i >= 0:
-        out.append(i * step)
-        i = came[i]
-    return out[::-1]
+def length_hashes(codes: np.ndarray, length: int) -> np.ndarray:
+    """Hash of the piece of ``length`` characters at every place."""
+    starts = np.arange(max(0, len(codes) - length + 1))
+    return _hashes(codes, starts, starts + length)
 
 
 #: Cells that one step of a batch of alignments works on.
 _CELLS = 1 << 17
 
 
-def align(pairs: list[tuple[str, str, int]], band: int = BAND) -> list[int]:
-    """Smith-Waterman scores of (item, text, diagonal) within a band around the
-    diagonal (text place minus item place)."""
-    return align_between([(a, b, d - band, d + band) for a, b, d in pairs])
-
-
 def align_between(pairs: list[tuple[str, str, int, int]]) -> list[int]:
     """Smith-Waterman scores of (item, text, lowest diagonal, highest diagonal),
     in batches of pairs of like width."""
@@ -231,10 +225,14 @@ def _align_batch(pairs: list[tuple[str, str, int, int]]) -> list[int]:
     return best.tolist()
 
 
-def bands(diagonals: set[int], length: int) -> list[tuple[int, int]]:
-    """Ranges of diagonals that hold every alignment through one of the given
-    diagonals: gaps cost more than an item's matches can bring beyond them."""
-    reach = MATCH * length // -GAP
+def band_reach(length: int) -> int:
+    """How far an alignment of an item may leave its seed's diagonal: gaps cost
+    more than the item's matches can bring beyond it; REACH at most."""
+    return min(MATCH * length // -GAP, REACH)
+
+
+def bands(diagonals: list[int], reach: int) -> list[tuple[int, int]]:
+    """Ranges of diagonals that hold ``reach`` on either side of each."""
     out: list[tuple[int, int]] = []
     for d in sorted(diagonals):
         if out and d - reach <= out[-1][1]:
@@ -244,27 +242,42 @@ def bands(diagonals: set[int], length: int) -> list[tuple[int, int]]:
     return out
 
 
-def common_run(a: str, i: int, b: str, j: int, n: int) -> tuple[int, int]:
-    """Start in ``a`` and length of the unbroken run around an n-gram that
-    stands at ``a[i:]`` and ``b[j:]``."""
-    lo = 0
-    while i - lo > 0 and j - lo > 0 and a[i - lo - 1] == b[j - lo - 1]:
-        lo += 1
-    hi = n
-    while i + hi < len(a) and j + hi < len(b) and a[i + hi] == b[j + hi]:
-        hi += 1
-    return i - lo, lo + hi
+def seeded_scores(pairs: list[tuple[str, str, list[int]]], least: list[int]) -> list[int]:
+    """Best alignment score of each (item, text, diagonals of seeds), or 0 where
+    it can't reach ``least``.
 
+    A narrow alignment goes first. One of score S that leaves the narrow band k
+    times pays at least g = NARROW * -GAP each time, so its pieces sum to
+    S + k * g and the best of them has g or more (where S has); a pair whose
+    narrow score is below both g and its ``least`` is given up."""
 
-_KEPT: dict[str, SeedIndex] = {}
+    def over(which: list[int], reach) -> dict[int, int]:
+        spans = [(k, lo, hi) for k in which for lo, hi in bands(pairs[k][2], reach(len(pairs[k][0])))]
+        best: dict[int, int] = {}
+        for (k, _, _), x in zip(spans, align_between([(pairs[k][0], pairs[k][1], lo, hi) for k, lo, hi in spans])):
+            best[k] = max(x, best.get(k, 0))
+        return best
+
+    narrow = over(range(len(pairs)), lambda n: min(NARROW, band_reach(n)))
+    full = over([k for k, x in narrow.items() if x >= min(NARROW * -GAP, least[k])], band_reach)
+    return [x if (x := full.get(k, 0)) >= least[k] else 0 for k in range(len(pairs))]
+
+
+def longest_run(item: np.ndarray, text: np.ndarray, diagonals: list[int]) -> int:
+    """Length of the longest unbroken common run on the given diagonals."""
+    best = 0
+    for d in diagonals:
+        lo, hi = max(0, -d), min(len(item), len(text) - d)
+        if hi - lo <= best:
+            continue
+        breaks = np.flatnonzero(item[lo:hi] != text[lo + d : hi + d])
+        edges = np.concatenate(([-1], breaks, [hi - lo]))
+        best = max(best, int(np.diff(edges).max()) - 1)
+    return best
 
 
-def _index(token: str, grams: list[str]) -> SeedIndex:
-    """The index of a block, built once per Python worker."""
-    if token not in _KEPT:
-        _KEPT.clear()
-        _KEPT[token] = SeedIndex(grams)
-    return _KEPT[token]
+def _codes(s: str) -> np.ndarray:
+    return np.frombuffer(s.encode("utf-32-le", "surrogatepass"), np.uint32)
 
 
 def _slices(texts: list[str], limit: int = 2_000_000) -> Iterator[tuple[int, int]]:
@@ -278,142 +291,183 @@ def _slices(texts: list[str], limit: int = 2_000_000) -> Iterator[tuple[int, int
         yield a, len(texts)
 
 
-def blocks(items: DataFrame, item_id: str, text: str, block_chars: int = BLOCK_CHARS) -> Iterator[list[tuple[int, str]]]:
-    """The folded items in blocks of bounded size."""
-    block, size = [], 0
-    for r in items.select(item_id, text).where(F.col(text).isNotNull()).toLocalIterator():
-        folded = fold_text(r[1])
-        if block and size + len(folded) > block_chars:
-            yield block
-            block, size = [], 0
-        block.append((r[0], folded))
-        size += len(folded)
-    if block:
-        yield block
-
-
-def leaks(docs: DataFrame, items: DataFrame, *, doc_id: str = "doc_id", item_id: str = "item_id", text: str = "text", run: int = RUN, gram: int = GRAM, step: int = STEP, block_chars: int = BLOCK_CHARS, edited: bool = True) -> DataFrame:
-    """(doc_id, item_id, run_length, score, score_share) of candidate pairs.
-
-    Every pair whose texts share an unbroken run of ``run`` characters is among
-    them, with the length of the longest such run; so is, with its alignment
-    score, every pair that shares an n-gram standing at a multiple of ``step``
-    in the item. ``edited`` False looks for the runs alone, with fewer seeds,
-    and gives other pairs by chance, none of items shorter than ``run``. An item
-    shorter than ``gram`` is found where it stands whole; each such length takes
-    its own pass. The score is that of the best alignment through a shared
-    n-gram. NULL and empty texts match nothing; repeated documents and items come out once per row. Columns
-    other than id and text are ignored.
+def _probe(h: Column, k: int, bits: int) -> Column:
+    """Place of a hash's k-th bit (``_passes`` does the same in numpy)."""
+    mask = F.lit((1 << bits) - 1)
+    step = F.shiftright(h, 33).bitwiseAND(mask).bitwiseOR(F.lit(1))
+    return (h.bitwiseAND(mask) + step * F.lit(k)).bitwiseAND(mask)
+
+
+def bloom(hashes: DataFrame, column: str, n: int) -> tuple[bytes, int]:
+    """(bitmap, its size as a power of two) of a column of ``n`` 64-bit hashes.
+
+    The pieces of the bitmap are built and merged in Spark; at most
+    2 ** BLOOM_MOST bits come to the driver, however many hashes there are.
     """
-    if gram > run:
-        raise ValueError("a seed may not be longer than the run")
-    doc_kind, item_kind = docs.schema[doc_id].dataType.simpleString(), items.schema[item_id].dataType.simpleString()
-    schema = f"{doc_id} {doc_kind}, {item_id} {item_kind}, run_length int, score int, score_share double"
-    corpus = docs.select(doc_id, text).where(F.length(text) > 0)
-    out = None
-    for block in blocks(items, item_id, text, block_chars):
-        sizes: dict[int, list[tuple[int, str]]] = {}
-        for i, s in block:
-            if len(s) >= (1 if edited else run):
-                sizes.setdefault(min(gram, len(s)), []).append((i, s))
-        for size, some in sizes.items():
-            one = _search(corpus, some, doc_id, item_id, text, run, size, step, schema, edited)
-            if one is not None:
-                out = one if out is None else out.unionByName(one)
-    return out if out is not None else docs.sparkSession.createDataFrame([], schema)
-
-
-def _search(corpus: DataFrame, block: list[tuple[int, str]], doc_id: str, item_id: str, text: str, run: int, gram: int, step: int, schema: str, edited: bool) -> DataFrame | None:
-    import uuid
-
-    if not block:
-        return None
-    spark = corpus.sparkSession
-    # the places a seed may start at, and how often each n-gram occurs in the corpus
-    grams: dict[str, int] = {}
-    for _, s in block:
-        for p in range(0, len(s) - gram + 1, step):
-            grams.setdefault(s[p : p + gram], len(grams))
-    every, token = spark.sparkContext.broadcast(list(grams)), uuid.uuid4().hex
-
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        index = _index(token, every.value)
-        n = np.zeros(len(every.value), np.int64)
+    bits = min(BLOOM_MOST, max(BLOOM_LEAST, (n * BLOOM_BITS).bit_length()))
+    at = F.explode(F.array(*[_probe(F.col(column), k, bits) + 1 for k in range(BLOOM_PROBES)]))
+    pieces = hashes.select(at.alias("b")).groupBy(F.bitmap_bucket_number("b").alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("b")).alias("m"))
+    out = np.zeros(max(1 << (bits - 3), 4096), np.uint8)
+    for r in pieces.toLocalIterator():
+        lo = (int(r["k"]) - 1) * 4096  # buckets of 32768 bits, counted from 1
+        out[lo : lo + 4096] |= np.frombuffer(bytes(r["m"]), np.uint8)[: len(out) - lo]
+    return out.tobytes(), bits
+
+
+def _passes(h: np.ndarray, bitmap: np.ndarray, bits: int) -> np.ndarray:
+    """Places in ``h`` (int64) whose hash may be in the filter."""
+    at = None
+    mask = np.int64((1 << bits) - 1)
+    for k in range(BLOOM_PROBES):
+        x = h if at is None else h[at]
+        step = ((x >> np.int64(33)) & mask) | np.int64(1)
+        b = ((x & mask) + step * np.int64(k)) & mask
+        hit = (bitmap[b >> 3] >> (b & 7).astype(np.uint8)) & 1
+        at = np.flatnonzero(hit) if at is None else at[hit.astype(bool)]
+    return at
+
+
+def item_grams(kinds: DataFrame) -> DataFrame:
+    """(h, i, p, stretch, size) of every n-gram of the items (i, s).
+
+    An item lighter than an n-gram is one n-gram of its own ``size``; size is 0
+    for all others."""
+
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            texts = pdf[text].tolist()
-            for lo, hi in _slices(texts):
-                # by hash alone: a rarity need not be exact
-                _, k = index.find(fold_batch(texts[lo:hi]), gram)
-                n += np.bincount(k, minlength=len(n))
-        k = np.flatnonzero(n)
-        yield pd.DataFrame({"k": k, "n": n[k]})
-
-    found = corpus.mapInPandas(count, "k long, n long").groupBy("k").agg(F.sum("n").alias("n")).collect()
-    times = [0] * len(grams)  # one number per n-gram of the block
-    for r in found:
-        times[r["k"]] = r["n"]
-    reach = run - gram + 1
-    seeds: dict[str, list[tuple[int, int]]] = {}
-    for at, (_, s) in enumerate(block):
-        places = range(0, len(s) - gram + 1, step)
-        if not edited:
-            # a run that occurs has all its n-grams in the corpus, so those that don't are cheapest
-            places = seed_places([1 + times[grams[s[p : p + gram]]] for p in places], step, reach - step + 1, len(s) - gram)
-        for p in places:
-            seeds.setdefault(s[p : p + gram], []).append((at, p))
-    if not any(times[grams[g]] for g in seeds):
-        return None
-    # seeds that occur nowhere in the corpus need not be looked for
-    used = [g for g in seeds if times[grams[g]]]
-    chosen, seed_token = spark.sparkContext.broadcast((block, used, [seeds[g] for g in used])), uuid.uuid4().hex
+            for i, s in zip(pdf["i"], pdf["s"]):
+                codes = _codes(s)
+                h, _ = gram_hashes(codes) if weights(codes).sum() >= WEIGHT else (length_hashes(codes, len(codes)), None)
+                p = np.arange(len(h), dtype=np.int32)
+                size = 0 if weights(codes).sum() >= WEIGHT else len(codes)
+                yield pd.DataFrame({"h": h.view(np.int64), "i": i, "p": p, "stretch": p // STRETCH, "size": np.int32(size)})
+
+    return kinds.select("i", "s").mapInPandas(cut, "h long, i long, p int, stretch int, size int")
+
+
+def corpus_places(docs: DataFrame, doc_id: str, text: str, filters: dict[int, tuple[bytes, int]]) -> DataFrame:
+    """(doc_id, t1, t2, hs, at): of every document with any, the n-grams that
+    pass the filter, and where. ``filters`` has one for each size of n-gram."""
+    spark = docs.sparkSession
+    shared = spark.sparkContext.broadcast(filters)
+    kind = docs.schema[doc_id].dataType.simpleString()
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        own, names, places = chosen.value
-        index = _index(seed_token, names)
+        maps = {size: (np.frombuffer(m, np.uint8), bits) for size, (m, bits) in shared.value.items()}
         for pdf in batches:
             texts = pdf[text].tolist()
             for lo, hi in _slices(texts):
-                rows, pairs, row_of = [], [], []
                 codes = fold_batch(texts[lo:hi])
-                at_code, seed = index.find(codes, gram)
                 begins = np.concatenate(([0], np.flatnonzero(codes == 1) + 1))
-                doc = np.searchsorted(begins, at_code, "right") - 1
-                by_doc: dict[int, list[tuple[int, int]]] = {}
-                for d, p, k in zip(doc.tolist(), at_code.tolist(), seed.tolist()):
-                    by_doc.setdefault(d, []).append((p, k))
-                for d, hits in by_doc.items():
-                    begin = begins[d]
-                    s = decode(codes[begin : begins[d + 1] - 1] if d + 1 < len(begins) else codes[begin:])
-                    i = lo + d
-                    best: dict[int, int] = {}
-                    diagonals: dict[int, set[int]] = {}
-                    done: dict[tuple[int, int], int] = {}
-                    for place, k in hits:
-                        j, g = int(place - begin), names[k]
-                        if s[j : j + gram] != g:
-                            continue
-                        for at, p in places[k]:
-                            if done.get((at, j - p), -1) >= p + gram:
-                                continue  # inside a run already measured
-                            start, n = common_run(own[at][1], p, s, j, gram)
-                            done[(at, j - p)] = start + n
-                            best[at] = max(n, best.get(at, 0))
-                            diagonals.setdefault(at, set()).add(j - p)
-                    for at, n in best.items():
-                        for low, high in bands(diagonals[at], len(own[at][1])):
-                            row_of.append(len(rows))
-                            pairs.append((own[at][1], s, low, high))
-                        rows.append((i, at, n))
-                scores = [0] * len(rows)
-                for k, x in zip(row_of, align_between(pairs)):
-                    scores[k] = max(scores[k], x)
-                if rows:
-                    yield pd.DataFrame({
-                        doc_id: [pdf[doc_id].iloc[i] for i, _, _ in rows],
-                        item_id: [own[at][0] for _, at, _ in rows],
-                        "run_length": [n for _, _, n in rows],
-                        "score": scores,
-                        "score_share": [round(x / (MATCH * len(own[at][1])), 4) for x, (_, at, _) in zip(scores, rows)],
-                    })
-
-    return corpus.mapInPandas(search, schema)
+                hs, at = [], []
+                for size, (m, bits) in maps.items():
+                    h = (length_hashes(codes, size) if size else gram_hashes(codes)[0]).view(np.int64)
+                    found = _passes(h, m, bits)
+                    hs.append(h[found])
+                    at.append(found)
+                h, places = np.concatenate(hs), np.concatenate(at)
+                doc = np.searchsorted(begins, places, "right") - 1
+                order = np.argsort(doc, kind="stable")
+                h, places, doc = h[order], places[order], doc[order]
+                own, first = np.unique(doc, return_index=True)
+                if len(own):
+                    rows = pdf.iloc[own + lo][[doc_id, "t1", "t2"]].reset_index(drop=True)
+                    rows["hs"] = np.split(h, first[1:])
+                    rows["at"] = np.split((places - begins[doc]).astype(np.int32), first[1:])
+                    yield rows
+
+    return docs.select(doc_id, "t1", "t2", text).mapInPandas(search, f"{doc_id} {kind}, t1 long, t2 long, hs array<long>, at array<int>")
+
+
+def seeds(grams: DataFrame, places: DataFrame) -> DataFrame:
+    """(h, i, p): in every stretch of an item, of the n-grams that occur in the
+    corpus, all of the rarest class. Classes are powers of two of occurrences
+    times items, so that a copy with a few n-grams more or less changes none."""
+    from pyspark.sql import Window
+
+    n = places.select(F.explode("hs").alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("n"))
+    k = grams.groupBy("h").agg(F.count(F.lit(1)).alias("k"))
+    cost = n.join(k, "h").select("h", F.floor(F.log2(F.col("n") * F.col("k"))).cast("int").alias("cost"))
+    least = F.min("cost").over(Window.partitionBy("i", "stretch"))  # STRETCH rows at most
+    return grams.join(cost, "h").withColumn("least", least).where("cost = least").select("h", "i", "p")
+
+
+def _texts(docs: DataFrame, pairs: DataFrame, text: str) -> DataFrame:
+    """(t1, t2, s): the folded text of every pair, once."""
+    wanted = pairs.select("t1", "t2").distinct()
+    n = wanted.count()
+    if n > PLAIN_JOIN:
+        bitmap = docs.sparkSession.sparkContext.broadcast(bloom(wanted, "t1", n))
+
+        @F.pandas_udf("boolean")
+        def wanted_hash(t: pd.Series) -> pd.Series:
+            m, bits = bitmap.value
+            out = np.zeros(len(t), bool)
+            out[_passes(t.to_numpy(np.int64), np.frombuffer(m, np.uint8), bits)] = True
+            return pd.Series(out)
+
+        docs = docs.where(wanted_hash("t1"))
+
+    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            pdf["s"] = [x for lo, hi in _slices(pdf[text].tolist()) for x in fold_texts(pdf[text].iloc[lo:hi].tolist())]
+            yield pdf[["t1", "t2", "s"]]
+
+    one = docs.select("t1", "t2", text).join(wanted, ["t1", "t2"]).dropDuplicates(["t1", "t2"])
+    return one.mapInPandas(fold, "t1 long, t2 long, s string")
+
+
+def leaks(docs: DataFrame, items: DataFrame, *, doc_id: str = "doc_id", item_id: str = "item_id", text: str = "text", run: int = RUN, share: float = EDITED_SHARE) -> DataFrame:
+    """(doc_id, item_id, run_length, score, score_share) of every leak.
+
+    Every pair whose texts share an unbroken run of ``run`` characters comes out
+    with the length of its longest such run; so does every pair that shares a
+    seed and whose alignment reaches ``share`` of the item's best possible
+    score. The score is that of the best alignment around all shared seeds; the
+    run is measured on their diagonals, in pairs that the score lets through. An
+    item lighter than an n-gram is found where it stands whole. NULL and empty
+    texts match nothing; repeated documents and items come out once per row.
+    Columns other than id and text are ignored.
+    """
+    if run < WEIGHT + 2 * STRETCH - 2:
+        raise ValueError("so short a run may hold no seed")
+    doc_kind, item_kind = docs.schema[doc_id].dataType, items.schema[item_id].dataType
+    corpus = docs.where(F.length(text) > 0).select(F.col(doc_id).alias("d"), F.col(text).alias("x"), F.xxhash64(text).alias("t1"), F.xxhash64(F.lit("2"), text).alias("t2"))
+
+    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            pdf["s"] = fold_texts(pdf["s"].tolist())
+            yield pdf[pdf["s"] != ""]
+
+    own = items.where(F.length(text) > 0).select(F.col(item_id).alias("e"), F.col(text).alias("s"))
+    own = settle(own.mapInPandas(fold, own.schema), "items")
+    kinds = settle(own.select("s").distinct().withColumn("i", F.monotonically_increasing_id()), "item-kinds")
+    grams = settle(item_grams(kinds), "item-grams")
+    sizes = {r["size"]: r["n"] for r in grams.groupBy("size").agg(F.count(F.lit(1)).alias("n")).collect()}  # WEIGHT sizes at most
+    if not sizes:
+        return docs.sparkSession.createDataFrame([], f"{doc_id} {doc_kind.simpleString()}, {item_id} {item_kind.simpleString()}, run_length int, score int, score_share double")
+    filters = {size: bloom(grams.where(F.col("size") == size), "h", n) for size, n in sizes.items()}
+    places = settle(corpus_places(corpus, "d", "x", filters), "places")
+    chosen = settle(seeds(grams, places), "seeds")
+    hits = places.select("t1", "t2", F.explode(F.arrays_zip("hs", "at")).alias("z")).select("t1", "t2", F.col("z.hs").alias("h"), F.col("z.at").alias("at"))
+    pairs = hits.join(chosen, "h").groupBy("t1", "t2", "i").agg(F.collect_set(F.col("at") - F.col("p")).alias("diagonals"))
+    pairs = settle(pairs, "pairs")
+    reach = F.least(F.floor(F.length("item") * F.lit(MATCH / -GAP)), F.lit(REACH)).cast("int")
+    begin = F.greatest(F.array_min("diagonals") - reach, F.lit(0))
+    end = F.array_max("diagonals") + F.length("item") + reach
+    met = pairs.join(_texts(corpus, pairs, "x"), ["t1", "t2"]).join(kinds.withColumnRenamed("s", "item"), "i").select(
+        "t1", "t2", "i", "item", F.substring("s", begin + 1, end - begin).alias("window"), F.transform("diagonals", lambda d: d - begin).alias("diagonals")
+    )
+
+    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            met = [(a, b, [int(d) for d in ds]) for a, b, ds in zip(pdf["item"], pdf["window"], pdf["diagonals"])]
+            best = [MATCH * len(a) for a, _, _ in met]
+            scores = seeded_scores(met, [min(MATCH * run, -int(-share * m // 1)) for m in best])
+            runs = [longest_run(_codes(a), _codes(b), ds) if x else 0 for (a, b, ds), x in zip(met, scores)]
+            out = pdf[["t1", "t2", "i"]].assign(run_length=runs, score=scores, score_share=[round(x / m, 4) for x, m in zip(scores, best)])
+            yield out[(out["run_length"] >= run) | (out["score_share"] >= share)]
+
+    scored = met.mapInPandas(score, "t1 long, t2 long, i long, run_length int, score int, score_share double")
+    rows = scored.join(places.select("d", "t1", "t2"), ["t1", "t2"]).join(own.join(kinds, "s").select("e", "i"), "i")
+    return rows.select(F.col("d").alias(doc_id), F.col("e").alias(item_id), "run_length", "score", "score_share")

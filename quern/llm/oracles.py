@@ -48,13 +48,27 @@ def p1_found() -> str:
     SELECT tbl, row_key, field_name FROM f WHERE t IN (SELECT t FROM bad)"""
 
 
-def p7_found() -> str:
-    """All runs of the least length of the items, looked up in the documents."""
+def _runs() -> str:
+    """(doc_id, item_id, run_length, length): the longest run of each pair, from
+    all runs of the least length that items and documents share."""
     wide = "".join(chr(c) for c in (*range(0xFF10, 0xFF1A), *range(0xFF21, 0xFF3B), *range(0xFF41, 0xFF5B)))
     half = "".join(chr(ord(c) - 0xFEE0) for c in wide)
     fold = f"lower(strip_accents(regexp_replace(translate(text, '{wide}', '{half}'), '[^\\pL\\pN]', '', 'g')))"
-    grams = lambda t, i: f"SELECT {i}, substring(s, p, {RUN}) AS g FROM (SELECT {i}, s, unnest(generate_series(1, length(s) - {RUN - 1})) AS p FROM (SELECT {i}, {fold} AS s FROM {t} WHERE text IS NOT NULL) WHERE length(s) >= {RUN})"
-    return f"SELECT DISTINCT doc_id, item_id FROM ({grams('documents', 'doc_id')}) JOIN (SELECT DISTINCT * FROM ({grams('eval_items', 'item_id')})) USING (g)"
+    grams = lambda t, i: f"SELECT {i}, {i}_row, length(s) AS length, p, substring(s, p, {RUN}) AS g FROM (SELECT {i}, {i}_row, s, unnest(generate_series(1, length(s) - {RUN - 1})) AS p FROM (SELECT {i}, row_number() OVER () AS {i}_row, {fold} AS s FROM {t} WHERE text IS NOT NULL) WHERE length(s) >= {RUN})"
+    return f"""SELECT doc_id, item_id, CAST(max(n) + {RUN - 1} AS INTEGER) AS run_length, length FROM (
+      SELECT doc_id, doc_id_row, item_id, item_id_row, length, count(*) AS n FROM (
+        SELECT *, d - row_number() OVER (PARTITION BY doc_id_row, item_id_row, d - p ORDER BY d) AS island, d - p AS diagonal
+        FROM (SELECT doc_id, doc_id_row, p AS d, g FROM ({grams("documents", "doc_id")})) JOIN ({grams("eval_items", "item_id")}) USING (g))
+      GROUP BY ALL) GROUP BY doc_id, doc_id_row, item_id, item_id_row, length"""
+
+
+def p7_found() -> str:
+    return f"SELECT doc_id, item_id FROM ({_runs()})"
+
+
+def p7_leaks() -> str:
+    """Whole items and runs; it knows no edited copies, of which the test tables have none."""
+    return f"SELECT doc_id, item_id, CASE WHEN run_length = length THEN 'whole' ELSE 'part' END AS how, run_length FROM ({_runs()})"
 
 
 def p8_stats() -> str:
@@ -146,4 +160,4 @@ SELECT DISTINCT pid AS src_row_idx, hid AS hist_pos FROM E JOIN B USING (school,
 
 def oracle() -> dict[str, str]:
     stats = p8_stats()
-    return {"p1_found": p1_found(), "p2_found": p2_found(), "p7_found": p7_found(), "p8_stats": stats, "p8_found": f"SELECT doc_id FROM ({stats}) WHERE kind = 'apart'"}
+    return {"p1_found": p1_found(), "p2_found": p2_found(), "p7_found": p7_found(), "p7_leaks": p7_leaks(), "p8_stats": stats, "p8_found": f"SELECT doc_id FROM ({stats}) WHERE kind = 'apart'"}

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quern.llm import oracles
-from quern.llm.leakage import EDITED_SHARE, RUN, leaks
+from quern.llm.leakage import RUN, leaks
 from quern.llm.linkage import link
 from quern.llm.lookalikes import plain_spelling
 from quern.llm.packing import containers, pack, token_counts
@@ -66,15 +66,21 @@ def p6_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def p7_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents and the items they leak: whole, in part, or edited."""
+def p7_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents and the items they leak, with run and alignment score: whole,
+    in part (an unbroken run), or edited (by the score alone)."""
     found = leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
-    how = F.when(F.col("score_share") >= 0.98, "whole").when(F.col("run_length") >= RUN, "part").when(F.col("score_share") >= EDITED_SHARE, "edited")
-    return found.withColumn("how", how).where(F.col("how").isNotNull())
+    return found.withColumn("how", F.when(F.col("score_share") >= 1, "whole").when(F.col("run_length") >= RUN, "part").otherwise("edited"))
+
+
+def p7_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents and the items they leak, and how, with the longest run."""
+    return p7_scores(spark, sf_dir).select("doc_id", "item_id", "how", "run_length")
 
 
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"), edited=False)
+    """The leaks with an unbroken run."""
+    found = leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
     return found.where(F.col("run_length") >= RUN).select("doc_id", "item_id")
 
 
@@ -88,7 +94,7 @@ def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p8_stats(spark, sf_dir).where(F.col("kind") == "apart").select("doc_id")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_plain, p2_found, p2_linked, p6_packed, p6_each, p6_fill, p7_found, p7_leaks, p8_found, p8_stats)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_plain, p2_found, p2_linked, p6_packed, p6_each, p6_fill, p7_found, p7_leaks, p7_scores, p8_found, p8_stats)}
 
 
 def oracle() -> dict[str, str]:

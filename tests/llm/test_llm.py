@@ -7,13 +7,12 @@ import random
 import re
 from collections import Counter, defaultdict
 
-import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from quern.llm import leakage, linkage, lookalikes, packing, queries, textstats
+from quern.llm import linkage, lookalikes, packing, queries, textstats
 from quern.llm.unionfind import UnionFind
 from tests.helpers import DATA, rows, sql_rows
 
@@ -245,138 +244,6 @@ def test_token_counts(spark):
     assert enc.decode(enc.encode_ordinary("招生 plan")) == "招生 plan"
 
 
-# --- 7: leakage ---------------------------------------------------------------
-
-
-def brute_runs(docs, items, run):
-    grams = defaultdict(set)
-    for i, t in items:
-        s = leakage.fold_text(t or "")
-        for p in range(len(s) - run + 1):
-            grams[s[p : p + run]].add(i)
-    out = set()
-    for d, t in docs:
-        s = leakage.fold_text(t or "")
-        for p in range(len(s) - run + 1):
-            out |= {(d, i) for i in grams.get(s[p : p + run], ())}
-    return out
-
-
-@pytest.mark.parametrize("block", [2_000_000, 150])
-def test_leaks(spark, block):
-    rnd = random.Random(7)
-    letters = "招生计划线差表复核位次甲乙丙丁abCD12"
-    text = lambda n: "".join(rnd.choices(letters, k=n))
-    items = [(i, text(rnd.randrange(20, 120))) for i in range(12)] + [(50, None), (51, ""), (52, "短")]
-    docs = []
-    for d in range(120):
-        body = text(rnd.randrange(0, 200))
-        if d % 2:
-            src = items[rnd.randrange(12)][1]
-            n = rnd.choice([38, 39, 40, 41, 60, 200])
-            at = rnd.randrange(max(1, len(src) - n + 1))
-            piece = src[at : at + n]
-            noisy = "".join(c + rnd.choice(["", "", "，", "\n", "​", " "]) for c in piece)
-            body = body[:50] + noisy.upper() + body[50:]
-        docs.append((d, body))
-    docs += [(900, None), (901, ""), (902, text(60_000)), (903, items[0][1] * 3), (903, items[0][1] * 3)]
-    d = spark.createDataFrame([(i, t, 1) for i, t in docs], "doc_id long, text string, item_id int")
-    e = spark.createDataFrame([(i, t, "x") for i, t in items], "item_id long, text string, doc_id string")
-    out = leakage.leaks(d, e, block_chars=block)
-    got = {(r["doc_id"], r["item_id"]) for r in out.where("run_length >= 40").collect()}
-    assert got == brute_runs(docs, items, 40) and len(got) > 10
-    if len(leakage.fold_text(items[0][1])) >= 40:
-        assert out.where("doc_id = 903 AND item_id = 0").count() == 2
-
-
-def test_leaks_edges(spark):
-    d = spark.createDataFrame([], "doc_id long, text string")
-    e = spark.createDataFrame([(1, "x" * 60)], "item_id long, text string")
-    assert leakage.leaks(d, e).count() == 0
-    assert leakage.leaks(e.select(F.col("item_id").alias("doc_id"), "text"), e.limit(0)).count() == 0
-
-
-def test_edited_copies(spark):
-    """Every edited copy that holds an n-gram of the seeds' places, against alignment without a band."""
-    rnd = random.Random(11)
-    letters = [chr(c) for c in range(0x4E00, 0x5200)]
-    items = [(i, "".join(rnd.choices(letters, k=200))) for i in range(20)]
-    docs = []
-    for i, s in items:
-        even = "".join("x" if k % 24 == 23 else c for k, c in enumerate(s))
-        uneven = "".join("x" if rnd.random() < 1 / 26 else c for c in s)
-        docs += [(2 * i, "前" * 9 + even + "后" * 9), (2 * i + 1, "前" * 9 + uneven + "后" * 9)]
-    out = leakage.leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
-    got = {(r["doc_id"], r["item_id"]): r["score"] for r in out.collect()}
-    held = lambda s, t: any(s[p : p + leakage.GRAM] in t for p in range(0, len(s) - leakage.GRAM + 1, leakage.STEP))
-    assert got == {(d, i): naive_sw(s, t) for d, t in docs for i, s in items if d // 2 == i and held(s, t)}
-    assert all(got[2 * i, i] >= 2 * 200 * leakage.EDITED_SHARE for i, _ in items)
-
-
-def test_short_items_and_shifted_copies(spark):
-    """Short items are found whole, copies with a long stretch put in or left out are scored as a whole."""
-    rnd = random.Random(13)
-    text = lambda n: "".join(chr(rnd.randrange(0x4E00, 0x5200)) for _ in range(n))
-    items = [(n, text(n)) for n in (1, 5, 15, 16, 23, 39)] + [(100, text(100)), (120, text(120)), (130, text(130))]
-    docs = [(i, text(30) + s + text(30)) for i, s in items if i < 100] + [(7, items[2][1])]
-    a, b, c = (s for _, s in items[6:])
-    docs += [(100, text(9) + a[:50] + text(20) + a[50:] + text(9)), (120, text(9) + b[:50] + b[70:] + text(9)), (130, c[60:] + text(200) + c[:60])]
-    out = leakage.leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
-    got = {(r["doc_id"], r["item_id"]): r for r in out.collect()}
-    own = {(d, d): naive_sw(dict(items)[d], t) for d, t in docs if d != 7} | {(7, 15): 30}
-    assert {k: r["score"] for k, r in got.items() if k in own} == own
-    assert all(got[k]["score_share"] == 1 for k in own if k[1] < 40) and {k for k in got if k[1] > 1} == {k for k in own if k[1] > 1}
-
-
-@settings(max_examples=80, deadline=None)
-@given(st.lists(st.integers(1, 9), min_size=7, max_size=60), st.sampled_from([4, 5]))
-def test_seed_places(costs, step):
-    reach = 25 - step + 1
-    last = (len(costs) - 1) * step
-    places = leakage.seed_places(costs, step, reach, last)
-    # every window of 25 consecutive starts holds a place
-    assert all(any(s <= p < s + 25 for p in places) for s in range(max(1, last + 1 - 24)))
-
-
-def test_fold_texts():
-    texts = ["ＡＢｃ，，１２", "É é ﬁ㎝", "", "甲​乙\n丙", "𝐀𝟏😀", "가각", "x\x01y", "Straße"]
-    assert leakage.fold_texts(texts) == [leakage.fold_text(t.replace("\x01", " ")) for t in texts]
-
-
-def test_seed_index():
-    rnd = random.Random(1)
-    texts = ["".join(rnd.choices("甲乙ab", k=rnd.randrange(40))) for _ in range(50)]
-    grams = sorted({t[i : i + 5] for t in texts for i in range(len(t) - 4)})[::3]
-    codes = leakage.fold_batch(texts)
-    whole = leakage.decode(codes)
-    at, k = leakage.SeedIndex(grams).find(codes, 5)
-    known = {g: i for i, g in enumerate(grams)}
-    assert list(zip(at.tolist(), k.tolist())) == [(i, known[whole[i : i + 5]]) for i in range(len(whole) - 4) if whole[i : i + 5] in known]
-
-
-def naive_sw(a, b):
-    h = np.zeros((len(a) + 1, len(b) + 1), int)
-    for i in range(1, len(a) + 1):
-        for j in range(1, len(b) + 1):
-            h[i, j] = max(0, h[i - 1, j - 1] + (leakage.MATCH if a[i - 1] == b[j - 1] else leakage.MISMATCH), h[i - 1, j] + leakage.GAP, h[i, j - 1] + leakage.GAP)
-    return int(h.max())
-
-
-def test_align():
-    rnd = random.Random(3)
-    pairs, want = [], []
-    for _ in range(30):
-        a = "".join(rnd.choices("abcd", k=rnd.randrange(10, 30)))
-        b = list(a)
-        for _ in range(rnd.randrange(4)):
-            k = rnd.randrange(len(b))
-            b[k : k + 1] = rnd.choice([[], ["z"], [b[k], "y"]])
-        pre = "".join(rnd.choices("efgh", k=rnd.randrange(20)))
-        pairs.append((a, pre + "".join(b) + "efg", len(pre)))
-        want.append(naive_sw(a, pre + "".join(b) + "efg"))
-    assert leakage.align(pairs) == want and leakage.align([]) == []
-
-
 # --- 8: text statistics ---------------------------------------------------------
 
 ALPHABET = "学校的了专业A b.c,。\n\n|<>\t 　12;、é㐂!?the and of "
