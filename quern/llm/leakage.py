@@ -37,9 +37,9 @@ STRETCH = 12
 #: Bits of the filter: so many a hash, at most 2 ** BLOOM_MOST (64 MB). Beyond
 #: that it lets more places through, which the join then drops.
 BLOOM_BITS, BLOOM_LEAST, BLOOM_MOST, BLOOM_PROBES = 64, 18, 29, 4
-#: Texts of candidate pairs are found by a plain join up to this many, beyond
-#: it a filter of their hashes goes ahead of the join.
-PLAIN_JOIN = 100_000
+#: Hashes of the texts of candidate pairs are broadcast up to this many (1.6 MB),
+#: beyond it a filter of them goes ahead of a shuffled join.
+HASHES_SENT = 100_000
 #: Most diagonals on either side of a seed that an alignment may reach.
 REACH = 4000
 #: Half the width of the first, narrow alignment.
@@ -396,7 +396,9 @@ def _texts(docs: DataFrame, pairs: DataFrame, text: str) -> DataFrame:
     """(t1, t2, s): the folded text of every pair, once."""
     wanted = pairs.select("t1", "t2").distinct()
     n = wanted.count()
-    if n > PLAIN_JOIN:
+    if n <= HASHES_SENT:
+        wanted = F.broadcast(wanted)
+    else:
         bitmap = docs.sparkSession.sparkContext.broadcast(bloom(wanted, "t1", n))
 
         @F.pandas_udf("boolean")

@@ -49,9 +49,9 @@ def edited(rnd, text, rate, pool):
     return "".join(out)
 
 
-@pytest.mark.parametrize("plain_join", [leakage.PLAIN_JOIN, 0])
-def test_runs(spark, monkeypatch, plain_join):
-    monkeypatch.setattr(leakage, "PLAIN_JOIN", plain_join)
+@pytest.mark.parametrize("hashes", [leakage.HASHES_SENT, 0])
+def test_runs(spark, monkeypatch, hashes):
+    monkeypatch.setattr(leakage, "HASHES_SENT", hashes)
     rnd = random.Random(7)
     letters = "招生计划线差表复核位次甲乙丙丁abCD12"
     text = lambda n: "".join(rnd.choices(letters, k=n))
