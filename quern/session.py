@@ -102,22 +102,30 @@ def spread(col, ways: int):
 HOT_ROWS, HOT_KEYS = 20_000, 1000
 
 
-def salted_join(rows: DataFrame, small: DataFrame, on: list[str], how: str, salt_by: str, ways: int = 16, counted: DataFrame | None = None) -> DataFrame:
+def salted_join(rows: DataFrame, small: DataFrame, on: list[str], how: str, salt_by: str, ways: int = 16, counted: DataFrame | None = None, sizes: DataFrame | None = None) -> DataFrame:
     """Equi-join for a side whose keys may be extremely skewed.
 
     The hot keys of ``rows`` are counted (map-side combined; at most HOT_KEYS
     come to the driver). Their rows are spread over ``ways`` salts, and their
     rows of ``small`` (one per key, or a few) are repeated once per salt, so a
     key that holds a third of all rows is read by ``ways`` tasks; every other
-    key is joined as it is. ``how`` is inner, left or left_semi. ``counted`` is
-    a cheaper relation with the same keys, where ``rows`` has been derived.
+    key is joined as it is. Keys with a NULL match nothing and are spread over
+    all tasks. ``how`` is inner, left or left_semi. ``counted`` is a cheaper
+    relation with the same keys, where ``rows`` has been derived; ``sizes`` has
+    the keys and their rows (``_n``) where they are known already.
     """
-    counts = (rows if counted is None else counted).groupBy(*on).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= HOT_ROWS)
-    hot = counts.orderBy(F.desc("_n")).limit(HOT_KEYS).select(*on).collect()
+    if sizes is None:
+        sizes = (rows if counted is None else counted).groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
+    hot = sizes.where(F.col("_n") >= HOT_ROWS).orderBy(F.desc("_n")).limit(HOT_KEYS).select(*on).collect()
     if not hot:
         return rows.join(small, on, how)
-    keys = F.broadcast(rows.sparkSession.createDataFrame(hot, rows.select(*on).schema).withColumn("_hot", F.lit(True)))
-    left = rows.join(keys, on, "left").withColumn("_salt", F.when(F.col("_hot"), spread(F.col(salt_by), ways)).otherwise(0)).drop("_hot")
+    null = F.lit(False)
+    for c in on:
+        null = null | F.col(c).isNull()
+    whole = [r for r in hot if all(v is not None for v in r)]
+    keys = F.broadcast(rows.sparkSession.createDataFrame(whole, rows.select(*on).schema).withColumn("_hot", F.lit(True)))
+    # a NULL key meets no row of the other side, whatever its salt
+    left = rows.join(keys, on, "left").withColumn("_salt", F.when(F.col("_hot") | null, spread(F.col(salt_by), ways)).otherwise(0)).drop("_hot")
     salts = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(ways - 1))).otherwise(F.array(F.lit(0)))
     right = small.join(keys, on, "left").withColumn("_salt", F.explode(salts)).drop("_hot")
     return left.join(right, [*on, "_salt"], how).drop("_salt")
