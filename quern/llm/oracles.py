@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from quern.functions.lookalike import HAN_LOOKALIKES, LATIN_LOOKALIKES, key_sql, plain_table
 from quern.llm.leakage import RUN
-from quern.llm.linkage import ASIDE_WORDS, DEFAULT_CATEGORY, DIRECTION_ENDINGS, SHORT_WORDINGS
+from quern.llm.linkage import DEFAULT_CATEGORY, DIRECTION_ENDINGS, OTHER_DIRECTION, SHORT_WORDINGS, TAKEN
 from quern.llm.textstats import CHINESE_COMMON, ENGLISH_COMMON
 
 
@@ -56,7 +56,7 @@ def _runs() -> str:
     fold = f"lower(strip_accents(regexp_replace(translate(text, '{wide}', '{half}'), '[^\\pL\\pN]', '', 'g')))"
     grams = lambda t, i: f"SELECT {i}, {i}_row, length(s) AS length, p, substring(s, p, {RUN}) AS g FROM (SELECT {i}, {i}_row, s, unnest(generate_series(1, length(s) - {RUN - 1})) AS p FROM (SELECT {i}, row_number() OVER () AS {i}_row, {fold} AS s FROM {t} WHERE text IS NOT NULL) WHERE length(s) >= {RUN})"
     return f"""SELECT doc_id, item_id, CAST(max(n) + {RUN - 1} AS INTEGER) AS run_length, length FROM (
-      SELECT doc_id, doc_id_row, item_id, item_id_row, length, count(*) AS n FROM (
+      SELECT doc_id, doc_id_row, item_id, item_id_row, length, island, diagonal, count(*) AS n FROM (
         SELECT *, d - row_number() OVER (PARTITION BY doc_id_row, item_id_row, d - p ORDER BY d) AS island, d - p AS diagonal
         FROM (SELECT doc_id, doc_id_row, p AS d, g FROM ({grams("documents", "doc_id")})) JOIN ({grams("eval_items", "item_id")}) USING (g))
       GROUP BY ALL) GROUP BY doc_id, doc_id_row, item_id, item_id_row, length"""
@@ -103,7 +103,7 @@ def p8_stats() -> str:
 
 def _bare(x: str) -> str:
     inner = x
-    for _ in range(3):
+    for _ in range(5):
         inner = f"regexp_replace({inner}, '\\([^()]*\\)', '', 'g')"
     return f"regexp_replace(regexp_replace({inner}, '\\(.*$', ''), '[) ]', '', 'g')"
 
@@ -123,12 +123,14 @@ def p2_found() -> str:
     keyed = lambda t, i: f"SELECT {i} AS id, {key_sql('school')} AS s, {key_sql('major')} AS m, coalesce(replace({key_sql('school_cat')}, ' ', ''), '') AS c FROM {t}"
     long, short = SHORT_WORDINGS[0]
     stem = f"regexp_replace(regexp_replace({_bare('m')}, '^(.+)类$', '\\1'), '{short}$', '{long}')"
+    ending = f"(?:{'|'.join(DIRECTION_ENDINGS)})$"
+    word = lambda x: f"lower(regexp_replace({x}, '{ending}', ''))"
 
     def offers(k: str) -> str:
         own = f"list_filter(list_transform(list_concat([c], {inner('s')}, {inner('m')}), lambda x: coalesce(vm[x], '')), lambda x: x <> '')"
-        direction = f"list_filter({inner('m')}, lambda x: x <> '' AND NOT list_contains(vl, x) AND NOT starts_with(x, '含') AND NOT regexp_matches(x, '{'|'.join(ASIDE_WORDS)}'))"
+        direction = f"list_filter(list_transform(list_filter({inner('m')}, lambda x: NOT list_contains(vl, x) AND NOT starts_with(x, '含')), lambda x: {word('x')}), lambda x: list_contains(dl, x))"
         return f"""SELECT * FROM (SELECT id, {_bare('s')} AS school, coalesce(({own})[1], '') AS cat, {stem} AS stem,
-          lower(regexp_replace(coalesce(({direction})[1], ''), '(?:{'|'.join(DIRECTION_ENDINGS)})$', '')) AS direction FROM {k}, VM WHERE s IS NOT NULL AND m IS NOT NULL) WHERE school <> '' AND stem <> ''"""
+          coalesce(({direction})[1], '') AS direction FROM {k}, VM, DL WHERE s IS NOT NULL AND m IS NOT NULL) WHERE school <> '' AND stem <> ''"""
 
     renamed = lambda n, prior: f"{n} AS (SELECT school, coalesce(new, meant) AS meant, similarity FROM {prior} LEFT JOIN R ON R.old = {prior}.meant)"
     agree = "(p.direction = '' OR h.direction = '' OR p.direction = h.direction)"
@@ -138,6 +140,8 @@ PK AS MATERIALIZED ({keyed('plan_rows', 'src_row_idx')}), HK AS MATERIALIZED ({k
 V AS (SELECT DISTINCT c FROM (SELECT c FROM PK UNION ALL SELECT c FROM HK) WHERE c <> ''),
 VC AS (SELECT a.c, CASE WHEN a.c = '{DEFAULT_CATEGORY}' THEN '' ELSE arg_max(b.c, lpad(CAST(length(b.c) AS VARCHAR), 6, '0') || b.c) END AS canon FROM V a JOIN V b ON contains(b.c, a.c) GROUP BY a.c),
 VM AS MATERIALIZED (SELECT map(list(c), list(canon)) AS vm, list(c) AS vl FROM VC),
+DL AS MATERIALIZED (SELECT coalesce(list(DISTINCT d), []) AS dl FROM (SELECT {word('w')} AS d FROM (SELECT unnest({inner('m')}) AS w FROM (SELECT m FROM PK UNION ALL SELECT m FROM HK))
+  WHERE regexp_matches(w, '{ending}') AND NOT starts_with(w, '含') AND w NOT IN (SELECT c FROM V)) WHERE d <> ''),
 P AS MATERIALIZED ({offers('PK')}), H AS MATERIALIZED ({offers('HK')}),
 R AS MATERIALIZED (SELECT DISTINCT {_bare(key_sql('old_school'))} AS old, {_bare(key_sql('new_school'))} AS new FROM rename_rows WHERE is_rename AND old_school <> '' AND new_school <> '' AND old_school <> new_school),
 A AS MATERIALIZED (SELECT school, count(DISTINCT side) AS n, min(side) AS side, school IN (SELECT old FROM R UNION SELECT new FROM R) AS told
@@ -152,10 +156,11 @@ OH AS (SELECT stem FROM SH WHERE stem NOT IN (SELECT stem FROM SP)), OP AS (SELE
 M AS MATERIALIZED (SELECT stem AS hs, stem AS ps, 1.0 AS ms FROM SH UNION
   SELECT DISTINCT o.stem, v.stem, 0.8 FROM OH o JOIN (SELECT stem, {form} AS f FROM SP) v ON abs(length(o.stem) - length(f)) <= 1 AND {_slip('o.stem', 'f')} UNION
   SELECT DISTINCT v.stem, o.stem, 0.8 FROM OP o JOIN (SELECT stem, {form} AS f FROM SH) v ON abs(length(o.stem) - length(f)) <= 1 AND {_slip('o.stem', 'f')}),
-E AS MATERIALIZED (SELECT p.id AS pid, h.id AS hid, h.school, h.cat, h.stem, h.direction, max(ms) AS ms, max(p.sim * h.sim) AS ss
+E AS MATERIALIZED (SELECT p.id AS pid, h.id AS hid, p.stem AS ps, p.school || '|' || p.cat || '|' || p.stem || '|' || p.direction AS po, h.school, h.cat, h.stem, h.direction, max(ms) AS ms, max(p.sim * h.sim) AS ss, CASE WHEN p.direction = h.direction THEN 1.0 ELSE {OTHER_DIRECTION} END AS ds
   FROM HM h JOIN M ON M.hs = h.stem JOIN PM p ON p.meant = h.meant AND p.cat = h.cat AND p.stem = M.ps WHERE {agree} GROUP BY ALL),
-B AS (SELECT school, cat, stem, direction, max(ms) AS bm, max(ss) AS bs FROM E GROUP BY ALL)
-SELECT DISTINCT pid AS src_row_idx, hid AS hist_pos FROM E JOIN B USING (school, cat, stem, direction) WHERE ms = bm AND ss >= bs"""
+EV AS (SELECT *, ms * ds * CASE WHEN ms < 1 AND max(ms) OVER (PARTITION BY po, school) >= 1 THEN {TAKEN} ELSE 1.0 END AS v, max(ss) OVER (PARTITION BY school, cat, stem, direction) AS bs FROM E),
+ER AS (SELECT *, max(v) OVER (PARTITION BY school, cat, stem, direction, ps) AS sv, max(v) OVER (PARTITION BY school, cat, stem, direction) AS bv FROM EV WHERE ss >= bs)
+SELECT DISTINCT pid AS src_row_idx, hid AS hist_pos FROM ER WHERE sv >= bv OR (ms >= 1 AND sv >= {OTHER_DIRECTION})"""
 
 
 def oracle() -> dict[str, str]:

@@ -147,27 +147,82 @@ def test_link_edges(spark):
     assert linkage.link(hot, h, empty(rs)).count() == 1000
 
 
-def test_rename_chains_and_rounds(spark):
-    ps, hs, rs = "src_row_idx int, school string, school_cat string, major string", "hist_pos long, school string, school_cat string, major string", "new_school string, old_school string, is_rename boolean"
+def test_rename_chains(spark):
     names = ["晓沅民航学院", "峰柳海洋大学", "盛嵩水利学校", "霖景医药专科", "雀谷电力大专"]
-    p = spark.createDataFrame([(1, names[4], None, "数学"), (2, "德汾师范学院", None, "化学")], ps)
-    h = spark.createDataFrame([(10, names[0], None, "数学"), (11, "德汾师学院", None, "化学")], hs)
+    p = [(1, names[4], None, "数学"), (2, "德汾师范学院", None, "化学")]
+    h = [(10, names[0], None, "数学"), (11, "德汾师学院", None, "化学")]
     chain = list(zip(names[1:], names))
-    r = spark.createDataFrame([(new, old, True) for new, old in chain], rs)
-    assert {tuple(x)[:2] for x in linkage.link(p, h, r).collect()} == {(1, 10), (2, 11)}
+    assert linked(spark, p, h, [(new, old, True) for new, old in chain]) == {(1, 10), (2, 11)}
     ends = lambda pairs: {tuple(x) for x in linkage.rename_ends(spark.createDataFrame(pairs, "new string, old string")).collect()}
     assert ends(chain) == {(old, names[4]) for old in names[:4]}
     assert ends([("b", "a"), ("a", "b"), ("a", "d")]) == {("a", "a"), ("b", "a"), ("d", "a")}
+
+
+PS, HS, RS = "src_row_idx int, school string, school_cat string, major string", "hist_pos long, school string, school_cat string, major string", "new_school string, old_school string, is_rename boolean"
+
+
+def linked(spark, plan, past, renames=(), **kw):
+    out = linkage.link(spark.createDataFrame(plan, PS), spark.createDataFrame(past, HS), spark.createDataFrame(list(renames), RS), **kw)
+    return {tuple(r)[:2] for r in out.collect()}
+
+
+def test_pruning_keeps_known_names_apart(spark):
+    """Two names that both sides know are different, though one slip apart."""
+    plan = [(1, "甲大学", None, "农业检测"), (2, "甲大学", None, "数学"), (3, "乙大学", None, "农业检测学"), (4, "丙大学", None, "物理")]
+    past = [(10, "甲大学", None, "农业检测学"), (11, "乙大学", None, "农业检测"), (12, "丙大学", None, "物理"), (13, "丙丁大学", None, "化学"), (14, "甲大学", None, "数学")]
+    assert linked(spark, plan, past) == {(2, 14), (4, 12)}
+    assert linked(spark, plan, past, prune=0.0) == {(2, 14), (4, 12), (1, 10), (3, 11)}
+    # a name that one side alone knows is a slip
+    assert linked(spark, plan, [*past, (15, "甲大学", None, "农业检")]) == {(2, 14), (4, 12), (1, 15)}
+
+
+def test_propagation_settles_doubtful_schools(spark):
+    """A slip of two schools goes to the one that explains more of its offers."""
+    majors = ["数学", "物理", "化学", "生物"]
+    plan = [(i, "甲乙丙学院", None, m) for i, m in enumerate(majors)] + [(10, "甲乙丁学院", None, "数学"), (11, "甲乙丁学院", None, "历史")]
+    past = [(100 + i, "甲乙学院", None, m) for i, m in enumerate(majors)]
+    right = {(i, 100 + i) for i in range(4)}
+    assert linked(spark, plan, past) == right
+    assert linked(spark, plan, past, rounds=0) == right | {(10, 100)}
     with pytest.raises(RuntimeError):
-        linkage.link(p, h, r, rounds=1).count()
+        linked(spark, plan, past, rounds=1)
+    # offers that both schools could explain go with the school's other offers
+    more = [*plan, (12, "甲乙丁学院", None, "物理"), (13, "甲乙丁学院", None, "化学")]
+    assert linked(spark, more, past) == right
+
+
+def test_doubtful_majors(spark):
+    """A slip of two majors goes to the one with the same direction, then to the one that has no equal partner."""
+    plan = [(1, "甲大学", None, "物流设计(智慧方向)"), (2, "甲大学", None, "物业设计"), (3, "乙大学", None, "物流设计"), (4, "乙大学", None, "物业设计")]
+    past = [(10, "甲大学", None, "物设计(智慧班)"), (11, "乙大学", None, "物设计"), (12, "乙大学", None, "物业设计"), (13, "丙大学", None, "物流设计")]
+    assert linked(spark, plan, past) == {(1, 10), (3, 11), (4, 12)}
+
+
+@pytest.mark.parametrize("limit", [linkage.LITERAL_WORDS, 0])
+def test_words_in_brackets(spark, limit):
+    """Categories and directions are told by the data, by a literal map or by a join."""
+    plan = [(1, "甲大学", "中外合作办学", "数学(智慧方向)"), (2, "甲大学", None, "数学(东湖校区)"), (3, "甲大学(走读)", None, "数学((a)(b)(c(d(e(f)))))"), (4, "甲大学", "普通计划", "物理(含机械班、声学班)")]
+    past = [(10, "甲大学", None, "数学(中外合作)(智慧)"), (11, "甲大学", "普通计划", "数学(身高170cm以上)"), (12, "甲大学", "走读", "数学"), (13, "甲大学", "中外合作", "数学(精细班)"), (14, "甲大学", None, "物理(含声学)")]
+    assert linked(spark, plan, past, words_limit=limit) == {(1, 10), (2, 11), (3, 12), (4, 14)}
+    words = [("中外合作",), ("中外合作办学",), ("普通计划",), ("走读",)]
+    got = {(r["word"], r["means"]) for r in linkage.category_names(spark.createDataFrame(words, "word string")).collect()}
+    assert got == {("中外合作", "中外合作办学"), ("中外合作办学", "中外合作办学"), ("普通计划", ""), ("走读", "走读")}
+
+
+def test_memberships_hold_the_copies(spark):
+    plan = spark.createDataFrame([(i, "甲大学", None, "数学") for i in range(300)], PS)
+    past = spark.createDataFrame([(i, "甲大学", None, "数学") for i in range(200)], HS)
+    links, p, h, _ = linkage.offer_links(plan, past, spark.createDataFrame([], RS))
+    assert (links.count(), p.count(), h.count()) == (1, 300, 200)
 
 
 def test_slip_pairs(spark):
     rnd = random.Random(5)
     names = sorted({"".join(rnd.choices("甲乙丙", k=rnd.randrange(2, 6))) for _ in range(80)})
-    a = spark.createDataFrame([(n,) for n in names], "x string")
-    got = {(r["x"], r["y"]) for r in linkage.slip_pairs(a, a.withColumnRenamed("x", "y"), "x", "y").collect()}
-    assert got == {(m, n) for m in names for n in names if m != n and one_slip(m, n)}
+    side = {n: rnd.choice([(True, False), (False, True)]) for n in names}
+    df = spark.createDataFrame([(n, n, *side[n], False, 1) for n in names], "name string, form string, in_plan boolean, in_past boolean, told boolean, n long")
+    got = {(r["name"], r["meant"]) for r in linkage.name_edges(df, prune=0.0).collect()}
+    assert got == {(m, n) for m in names for n in names if m != n and one_slip(m, n) and side[m] != side[n]}
 
 
 # --- 6: packing ---------------------------------------------------------------
