@@ -2,12 +2,13 @@
 
 import datetime as dt
 import random
+from itertools import combinations
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from quern.operators.impute import Target, fill_missing, mine_dependencies
+from quern.operators.impute import Target, _dictionary, fill_missing, mine_dependencies
 from quern.operators.packed import packed_values, unpack
 from quern.operators.snapshots import snapshot_changes
 
@@ -123,7 +124,7 @@ FILL = "id long, g string, y int, log string, a double, lvl int, n int, a_filled
 
 def fill(spark, rows):
     df = spark.createDataFrame(rows, FILL)
-    out = fill_missing(df, TARGETS, [("log",)], [("g", "y"), ("g",)], row_id="id")
+    out = fill_missing(df, TARGETS, ["log", "y"], [("g", "y"), ("g",)], row_id="id")
     return {r["id"]: r for r in out.collect()}
 
 
@@ -146,15 +147,58 @@ def test_fill(spark):
 def test_fill_edges(spark):
     assert fill(spark, []) == {}
     df = spark.createDataFrame([(1, "s", 1, "l", 1.0, 0, 1, None)] * 3, FILL)
-    out = fill_missing(df, TARGETS, [("log",)], [("g",)], row_id="id")
+    out = fill_missing(df, TARGETS, ["log"], [("g",)], row_id="id")
     assert out.count() == 3 and out.columns.count("a_filled") == 1
 
 
 def test_mining(spark):
     rows = [(i, "s", i, f"k{i // 3}", float(i // 3), i % 2, i, None) for i in range(30)]
-    held, dicts = mine_dependencies(spark.createDataFrame(rows, FILL), TARGETS, [("log",), ("g",)])
-    assert held == {("log",): ["a"]}
-    assert dicts[("log",)].count() == 10
+    held = mine_dependencies(spark.createDataFrame(rows, FILL), TARGETS, ["log", "g"])
+    assert [(d.columns, d.targets) for d in held] == [(("log",), ("a",))]
+    assert _dictionary(held[0], TARGETS, "x_").count() == 10
+
+
+def test_mining_brute_force(spark):
+    """Minimal dependencies of up to three columns, against groups in Python."""
+    rnd = random.Random(4)
+    names = ["g", "y", "log", "extra"]
+    rows = []
+    for i in range(400):
+        g, y, log, extra = rnd.choice("ab"), rnd.randrange(3), rnd.choice("pqr"), rnd.choice(["u", "v", "", None])
+        rows.append((i, g, y, log, extra, float(y) if rnd.random() < 0.9 else None, "ab".index(g) + rnd.choice([0, 0, 5]), (y + ord(log)) % 7 if rnd.random() < 0.995 else 99))
+    df = spark.createDataFrame(rows, "id long, g string, y int, log string, extra string, a double, lvl int, n int")
+    want = []
+    for size in (1, 2, 3):
+        for det in combinations(names, size):
+            held = []
+            for t in ("a", "lvl", "n"):
+                usable = {"a": lambda v: v is not None, "lvl": lambda v: v in (0, 1, 2), "n": lambda v: v >= 0}[t]
+                seen = {}
+                for r in rows:
+                    r = dict(zip(["id", *names, "a", "lvl", "n"], r))
+                    k = tuple(r[c] for c in det)
+                    if all(v not in (None, "") for v in k) and usable(r[t]):
+                        seen.setdefault(k, []).append(r[t])
+                many = [v for v in seen.values() if len(v) >= 2]
+                if len(many) >= 3 and sum(len(set(v)) > 1 for v in many) <= 0.05 * len(many) and not any(t in ts and set(c) <= set(det) for c, ts in want):
+                    held.append(t)
+            if held:
+                want.append((det, tuple(held)))
+    got = mine_dependencies(df, TARGETS, names, width=3)
+    assert [(d.columns, d.targets) for d in got] == want and want
+
+
+def test_fill_hot_keys(spark, monkeypatch):
+    """Hot and NULL keys are salted without another result."""
+    from quern import session
+    from quern.operators import impute
+
+    rnd = random.Random(8)
+    rows = [(i, rnd.choice(["hot", "hot", "s", None]), rnd.choice([1, 2, None]), rnd.choice(["l0", "l1", "l2", "", None]), rnd.choice([None, -1.0, 2.5, 3.0]), rnd.choice([0, 1, 2, None]), rnd.choice([1, 2, None]), None) for i in range(400)]
+    want = fill(spark, rows)
+    monkeypatch.setattr(session, "HOT_ROWS", 20)
+    monkeypatch.setattr(impute, "HOT_ROWS", 20)
+    assert fill(spark, rows) == want and {r["a_source"] for r in want.values()} >= {"own", "not_due", "group:g+y", "none"}
 
 
 def test_salted_join(spark, monkeypatch):
