@@ -11,7 +11,7 @@ from quern.functions.lookalike import key_sql
 from quern.operators.impute import Target, fill_missing
 from quern.operators.packed import unpack
 from quern.operators.snapshots import snapshot_changes
-from quern.session import at_most, table
+from quern.session import table
 
 RECORD = ["school_code", "major_code"]
 
@@ -68,15 +68,9 @@ def p4_provenance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p4_rows(spark, sf_dir).select(F.explode(pairs).alias("p")).groupBy("p.field_name", "p.source").agg(F.count(F.lit(1)).alias("n"))
 
 
-SUBJECT_NAMES_LIMIT = 5000
-
-
-def subject_names(spark: SparkSession, sf_dir: str) -> list[str]:
-    """The fixed dictionary of subject names, its size checked."""
-    rows = at_most(table(spark, sf_dir, "subject_names").select("subject_name").where(F.col("subject_name").isNotNull()), SUBJECT_NAMES_LIMIT)
-    if rows is None:
-        raise ValueError(f"subject_names holds more than {SUBJECT_NAMES_LIMIT} names")
-    return [r.subject_name for r in rows]
+def subject_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dictionary of subject names."""
+    return table(spark, sf_dir, "subject_names").select("subject_name").where(F.col("subject_name").isNotNull())
 
 
 def _subjects(spark: SparkSession, sf_dir: str) -> DataFrame:

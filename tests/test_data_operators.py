@@ -84,11 +84,17 @@ def test_packed(spark):
         "物理和化学": ["物理", "化学"], '"艺术,体育"、物理': ["艺术,体育", "物理"], "艺术,体育": ["艺术,体育"], '"""双碳""基础"+化学': ['"双碳"基础', "化学"],
         '"双碳"基础/物理': ['"双碳"基础', "物理"], " 物理 | |「化学」;": ["物理", "化学"], "外语(英、日、俄)和和声基础及海洋与气象": ["外语(英、日、俄)", "和声基础", "海洋与气象"],
         "物理\t化学　物理": ["物理", "化学", "物理"], "'技术(信息/通用)'&物理": ["技术(信息/通用)", "物理"], "甲(一、二)、乙": ["甲(一、二)", "乙"], "“物理、化学”": ["物理、化学"], "": [], "、;": [], None: [],
-        '"未闭、合': ["未闭、合"], '地理 """双碳""基础"': ["地理", '"双碳"基础'], "物理“化学”": ["物理化学"],
+        '"未闭、合': ["未闭、合"], '地理 """双碳""基础"': ["地理", '"双碳"基础'], "物理“化学”": ["物理“化学”"],
+        'a,"",b': ["a", "b"], '"",""': [], "O'Brien, x": ["O'Brien", "x"], "\"it's, ok\";b": ["it's, ok", "b"], 'a,"""",b': ["a", '"', "b"], '"say ""hi, you"""/b': ['say "hi, you"', "b"], "'O''Brien'、y": ["O'Brien", "y"],
+        '"a"、b\'s|「c,"d"」': ["a", "b's", 'c,"d"'], "“a、‘b’”c": ["a、‘b’c"],
     }
     df = spark.createDataFrame([(i, k) for i, k in enumerate(cases)], "i int, s string")
     got = {r["s"]: r["v"] for r in df.select("s", packed_values(F.col("s"), NAMES).alias("v")).collect()}
     assert got == cases
+    # the same by a join, as for any number of names
+    for names in (NAMES, spark.createDataFrame([(n,) for n in NAMES], "n string")):
+        joined = unpack(df, "s", names, limit=0).groupBy("s").agg(F.array_sort(F.collect_list(F.struct("val_no", "subject_name"))).alias("v"))
+        assert {r["s"]: [x["subject_name"] for x in r["v"]] for r in joined.collect()} == {k: v for k, v in cases.items() if v}
 
 
 def test_unpack(spark):
