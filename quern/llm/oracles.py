@@ -165,4 +165,10 @@ SELECT DISTINCT pid AS src_row_idx, hid AS hist_pos FROM ER WHERE sv >= bv OR (m
 
 def oracle() -> dict[str, str]:
     stats = p8_stats()
-    return {"p1_found": p1_found(), "p2_found": p2_found(), "p7_found": p7_found(), "p7_leaks": p7_leaks(), "p8_stats": stats, "p8_found": f"SELECT doc_id FROM ({stats}) WHERE kind = 'apart'"}
+    texts = "SELECT {} FROM documents"
+    return {
+        "p6_texts": texts.format("doc_id, coalesce(text, '') AS text"),
+        "p6_each_texts": texts.format("container_id, doc_id, coalesce(text, '') AS text") + ", token_containers",
+        "p6_rules": "SELECT *, 0 AS overfull, 0 AS oversized, 0 AS gaps, 0 AS splits FROM (SELECT container_id FROM token_containers UNION ALL SELECT 0)",
+        "p1_found": p1_found(), "p2_found": p2_found(), "p7_found": p7_found(), "p7_leaks": p7_leaks(), "p8_stats": stats, "p8_found": f"SELECT doc_id FROM ({stats}) WHERE kind = 'apart'",
+    }

@@ -9,7 +9,7 @@ from quern.llm import oracles
 from quern.llm.leakage import RUN, leaks
 from quern.llm.linkage import link
 from quern.llm.lookalikes import plain_spelling
-from quern.llm.packing import containers, pack, token_counts
+from quern.llm.packing import broken_rules, containers, pack, token_counts, unpacked
 from quern.llm.textstats import text_statistics
 from quern.session import settle, table
 
@@ -42,19 +42,44 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p2_linked(spark, sf_dir).select("src_row_idx", "hist_pos")
 
 
+def _sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return settle(token_counts(table(spark, sf_dir, "documents")), "sizes")
+
+
+def _each(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sizes, out = _sizes(spark, sf_dir), None
+    for container in containers(table(spark, sf_dir, "token_containers")):
+        one = pack(sizes, [container])
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 def p6_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text in a container; all capacities are optimised jointly."""
-    sizes = settle(token_counts(table(spark, sf_dir, "documents")), "sizes")
-    return pack(sizes, containers(table(spark, sf_dir, "token_containers")))
+    return pack(_sizes(spark, sf_dir), containers(table(spark, sf_dir, "token_containers")))
 
 
 def p6_each(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text in containers of one capacity, for each capacity alone."""
-    sizes = settle(token_counts(table(spark, sf_dir, "documents")), "sizes")
-    out = None
-    for container in containers(table(spark, sf_dir, "token_containers")):
-        one = pack(sizes, [container])
-        out = one if out is None else out.unionByName(one)
+    return _each(spark, sf_dir)
+
+
+def p6_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents put together again from the jointly packed pieces."""
+    return unpacked(p6_packed(spark, sf_dir), table(spark, sf_dir, "documents"))
+
+
+def p6_each_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents put together again from the pieces of each capacity."""
+    return unpacked(_each(spark, sf_dir), table(spark, sf_dir, "documents"), by=["container_id"])
+
+
+def p6_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often a rule is broken, in the joint packing and in that of each capacity."""
+    sizes, every = _sizes(spark, sf_dir), containers(table(spark, sf_dir, "token_containers"))
+    out = broken_rules(pack(sizes, every), every).select(F.lit(0).alias("container_id"), "*")
+    for c in every:
+        out = out.unionByName(broken_rules(pack(sizes, [c]), [c]).select(F.lit(c[0]).alias("container_id"), "*"))
     return out
 
 
@@ -94,7 +119,7 @@ def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p8_stats(spark, sf_dir).where(F.col("kind") == "apart").select("doc_id")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_plain, p2_found, p2_linked, p6_packed, p6_each, p6_fill, p7_found, p7_leaks, p7_scores, p8_found, p8_stats)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_plain, p2_found, p2_linked, p6_packed, p6_each, p6_fill, p6_texts, p6_each_texts, p6_rules, p7_found, p7_leaks, p7_scores, p8_found, p8_stats)}
 
 
 def oracle() -> dict[str, str]:

@@ -276,17 +276,51 @@ def test_pack_edges(spark):
     assert len(out) == 10
     with pytest.raises(ValueError):
         packed(spark, sizes, [])
+    # shards are cut by pieces: a giant text spreads over many
+    giant = packed(spark, [(1, 1024 * 300 + 5, 0)], shard_items=50)
+    assert len(giant) == 301 and len({r["bin_id"] // 10_000_000 for r in giant}) > 3
 
 
-@settings(max_examples=60, deadline=None)
+def naive_best_fit(lengths, cap):
+    spaces = []
+    for n in sorted(lengths, reverse=True):
+        fits = [s for s in spaces if s >= n]
+        if fits:
+            spaces[spaces.index(min(fits))] = min(fits) - n
+        else:
+            spaces.append(cap - n)
+    return len(spaces)
+
+
+@settings(max_examples=150, deadline=None)
 @given(st.lists(st.integers(0, 100), max_size=60), st.lists(st.integers(100, 400), min_size=1, max_size=3))
 def test_pack_lengths(lengths, caps):
     place = packing.pack_lengths(lengths, caps)
-    used = defaultdict(int)
-    for n, (b, o) in zip(lengths, place):
-        used[b] += n
-        assert o >= 0
-    assert all(u <= max(caps) for u in used.values())
+    bins = defaultdict(list)
+    for n, (b, o, c) in zip(lengths, place):
+        bins[b].append((o, n, c))
+    for items in bins.values():
+        cap, used = items[0][2], sum(n for _, n, _ in items)
+        assert len({c for *_, c in items}) == 1 and cap == min(c for c in caps if c >= used)
+        spans = sorted((o, o + n) for o, n, _ in items if n)
+        assert all(b[0] == a[1] for a, b in zip(spans, spans[1:])) and (not spans or spans[0][0] == 0)
+    if len(set(caps)) == 1:  # one capacity: as best-fit of decreasing items
+        assert len(bins) == naive_best_fit([n for n in lengths if n], caps[0]) or not any(lengths)
+
+
+def test_pack_costs():
+    # bins of 100 are dear, so two of 50 are taken; a bin that is left half empty is broken up
+    assert sorted(packing.pack_lengths([50, 50], [50, 100], cost=lambda c: {50: 1, 100: 9}[c])) == [(0, 0, 50), (1, 0, 50)]
+    assert {c for *_, c in packing.pack_lengths([90, 30, 30, 30, 10], [64, 200])} == {200}
+    assert sorted(c for *_, c in packing.pack_lengths([40, 30, 30], [50, 60, 400])) == [50, 60, 60]
+
+
+def test_broken_rules(spark):
+    cols = "doc_id long, piece_no int, n_tokens long, bin_id long, capacity_tokens int, bin_offset long"
+    rows = [(1, 1, 60, 1, 64, 0), (2, 1, 10, 1, 64, 60), (3, 1, 30, 2, 256, 0), (4, 1, 5, 3, 64, 4), (5, 1, 20, 4, 64, 0), (5, 2, 20, 4, 64, 20), (6, 1, 256, 5, 256, 0), (6, 2, 4, 6, 64, 0)]
+    got = packing.broken_rules(spark.createDataFrame(rows, cols), CAPS[:2]).first()
+    assert tuple(got) == (1, 1, 1, 1)
+    assert tuple(packing.broken_rules(spark.createDataFrame([], cols), CAPS).first()) == (0, 0, 0, 0)
 
 
 @pytest.mark.skipif(not os.path.isdir(packing.TOKENIZER_DIR), reason="no tokenizer")
