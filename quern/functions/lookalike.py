@@ -19,7 +19,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-# Letters of other scripts that look like a Latin letter.
+# Letters of other scripts that look like a Latin letter, as in
+# the confusables of Unicode Technical Standard 39.
 LATIN_LOOKALIKES = {
     # Greek
     "Α": "A", "Β": "B", "Ε": "E", "Ζ": "Z", "Η": "H", "Ι": "I", "Κ": "K", "Μ": "M", "Ν": "N", "Ο": "O",
@@ -34,6 +35,16 @@ LATIN_LOOKALIKES = {
     # Armenian
     "Լ": "L", "Ս": "U", "Տ": "S", "Օ": "O", "ա": "w", "զ": "q", "հ": "h", "յ": "j", "ո": "n", "ս": "u",
     "ց": "g", "օ": "o",
+    # Coptic
+    "Ⲁ": "A", "Ⲃ": "B", "Ⲉ": "E", "Ⲏ": "H", "Ⲓ": "I", "Ⲕ": "K", "Ⲙ": "M", "Ⲛ": "N", "Ⲟ": "O", "ⲟ": "o", "Ⲣ": "P", "ⲣ": "p",
+    "Ⲥ": "C", "ⲥ": "c", "Ⲧ": "T", "Ⲩ": "Y", "Ⲭ": "X",
+    # Cherokee
+    "Ꭰ": "D", "Ꭱ": "R", "Ꭲ": "T", "Ꭵ": "i", "Ꭺ": "A", "Ꭻ": "J", "Ꭼ": "E", "Ꮃ": "W", "Ꮇ": "M", "Ꮋ": "H", "Ꮍ": "Y", "Ꮐ": "G",
+    "Ꮓ": "Z", "Ꮩ": "V", "Ꮪ": "S", "Ꮮ": "L", "Ꮯ": "C", "Ꮲ": "P", "Ꮶ": "K", "Ᏼ": "B",
+    # Lisu
+    "ꓐ": "B", "ꓑ": "P", "ꓓ": "D", "ꓔ": "T", "ꓖ": "G", "ꓗ": "K", "ꓙ": "J", "ꓚ": "C", "ꓜ": "Z", "ꓝ": "F", "ꓟ": "M", "ꓠ": "N",
+    "ꓡ": "L", "ꓢ": "S", "ꓣ": "R", "ꓦ": "V", "ꓧ": "H", "ꓪ": "W", "ꓫ": "X", "ꓬ": "Y", "ꓮ": "A", "ꓰ": "E", "ꓲ": "I", "ꓳ": "O",
+    "ꓴ": "U",
     # Latin letters from phonetic blocks
     "ɑ": "a", "ɡ": "g", "ɩ": "i", "ʏ": "y", "ı": "i",
 }
@@ -60,7 +71,7 @@ HYPHENS = "‐‑‒–−⁃˗﹘﹣－"
 # Characters that are their own key, by themselves.
 _SIMPLE = r"^[\x21-\x7E一-鿿、]*$"
 
-SCRIPTS = (("L", "LATIN"), ("G", "GREEK"), ("C", "CYRILLIC"), ("A", "ARMENIAN"))
+SCRIPTS = (("L", "LATIN"), ("G", "GREEK"), ("C", "CYRILLIC"), ("A", "ARMENIAN"), ("O", "COPTIC"), ("H", "CHEROKEE"), ("I", "LISU"))
 
 
 def invisible(ch: str) -> bool:
