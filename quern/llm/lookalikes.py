@@ -1,17 +1,19 @@
 """One plain spelling for text that looks the same (problem 1).
 
 Classes of look-alike strings and code points are the transitive closure
-(union-find) of the fixed and rule-built pairs and, over the words of the
-corpus, of words with the same class sequence. Representatives go by frequency
-in the whole corpus. Rewriting is greedy, leftmost-longest, by a multi-pattern
-automaton over the variants that occur.
+(union-find) of the fixed and rule-built pairs; words of the corpus fall into
+classes by the classes of their letters. Representatives go by frequency over
+all rows, where more than one member of a class is plain by itself. Rewriting is
+greedy, leftmost-longest, by a multi-pattern automaton over the variants that
+occur.
 """
 
 from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import ahocorasick
 import pandas as pd
@@ -25,43 +27,63 @@ from quern.session import at_most, settle
 
 #: Variant words are broadcast up to this many; beyond it they are joined.
 VARIANTS_LIMIT = 200_000
-#: Code points are at most this many in any corpus (the size of Unicode).
-CODE_POINTS = 0x110000
 
 # Text without any of these characters, outer or double blanks is plain.
 _PLAIN = r"^(?! )(?:[\x21-\x7E一-鿿㐀-䶿、]|(?<! ) (?! |$))*$"
-_WORD = r"[\p{IsLatin}\p{IsGreek}\p{IsCyrillic}\p{IsArmenian}][\p{IsLatin}\p{IsGreek}\p{IsCyrillic}\p{IsArmenian}\p{M}]*"
-_PY_WORD = re.compile(r"(?:[A-Za-zªºÀ-ɏɐ-ʯͰ-ϿЀ-ԯԱ-֏Ḁ-῿Ⱡ-Ɀ꜠-ꟿ][̀-ͯ]*)+")
+_PY_WORD = re.compile(r"(?:[A-Za-zªºÀ-ɏɐ-ʯͰ-ϿЀ-ԯԱ-֏Ꭰ-ᏽḀ-῿Ⱡ-ⳮꓐ-ꓷ꜠-ꟿꭰ-ꮿ][̀-ͯ]*)+")
 _KANA = re.compile(r"[ァ-ヺー-ヿ]+")
 
 
-def code_point_classes() -> UnionFind:
-    """Transitive classes of everything that looks alike by its characters."""
+Pairs = Iterable[tuple[str, str]]
+
+
+def look_alike_classes(pairs: Pairs = ()) -> UnionFind:
+    """Transitive classes of everything that looks alike by its characters;
+    ``pairs`` are further ones (strings of any length)."""
     uf = UnionFind()
     uf.union_all((ch, p) for ch, p in plain_table().items() if p.strip())
     uf.union_all(LATIN_LOOKALIKES.items())
     uf.union_all(HAN_LOOKALIKES.items())
-    return uf
+    return uf.union_all(pairs)
 
 
-def representatives(uf: UnionFind, counts: dict[str, int]) -> dict[str, str]:
-    """For every character its class's plain representative.
+def eligible(members: Iterable[str]) -> list[str]:
+    """Members of a class that are plain by themselves and no letter of another
+    script (these are a matter of the word they stand in)."""
+    table = plain_table()
+    return [m for m in members if not any(c in table or c in LATIN_LOOKALIKES or c in HAN_LOOKALIKES for c in m)]
 
-    Only characters that are plain by themselves may represent a class, and
-    only characters of their own script are replaced here (letters of another
-    script are a matter of the word they stand in). Among those, ASCII goes
-    first, then the most frequent in the corpus, then the lowest code point.
-    """
+
+def contested(uf: UnionFind) -> list[str]:
+    """Plain members of classes that have several."""
+    return sorted(m for members in uf.classes().values() if len(own := eligible(members)) > 1 for m in own)
+
+
+def representatives(uf: UnionFind, counts: dict[str, int]) -> dict[str, str]:
+    """For every variant its class's plain representative: the most frequent of
+    the plain members; of equally frequent ones ASCII goes first, then the lower
+    string."""
     table, out = plain_table(), {}
     for members in uf.classes().values():
-        eligible = [m for m in members if m not in table and m not in LATIN_LOOKALIKES and m not in HAN_LOOKALIKES]
-        best = min(eligible, key=lambda m: (not m.isascii(), -counts.get(m, 0), m)) if eligible else None
+        own = eligible(members)
+        best = min(own, key=lambda m: (-counts.get(m, 0), not m.isascii(), m)) if own else None
         for m in members:
             if m in table:
                 # a wide or compatibility form of another script's letter stays in that script
                 p = table[m]
-                out[m] = p if p in LATIN_LOOKALIKES or p in HAN_LOOKALIKES or best is None or len(p) > 1 else best
-    out |= {ch: p for ch, p in table.items() if not p.strip()}
+                out[m] = p if p in LATIN_LOOKALIKES or p in HAN_LOOKALIKES or best is None or len(p) > 1 and p in own and best == p else best
+            elif m in own and m != best:
+                out[m] = best
+    return out | {ch: p for ch, p in table.items() if not p.strip()}
+
+
+@lru_cache(maxsize=1)
+def latin_letters() -> dict[str, str]:
+    """For every letter of a class with a Latin letter, that letter."""
+    out = {}
+    for members in look_alike_classes().classes().values():
+        latin = [m for m in members if len(m) == 1 and m.isascii() and m.isalpha()]
+        out |= {m: latin[0] for m in members if latin and m in LATIN_LOOKALIKES}
     return out
 
 
@@ -124,23 +146,34 @@ def one_script(word: str) -> str:
 
 
 def skeleton(word: str) -> str:
-    """Class sequence of a word: each letter by its Latin look-alike, if any."""
-    return unicodedata.normalize("NFC", "".join(LATIN_LOOKALIKES.get(c, c) for c in unicodedata.normalize("NFD", word)))
+    """Class sequence of a word: each letter by the Latin letter of its class, if any."""
+    letters = latin_letters()
+    return unicodedata.normalize("NFC", "".join(letters.get(c, c) for c in unicodedata.normalize("NFD", word)))
 
 
 def spelled_in(word: str, script: str) -> str:
     """``word`` with its look-alike letters taken from one script."""
     back = {}
-    for c, p in LATIN_LOOKALIKES.items():
+    for c, p in latin_letters().items():
         if script_of(c) == script:
             back.setdefault(p, c)
     out = []
     for c in unicodedata.normalize("NFD", word):
-        p = LATIN_LOOKALIKES.get(c, c)
+        p = latin_letters().get(c, c)
         out.append(p if script == "L" else c if script_of(c) == script else back.get(p, c))
     return unicodedata.normalize("NFC", "".join(out))
 
 
+def word_classes(words: Iterable[str]) -> dict[str, list[str]]:
+    """Words that look alike: joined with their class sequences by union-find."""
+    words = list(words)
+    uf = UnionFind().union_all((w, skeleton(w)) for w in words)
+    out: dict[str, list[str]] = {}
+    for w in words:
+        out.setdefault(uf.find(w), []).append(w)
+    return out
+
+
 def best_spelling(members: list[tuple[str, int]]) -> str:
     """Representative of a class of words: the most frequent spelling in one
     script; ties go to Latin, then to the lower string. Where every member is
@@ -169,20 +202,21 @@ def _folded(chars: dict[str, str], rows: DataFrame, text: str, words: bool) -> D
             base = [han_words(tidy(rewrite(a, s))) for s in pdf[text]]
             pdf["_base"] = base
             if words:
-                pdf["_words"] = [sorted(set(_PY_WORD.findall(s))) for s in base]
+                pdf["_words"] = [_PY_WORD.findall(s) for s in base]
             yield pdf
 
     return rows.mapInPandas(fold, schema)
 
 
-def plain_spelling(rows: DataFrame, text: str, *, variants_limit: int = VARIANTS_LIMIT) -> DataFrame:
+def plain_spelling(rows: DataFrame, text: str, *, pairs: Pairs = (), variants_limit: int = VARIANTS_LIMIT) -> DataFrame:
     """Rows of ``rows`` whose ``text`` differs from its plain spelling, with
     that spelling in the column ``plain``.
 
     Columns of ``rows`` are kept, but for ``plain`` and names beginning with
     ``_``, which are the operator's own. NULL has no spelling and gives no row; '' is plain; a
     text of blanks and invisible characters is spelled ''. Repeated rows give
-    repeated results. Word frequencies are taken over all rows.
+    repeated results. ``pairs`` are further strings that look alike. Frequencies
+    are those of all rows.
 
     Rows are never joined on their text, so a text held by a third of them is
     no hot key: words are counted with map-side combining, and the variants
@@ -191,16 +225,22 @@ def plain_spelling(rows: DataFrame, text: str, *, variants_limit: int = VARIANTS
     the suspicious rows are joined with the variants instead.
     """
     rows = rows.select(*[F.col(f"`{c}`") for c in rows.columns if c != "plain" and not c.startswith("_")]).where(F.col(text).isNotNull())
-    odd = rows.where(suspicious(F.col(text)))
-    # how often each character that may represent a class occurs: one row per
-    # code point, so at most the size of Unicode
-    seen = odd.select(F.explode(F.array_distinct(F.split(F.col(text), ""))).alias("c")).groupBy("c").count()
-    counts = {r["c"]: r["count"] for r in (at_most(seen, CODE_POINTS) or [])}
-    uf = code_point_classes()
-    chars = {c: p for c, p in representatives(uf, counts).items() if c in counts}
-    fresh = settle(_folded(chars, odd, text, True), "plain")
+    uf = look_alike_classes(pairs)
+    rivals = contested(uf)
+    odd = suspicious(F.col(text))
+    counts = {}
+    if rivals:  # how often each rival occurs, over all rows
+        times = [F.sum((F.length(text) - F.length(F.replace(F.col(text), F.lit(m), F.lit("")))) / len(m)).alias(f"n{i}") for i, m in enumerate(rivals)]
+        counts = {m: int(n or 0) for m, n in zip(rivals, rows.agg(*times).first())}
+        for m in rivals:
+            odd = odd | F.col(text).contains(m)
+    strange = rows.where(odd)
+    # the characters that occur at all: one row per code point at most
+    seen = {r["c"] for r in strange.select(F.explode(F.array_distinct(F.split(F.col(text), ""))).alias("c")).distinct().collect()}
+    chars = {c: p for c, p in representatives(uf, counts).items() if set(c) <= seen}
+    fresh = settle(_folded(chars, strange, text, True), "plain")
     # word frequencies: plain rows hold ASCII words only and need no folding
-    clean = rows.where(~suspicious(F.col(text)) & F.col(text).rlike("[A-Za-z]")).select(F.explode(F.regexp_extract_all(F.col(text), F.lit("[A-Za-z]+"), 0)).alias("w"))
+    clean = rows.where(~odd & F.col(text).rlike("[A-Za-z]")).select(F.explode(F.regexp_extract_all(F.col(text), F.lit("[A-Za-z]+"), 0)).alias("w"))
     words = clean.unionByName(fresh.select(F.explode("_words").alias("w"))).groupBy("w").agg(F.count(F.lit(1)).alias("n"))
     variants = _variants(words)
     known = at_most(variants, variants_limit)
@@ -211,14 +251,15 @@ def plain_spelling(rows: DataFrame, text: str, *, variants_limit: int = VARIANTS
         # bounded by its length, the join key is the word
         tagged = fresh.withColumn("_id", F.concat_ws(":", F.spark_partition_id(), F.monotonically_increasing_id()))
         tagged = settle(tagged, "plain-rows")
-        pairs = tagged.select("_id", F.explode("_words").alias("w")).join(variants, "w").groupBy("_id").agg(F.collect_list(F.struct("w", "best")).alias("_pairs"))
+        pairs = tagged.select("_id", F.explode(F.array_distinct("_words")).alias("w")).join(variants, "w").groupBy("_id").agg(F.collect_list(F.struct("w", "best")).alias("_pairs"))
         out = _rewritten(tagged.join(pairs, "_id", "left").drop("_id"), {}, text, "_pairs")
     return out
 
 
 def _variants(words: DataFrame) -> DataFrame:
-    """(w, best) for words that aren't the representative of their class."""
-    alike = "".join(LATIN_LOOKALIKES)
+    """(w, best) for words that aren't the representative of their class. Words
+    of ASCII letters are plain, however rare."""
+    alike = "".join(latin_letters())
     # a class with a word of ASCII letters only and no other member is settled
     skel = F.when(F.col("w").rlike("^[A-Za-z]+$"), F.col("w")).otherwise(_skeleton(F.when(~F.col("w").rlike("^[A-Za-z]+$"), F.col("w"))))
     tagged = words.withColumn("k", skel)
@@ -228,10 +269,12 @@ def _variants(words: DataFrame) -> DataFrame:
 
     def choose(pdf: pd.DataFrame) -> pd.DataFrame:
         # spellings of one word: at most the product of its letters' classes
-        best = best_spelling(list(zip(pdf["w"], pdf["n"])))
-        out = pdf[pdf["w"] != best][["w"]].copy()
-        out["best"] = best
-        return out
+        times = dict(zip(pdf["w"], pdf["n"]))
+        found = []
+        for members in word_classes(times).values():
+            best = best_spelling([(w, times[w]) for w in members])
+            found += [(w, best) for w in members if w != best and not w.isascii()]
+        return pd.DataFrame(found, columns=["w", "best"])
 
     return classes.groupBy("k").applyInPandas(choose, "w string, best string")
 

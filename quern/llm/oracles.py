@@ -16,36 +16,45 @@ def _cls(chars: str) -> str:
     return "".join("\\" + c if c in "\\]^-[" else c for c in chars)
 
 
-def p1_found() -> str:
+def _replaced(text: str, pairs: str) -> str:
+    """``text`` with every a replaced by b, in turn, for a list of a, chr(1), b."""
+    return f"list_reduce(list_prepend({text}, {pairs}), lambda acc, x: replace(acc, split_part(x, chr(1), 1), split_part(x, chr(1), 2)))"
+
+
+def p1_plain() -> str:
     """Characters by table, words by the most frequent spelling of their class."""
     table = plain_table()
     one = {c: p for c, p in table.items() if len(p) == 1}
     gone = [c for c, p in table.items() if not p]
     many = {c: p for c, p in table.items() if len(p) > 1}
     src, dst = "".join(one) + "".join(gone), "".join(one.values())
-    base = f"nfc_normalize(translate(t, {_q(src)}, {_q(dst)}))"
-    hard = "[" + "".join(many) + "]"
-    steps = base
-    for c in "ⅡⅢⅣⅥⅦⅧⅨⅪⅫ":
-        steps = f"replace({steps}, {_q(c)}, {_q(many[c])})"
-    base = f"CASE WHEN regexp_matches(t, {_q(hard)}) THEN {steps} ELSE {base} END"
-    word = "[\\p{Latin}\\p{Greek}\\p{Cyrillic}\\p{Armenian}]+"
+    steps = "[" + ", ".join(f"{_q(c)} || chr(1) || {_q(p)}" for c, p in many.items()) + "]"
+    whole = f"CASE WHEN regexp_matches(t, {_q('[' + ''.join(many) + ']')}) THEN {_replaced('t', steps)} ELSE t END"
+    base = f"nfc_normalize(translate({whole}, {_q(src)}, {_q(dst)}))"
+    scripts = ("Latin", "Greek", "Cyrillic", "Armenian", "Coptic", "Cherokee", "Lisu")
+    word = "[" + "".join(f"\\p{{{s}}}" for s in scripts) + "]+"
     skel = f"translate(w, {_q(''.join(LATIN_LOOKALIKES))}, {_q(''.join(LATIN_LOOKALIKES.values()))})"
-    single = " OR ".join(f"regexp_full_match(w, '\\p{{{s}}}+')" for s in ("Latin", "Greek", "Cyrillic", "Armenian"))
-    kana = f"regexp_extract_all(b, '[㐀-鿿]?[ァ-ヺー-ヿ]+[㐀-鿿]?')"
+    single = " OR ".join(f"regexp_full_match(w, '\\p{{{s}}}+')" for s in scripts)
+    runs = "regexp_extract_all(b, '[㐀-鿿]?[ァ-ヺー-ヿ]+[㐀-鿿]?')"
     own = "regexp_replace(r, '[㐀-鿿]', '', 'g')"
+    kana, han = "".join(HAN_LOOKALIKES), "".join(HAN_LOOKALIKES.values())
+    odd_runs = f"list_transform(list_filter({runs}, lambda r: length({own}) < length(r) AND regexp_full_match({own}, '[{kana}]+')), lambda r: r || chr(1) || translate(r, '{kana}', '{han}'))"
     return f"""
     WITH f AS (SELECT 'plan_rows' AS tbl, CAST(src_row_idx AS BIGINT) AS row_key, 'major' AS field_name, major AS t FROM plan_rows
       UNION ALL SELECT 'history_rows', hist_pos, 'major', major FROM history_rows UNION ALL SELECT 'history_rows', hist_pos, 'school', school FROM history_rows),
-    g AS (SELECT *, regexp_replace(trim({base}), ' +', ' ', 'g') AS b FROM (SELECT DISTINCT t FROM f WHERE t IS NOT NULL)),
+    g0 AS (SELECT *, regexp_replace(trim({base}), ' +', ' ', 'g') AS b FROM (SELECT DISTINCT t FROM f WHERE t IS NOT NULL)),
+    g AS MATERIALIZED (SELECT t, {_replaced('b', odd_runs)} AS b FROM g0),
     n AS (SELECT t, count(*) AS n FROM f GROUP BY 1),
-    w0 AS (SELECT t, unnest(regexp_extract_all(b, {_q(word)})) AS w FROM g),
-    w1 AS (SELECT w, {skel} AS k, sum(n) AS n, ({single}) AS ok FROM w0 JOIN n USING (t) GROUP BY ALL),
+    w0 AS MATERIALIZED (SELECT t, unnest(regexp_extract_all(b, {_q(word)})) AS w FROM g),
+    w1 AS MATERIALIZED (SELECT w, {skel} AS k, sum(n) AS n, ({single}) AS ok FROM w0 JOIN n USING (t) GROUP BY ALL),
     w2 AS (SELECT k, w AS best FROM w1 WHERE ok QUALIFY row_number() OVER (PARTITION BY k ORDER BY n DESC, regexp_full_match(w, '\\p{{Latin}}+') DESC, w) = 1),
-    odd AS (SELECT DISTINCT t FROM w0 JOIN w1 USING (w) LEFT JOIN w2 USING (k) WHERE w <> coalesce(best, k)),
-    bad AS (SELECT t FROM g WHERE b <> t OR t IN (SELECT t FROM odd)
-      OR len(list_filter({kana}, lambda r: length({own}) < length(r) AND regexp_full_match({own}, '[{"".join(HAN_LOOKALIKES)}]+'))) > 0)
-    SELECT tbl, row_key, field_name FROM f WHERE t IN (SELECT t FROM bad)"""
+    odd AS (SELECT t, list(w || chr(1) || coalesce(best, k) ORDER BY length(w) DESC, w) AS ws FROM (SELECT DISTINCT t, w FROM w0) JOIN w1 USING (w) LEFT JOIN w2 USING (k) WHERE w <> coalesce(best, k) AND NOT regexp_full_match(w, '[A-Za-z]+') GROUP BY t),
+    p AS (SELECT g.t, CASE WHEN ws IS NULL THEN b ELSE {_replaced('b', 'ws')} END AS plain FROM g LEFT JOIN odd ON odd.t = g.t)
+    SELECT tbl, row_key, field_name, f.t AS text, plain FROM f JOIN p ON p.t = f.t WHERE plain <> f.t"""
+
+
+def p1_found() -> str:
+    return f"SELECT tbl, row_key, field_name FROM ({p1_plain()})"
 
 
 def _runs() -> str:
@@ -170,5 +179,6 @@ def oracle() -> dict[str, str]:
         "p6_texts": texts.format("doc_id, coalesce(text, '') AS text"),
         "p6_each_texts": texts.format("container_id, doc_id, coalesce(text, '') AS text") + ", token_containers",
         "p6_rules": "SELECT *, 0 AS overfull, 0 AS oversized, 0 AS gaps, 0 AS splits FROM (SELECT container_id FROM token_containers UNION ALL SELECT 0)",
-        "p1_found": p1_found(), "p2_found": p2_found(), "p7_found": p7_found(), "p7_leaks": p7_leaks(), "p8_stats": stats, "p8_found": f"SELECT doc_id FROM ({stats}) WHERE kind = 'apart'",
+        "p1_found": p1_found(),
+        "p1_plain": p1_plain(), "p2_found": p2_found(), "p7_found": p7_found(), "p7_leaks": p7_leaks(), "p8_stats": stats, "p8_found": f"SELECT doc_id FROM ({stats}) WHERE kind = 'apart'",
     }

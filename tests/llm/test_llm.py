@@ -68,6 +68,28 @@ def test_plain_edges(spark):
     assert out.count() == 100 and out.columns == ["fid", "text", "plain"]
 
 
+def test_other_scripts(spark):
+    texts = ["ⲘΟꓠ班", "Ꭺ3校区", "ᏣᎳᎩ", "ꓧОꓑE", "HOPE", "MON", "A3"]
+    assert spell(spark, texts) == {"ⲘΟꓠ班": "MON班", "Ꭺ3校区": "A3校区", "ꓧОꓑE": "HOPE"}
+
+
+def test_frequency_of_all_rows(spark):
+    """Of plain strings told to look alike the most frequent stands, classes are transitive."""
+    texts = ["〇一", "零一", "零二", "零三零", "○一", "甲", "第〇○", "ab cd", "ab-cd", "ab-cd"]
+    pairs = [("〇", "零"), ("○", "〇"), ("ab cd", "ab-cd")]
+    assert spell(spark, texts, pairs=pairs) == {"〇一": "零一", "○一": "零一", "第〇○": "第零零", "ab cd": "ab-cd"}
+    more = [*texts, *["〇"] * 9]
+    assert spell(spark, more, pairs=pairs)["零三零"] == "〇三〇"
+    # words: the more frequent of two spellings, each in one script
+    assert spell(spark, ["Миp", "ТОР", "ТОР", "TOP", "ТOР", "班TOP　"]) == {"Миp": "Мир", "ТOР": "ТОР", "班TOP　": "班TOP"}
+    assert spell(spark, ["ТОР", "TOP", "TOP班"]) == {"ТОР": "TOP"}
+
+
+def test_word_classes():
+    got = lookalikes.word_classes(["TOP", "ТОР", "ТOР", "Мир", "Mиp", "x"])
+    assert sorted(map(sorted, got.values())) == [["Mиp", "Мир"], ["TOP", "ТOР", "ТОР"], ["x"]]
+
+
 def test_spelling_ties():
     assert lookalikes.best_spelling([("АI", 5), ("AI", 1), ("АІ", 1)]) == "AI"
     assert lookalikes.best_spelling([("Мup", 3)]) == "Mup" and lookalikes.best_spelling([("Миp", 2)]) == "Мир"
