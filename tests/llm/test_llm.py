@@ -81,7 +81,7 @@ def test_frequency_of_all_rows(spark):
     more = [*texts, *["〇"] * 9]
     assert spell(spark, more, pairs=pairs)["零三零"] == "〇三〇"
     # words: the more frequent of two spellings, each in one script
-    assert spell(spark, ["Миp", "ТОР", "ТОР", "TOP", "ТOР", "班TOP　"]) == {"Миp": "Мир", "ТOР": "ТОР", "班TOP　": "班TOP"}
+    assert spell(spark, ["Миp", "ТОР", "ТОР", "ТОР", "TOP", "ТOР", "班TOP　"]) == {"Миp": "Мир", "ТOР": "ТОР", "班TOP　": "班TOP"}
     assert spell(spark, ["ТОР", "TOP", "TOP班"]) == {"ТОР": "TOP"}
 
 
