@@ -117,10 +117,29 @@ def merge_remark(summary: Column, remark: Column, reviewed: Column) -> Column:
     return F.when(F.coalesce(reviewed, F.lit(False)), remark).otherwise(merged)
 
 
-# What a second reviewer is asked: one past row under the core, or several.
-ASK_ONE = "往年该校此核心名只有一条记录：写法、方向、性别等差异不影响，配对成立判「确定」。"
-ASK_MANY = "往年该校此核心名有多条记录：招生类别、方向、学制等实质不同判「存疑」，只有描述差异判「确定」。"
-ASK_TAIL = "大类与具体专业（仅差「类」字）算同一专业；拿不准判「存疑」。"
+# What judges are told, in this project's words.
+RULE = (
+    "按往年记录的条数判断：同校同招生类别同核心名往年只有一条时，今年的写法、培养模式、方向、性别、标点不同仍是同一专业，选这一条；"
+    "往年有多条时，选名称、方向、培养模式都相同的那一条，没有就填 null。候选之外的名称一律不选；选中时照抄候选的 J 和 T。"
+)
+ASK_ONE = (
+    "请判断这对专业是否确定。往年该校此核心名只有一条记录，说明只招过一个专业：今年换了培养模式标签（拔尖、卓越、创新、英才、基地、试验班、订单班等），"
+    "改了方向措辞、中外合作、性别、标点、词序或括号，都还是它，判「确定」。"
+)
+ASK_MANY = (
+    "请判断这对专业是否确定。往年该校此核心名有多条记录，说明它们分开招生、各有分数线：培养模式标签、出国培养、中外合作、师范、招生类别、学制、"
+    "单独划线的校区或真正的方向有实质不同，判「存疑」；只是体检、色盲、学费、语种、章程、词序、标点等描述不同，判「确定」。"
+)
+ASK_TAIL = (
+    "大类与其具体专业（只差「类」字，往年大类确实包含今年的专业）判「确定」，线差作参考；工科试验班类这样的混合大类判「存疑」。"
+    "同一所大学的校区标注不影响；单独划线的办学点或两所不同的学校不该相配，判「存疑」。专业本身不同、招生类别不同、学制不同，判「存疑」。拿不准判「存疑」。"
+)
+RENAME_TASK = (
+    "# 学校更名判断\n\nrename_candidates 中每行是一所只在今年出现的学校和可能的旧校名，按名称相似度排列；相似度只作参考。\n"
+    "请查明它是否由某所旧校更名、转设或合并而来，以教育部、省教育厅或学校官网为准。\n\n"
+    "每对写一行 JSON 到 rename_result.jsonl：new_school、old_school、confidence（0 到 1）、is_rename（true 或 false）、note（依据与官方链接）。\n"
+    "没有旧校时 is_rename 为 false，old_school 可为空。不要改动候选文件。\n"
+)
 
 
 def requirement(past_rows: Column, one: str = ASK_ONE, many: str = ASK_MANY, tail: str = ASK_TAIL) -> Column:

@@ -103,10 +103,12 @@ def strip_asides(name: Column) -> Column:
     return F.array_join(F.transform(pieces, one), "")
 
 
-def core_name(name: Column, depth: int = 8) -> Column:
-    """A folded name without any closed bracket, nested ones included (up to
-    ``depth`` levels)."""
-    return F.aggregate(F.sequence(F.lit(1), F.lit(depth)), name, lambda a, _: F.regexp_replace(a, BRACKET, ""))
+def core_name(name: Column) -> Column:
+    """A folded name without any closed bracket, however deep: the innermost
+    ones go as often as there are opening ones."""
+    levels = F.length(name) - F.length(F.replace(name, F.lit("("), F.lit("")))
+    bare = F.aggregate(F.sequence(F.lit(0), levels), name, lambda a, _: F.regexp_replace(a, BRACKET, ""))
+    return F.when(name.contains("("), bare).otherwise(name)
 
 
 def brackets(name: Column) -> Column:

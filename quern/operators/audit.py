@@ -13,6 +13,8 @@ from quern.functions.text import blank_row
 from quern.operators.results import major_row
 
 JUDGED_STAGES = (notes.JUDGED,)
+#: Width of a bucket of figures, no less than the tolerance of ``close_number``.
+BUCKET = 0.02
 
 
 def _check(df: DataFrame, name: str, broken, what: str) -> DataFrame:
@@ -59,10 +61,15 @@ def figures_consistent(results: DataFrame, past: DataFrame, estimates: DataFrame
     matched name, estimated ones their estimate; all rows are checked. Matches
     without a past row of that name are skipped."""
     # figures that occur on either side are compared once, however many rows have them
-    h = past.select("school", F.col("major").alias("matched_major"), F.col("J").alias("_hj"), F.col("T").alias("_ht")).distinct()
+    h = past.select("school", F.col("major").alias("matched_major"), F.col("J").alias("_hj"), F.col("T").alias("_ht"), F.lit(True).alias("_there")).distinct()
     kinds = results.where("matched").groupBy("school", "matched_major", "J", "T").agg(F.count(F.lit(1)).alias("n"))
-    any_close = F.bool_or(close_number(F.col("J"), F.col("_hj")) & close_number(F.col("T"), F.col("_ht")))
-    m = kinds.join(h, ["school", "matched_major"]).groupBy("school", "matched_major", "J", "T").agg(F.first("n").alias("n"), any_close.alias("ok")).select("n", "ok")
+    # close figures share a bucket or neighbour it; NULL figures have one of their own
+    bucket = lambda c: F.coalesce(F.floor(F.col(c) / BUCKET), F.lit(-(2**62)))
+    known = h.select("school", "matched_major").distinct()
+    asked = kinds.join(known, ["school", "matched_major"]).withColumn("_b", F.explode(F.array(*[bucket("J") + i for i in (-1, 0, 1)])))
+    met = asked.join(h.withColumn("_b", bucket("_hj")), ["school", "matched_major", "_b"], "left")
+    any_close = F.bool_or(F.coalesce(close_number(F.col("J"), F.col("_hj")) & close_number(F.col("T"), F.col("_ht")) & F.col("_there"), F.lit(False)))
+    m = met.groupBy("school", "matched_major", "J", "T").agg(F.first("n").alias("n"), any_close.alias("ok")).select("n", "ok")
     e = results.where("NOT matched").join(estimates.select("src_row_idx", F.col("value").alias("_ev"), F.col("T").alias("_et")), "src_row_idx")
     e = e.select(F.lit(1).cast("long").alias("n"), (close_number(F.col("J"), F.col("_ev")) & close_number(F.col("T"), F.col("_et"))).alias("ok"))
     bad = F.coalesce(F.sum(F.when(~F.col("ok"), F.col("n"))), F.lit(0))

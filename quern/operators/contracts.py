@@ -71,7 +71,8 @@ def first_error(rules: Sequence[tuple[Column, str | Column]]) -> Column:
 
 def seen_before(key: Column, counts: Column, *order: str) -> Column:
     """Whether an earlier line (in ``order``) that ``counts`` has the same key."""
-    w = Window.partitionBy(F.when(counts, key)).orderBy(*order)
+    # lines that don't count (all malformed ones) are spread, not put into one group
+    w = Window.partitionBy(F.when(counts, key), F.when(~counts, F.xxhash64(*order))).orderBy(*order)
     return counts & (F.row_number().over(w) > 1)
 
 

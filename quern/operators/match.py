@@ -95,11 +95,15 @@ def candidates(plan: DataFrame, past: DataFrame) -> DataFrame:
 
 
 def candidate_items(plan: DataFrame, past: DataFrame) -> DataFrame:
-    """Plan rows that have candidates, with them as an array in past order."""
-    payload = F.sort_array(F.collect_list(F.struct("hist_pos", "major", "core", "J", "T")))
-    found = candidates(plan, past).groupBy("src_row_idx").agg(payload.alias("_c"))
-    listed = F.transform("_c", lambda c: F.struct(c["major"].alias("major"), c["core"].alias("core"), c["J"].alias("J"), c["T"].alias("T")))
-    return plan.join(found, "src_row_idx").withColumn("candidates", listed).drop("_c")
+    """Plan rows that have candidates, with them as an array in past order. The
+    arrays are made once for each school, category and core of the plan."""
+    key = [F.col("school"), fold_category(F.col("school_cat")).alias("_c"), F.col("core")]
+    left = plan.select(*key).distinct().withColumn("_k", F.explode(family_keys(F.col("core"))))
+    right = past.select("school", fold_category(F.col("school_cat")).alias("_c"), F.col("core").alias("_k"), "hist_pos", "major", F.col("core").alias("_core"), "J", "T")
+    payload = F.sort_array(F.collect_list(F.struct("hist_pos", "major", F.col("_core").alias("core"), "J", "T")))
+    found = left.join(right, ["school", "_c", "_k"]).groupBy("school", "_c", "core").agg(payload.alias("_l"))
+    listed = F.transform("_l", lambda c: F.struct(c["major"].alias("major"), c["core"].alias("core"), c["J"].alias("J"), c["T"].alias("T")))
+    return plan.withColumn("_c", key[1]).join(found, ["school", "_c", "core"]).select(*plan.columns, listed.alias("candidates"))
 
 
 def locate_echo(picked: DataFrame, plan: DataFrame, past: DataFrame) -> DataFrame:

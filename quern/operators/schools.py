@@ -110,24 +110,20 @@ def rename_candidates(plan: DataFrame, past: DataFrame, *, topk: int = 5, measur
 
     ``measure`` is ``ratio`` (Ratcliff-Obershelp), ``edit`` (1 - edit distance /
     longer length) or ``pairs`` (Dice's share of neighbouring characters in
-    common). By ratio and edit all old names are compared with each new one, in
-    blocks of bounded size; pairs are found by an equi-join, so names without
-    two neighbouring characters in common, whose share is 0, aren't proposed.
-    ``topk`` of 0 or less keeps all; otherwise names with nothing in common
+    common). All old names are compared with each new one, in blocks of bounded
+    size. ``topk`` of 0 or less keeps all; otherwise names with nothing in common
     (similarity 0) aren't proposed.
     """
     new = new_schools(plan, past).select(F.col("school").alias("new_school"))
     old = gone_schools(plan, past).select(F.col("school").alias("old_school"))
-    if measure == "pairs":
-        grams = lambda c: F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length(c) - 1, F.lit(1))), lambda i: F.substring(F.col(c), i, F.lit(2))))
-        shared = new.select("new_school", F.explode(grams("new_school")).alias("_g")).join(old.select("old_school", F.explode(grams("old_school")).alias("_g")), "_g")
-        pairs = shared.groupBy("new_school", "old_school").agg(F.count(F.lit(1)).alias("_n"))
-        sim = F.round(2 * F.col("_n") / (F.size(grams("new_school")) + F.size(grams("old_school"))), 6)
-        scored = pairs.withColumn("similarity", sim).drop("_n")
-    elif measure == "edit":
+    if measure != "ratio":
         pairs = name_blocks(new, old, new_block, old_block).select(F.explode("news").alias("new_school"), "olds").select("new_school", F.explode("olds").alias("old_school"))
-        sim = F.round(1 - F.levenshtein("new_school", "old_school") / F.greatest(F.length("new_school"), F.length("old_school")), 6)
-        scored = pairs.withColumn("similarity", sim)
+        if measure == "edit":
+            sim = 1 - F.levenshtein("new_school", "old_school") / F.greatest(F.length("new_school"), F.length("old_school"))
+        else:
+            grams = lambda c: F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length(c) - 1, F.lit(1))), lambda i: F.substring(F.col(c), i, F.lit(2))))
+            sim = 2 * F.size(F.array_intersect(grams("new_school"), grams("old_school"))) / (F.size(grams("new_school")) + F.size(grams("old_school")))
+        scored = pairs.withColumn("similarity", F.round(sim, 6))
     else:
 
         def ratios(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

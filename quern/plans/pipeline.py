@@ -13,6 +13,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quern.functions import notes
 from quern.operators import audit as checks
 from quern.operators import contracts, match, order, results, schools
 from quern.operators.estimate import REFERENCE_VARIANTS, estimate
@@ -68,12 +69,13 @@ def _lines(spark: SparkSession, folder: str | None, pattern: str) -> DataFrame |
 
 def link(plan: DataFrame, past: DataFrame, c: Config | None = None, *, rename_lines: DataFrame | None = None, judged_lines: DataFrame | None = None, verdict_lines: DataFrame | None = None, research: DataFrame | None = None) -> dict[str, DataFrame]:
     """All relations of a run, by name. Renames go first, then the cascade of
-    strict, coarse and judged matches, estimates, second look, boundary tables."""
+    strict, coarse and judged matches, estimates, second look, boundary tables.
+    Broken rename and verdict lines fail at the first, judged ones are listed."""
     c = c or Config("", "")
     spark = plan.sparkSession
     if rename_lines is not None:
         only = schools.new_schools(plan, past)
-        told = contracts.raise_errors(contracts.check_renames(rename_lines, only)).where("is_rename")
+        told = contracts.raise_errors(contracts.check_renames(rename_lines, only), first_only=True).where("is_rename")
         renamed = told.select("old_school", "new_school", "confidence", "is_rename", "remark", F.lit(False).alias("manual_reviewed"), F.xxhash64("file").alias("_f"), "file", "lineno")
         renamed = settle(order.positions(renamed.drop("_f"), ["file", "lineno"]).drop("file", "lineno"), "renames")
         past = schools.apply_renames(past, renamed)
@@ -98,7 +100,7 @@ def link(plan: DataFrame, past: DataFrame, c: Config | None = None, *, rename_li
     doubted = None
     kept = judged
     if verdict_lines is not None:
-        verdicts = contracts.raise_errors(contracts.check_verdicts(verdict_lines, judged.select("src_row_idx")))
+        verdicts = contracts.raise_errors(contracts.check_verdicts(verdict_lines, judged.select("src_row_idx")), first_only=True)
         kept, doubted = results.demote(judged, verdicts)
     homes = strict.where("matched").select("src_row_idx").unionByName(coarse.select("src_row_idx")).unionByName(kept.where("matched").select("src_row_idx"))
     classified = homes.unionByName(new.select("src_row_idx"))
@@ -137,7 +139,8 @@ def run(spark: SparkSession, c: Config) -> dict[str, DataFrame]:
         plan, past, c, research=research,
         rename_lines=_lines(spark, folder, "rename_result.jsonl"), judged_lines=_lines(spark, folder, "batch_*_result.jsonl"), verdict_lines=_lines(spark, folder, "verify_*_result.jsonl"),
     )
-    out["hierarchical"] = results.hierarchical(grid, out["main"])
+    # the last reading of a source: all else is computed from settled relations
+    out["hierarchical"] = settle(results.hierarchical(grid, out["main"]), "hierarchical")
     out["flat"] = results.flat(out["hierarchical"])
     files.assert_unchanged(before, files.digests(spark, sources).collect())
     return out
@@ -146,7 +149,7 @@ def run(spark: SparkSession, c: Config) -> dict[str, DataFrame]:
 def prompts(out: dict[str, DataFrame], folder: str, size: int = 20) -> int:
     """Documents for the rows that need judging; the number of documents."""
     items = match.candidate_items(out["unresolved"], out["past"]).select("src_row_idx", "school", "school_cat", "major", "core", "subject", "batch", "candidates")
-    return files.write_prompts(order.batches(items, ["src_row_idx"], size), folder, "batch_{}_prompt.json", {"output_schema": list(contracts.JUDGED_KEYS)})
+    return files.write_prompts(order.batches(items, ["src_row_idx"], size), folder, "batch_{}_prompt.json", {"output_schema": list(contracts.JUDGED_KEYS), "matching_rule": notes.RULE})
 
 
 def second_look_prompts(out: dict[str, DataFrame], folder: str, size: int = 20) -> int:
@@ -155,7 +158,8 @@ def second_look_prompts(out: dict[str, DataFrame], folder: str, size: int = 20)
 
 
 def rename_files(out: dict[str, DataFrame], folder: str) -> None:
-    """Candidates for renames, one JSON line per new school."""
+    """The task for renames, and its candidates: one JSON line per new school."""
+    files.write_text(notes.RENAME_TASK, os.path.join(folder, "rename_prompt.md"))
     pairs = schools.rename_candidates(out["plan"], out["past"], topk=0)
     lines = pairs.groupBy("new_school").agg(F.transform(F.sort_array(F.collect_list(F.struct("place", "old_school"))), lambda x: x["old_school"]).alias("candidate_old_schools"))
     files.write_json_lines(lines, os.path.join(folder, "rename_candidates"))

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 import zipfile
 from pathlib import Path
 
+from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -69,15 +72,37 @@ def shared_dir(spark: SparkSession) -> str:
     return made
 
 
+_FOLDERS: dict[str, str] = {}
+
+
+def run_folder(spark: SparkSession) -> str:
+    """This application's own folder within the shared one; it goes when the
+    Python process ends, also after a failure."""
+    app = spark.sparkContext.applicationId
+    if app not in _FOLDERS:
+        _FOLDERS[app] = f"{shared_dir(spark)}/quern-{app}-{uuid.uuid4().hex[:8]}"
+        atexit.register(_remove, spark.sparkContext, _FOLDERS[app])
+    return _FOLDERS[app]
+
+
+def _remove(context: SparkContext, folder: str) -> None:
+    try:
+        path = context._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(context._jsc.hadoopConfiguration() if context._jsc else context._jvm.org.apache.hadoop.conf.Configuration()).delete(path, True)
+    except Exception:  # the JVM is gone already; where it can be, the folder is a local one
+        if folder.startswith("file:"):
+            shutil.rmtree(folder.removeprefix("file://"), ignore_errors=True)
+
+
 def settle(df: DataFrame, label: str = "stage") -> DataFrame:
-    """Write ``df`` to the shared folder and read it back.
+    """Write ``df`` to the application's shared folder and read it back.
 
     Used where a result feeds several branches or an iteration: the lineage is
     cut, so a lost executor costs at most the stage at hand, and the columnar
     file is far smaller than a row checkpoint.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/quern-{label}-{uuid.uuid4().hex}"
+    path = f"{run_folder(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

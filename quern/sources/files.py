@@ -89,6 +89,12 @@ def write_json_lines(df: DataFrame, path: str) -> None:
     df.select(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("value")).write.mode("overwrite").text(path)
 
 
+def write_text(text: str, path: str) -> None:
+    os.makedirs(os.path.dirname(os.path.abspath(path)), exist_ok=True)
+    with open(path, "w", encoding="utf-8") as f:
+        f.write(text)
+
+
 def write_prompts(items: DataFrame, folder: str, name: str, extra: dict | None = None) -> int:
     """One document per batch of ``items`` (batch_no, then payload columns): the
     stale ones are removed first. Batches are small by construction; they come
