@@ -6,7 +6,10 @@ folded by width only (``fold_width``), which plain SQL can do as well.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import os
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quern.functions import notes
@@ -16,8 +19,9 @@ from quern.operators import audit as checks
 from quern.operators import contracts, match, order, results, schools
 from quern.operators.estimate import estimate
 from quern.plans import pipeline
-from quern.session import salted_join, settle, table
+from quern.session import run_folder, salted_join, settle, table
 from quern.sources import files, grids
+from quern.sources.xlsx import read_xlsx, write_xlsx
 
 W = tx.fold_width
 YEARS = (1995, 1996, 1997)
@@ -55,12 +59,34 @@ def _rest(plan: DataFrame, past: DataFrame) -> DataFrame:
     return match.unmatched(left, match.coarse_match(left, past))
 
 
+def _grid(rows: DataFrame, row: str, cells: dict[int, object], width: int) -> DataFrame:
+    """Rows as a sheet with the given cells."""
+    return rows.select(F.col(row).alias("_row_idx"), *[(cells[i] if i in cells else F.lit(None)).cast("string").alias(f"c{i}") for i in range(width)])
+
+
+def plan_sheet(spark: SparkSession, d: str) -> DataFrame:
+    """plan_rows as a sheet of the plan, early batches under one of their names."""
+    early = F.when(F.col("batch") == grids.EARLY, grids.PLAN_EARLY[0]).otherwise(F.col("batch"))
+    return _grid(table(spark, d, "plan_rows"), "src_row_idx", {0: early, 1: F.col("school_cat"), 3: F.col("school"), 4: F.col("src_row_idx"), 5: F.col("major"), 6: F.col("subject")}, 12)
+
+
+def past_sheets(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """history_rows as a sheet with figures and one with lowest scores of two years."""
+    t = table(spark, d, "history_rows")
+    early = F.coalesce(F.col("source_table") == grids.EARLY, F.lit(False))
+    j, t_ = (F.when(~F.isnan(c), F.col(c)) for c in ("j", "t"))
+    regular = _grid(t.where(~early), "hist_pos", {0: F.lit(grids.PAST_KEPT[0]), 2: F.col("school"), 3: F.col("major"), 4: F.col("subject"), 9: j, 19: t_}, 29)
+    low = _grid(t.where(early), "hist_pos", {0: F.lit(grids.SUPPLEMENT_KEPT[0]), 1: F.col("school_cat"), 3: F.col("school"), 5: F.col("major"), 6: F.col("subject"), 10: j, 14: t_}, 29)
+    return regular, low
+
+
 def q_plan_projection(spark, d):
-    return plan_offers(spark, d)
+    return grids.plan_rows(plan_sheet(spark, d), normalise=W)
 
 
 def q_history_projection(spark, d):
-    return past_offers(spark, d)
+    regular, low = past_sheets(spark, d)
+    return grids.past_rows(grids.past_regular(regular, normalise=W), grids.past_early(low, {2025: 0, 2024: 0, 2023: 0}, normalise=W))
 
 
 def _lows(spark: SparkSession, d: str) -> DataFrame:
@@ -229,6 +255,109 @@ def q_contract_check(spark, d):
     return rows.select("doc_id", "annotator", "doc_kind", error.alias("error"))
 
 
+def q_contract_judged(spark, d):
+    """Judged lines made of the candidates, with every kind of mistake."""
+    p, h = _sides(spark, d)
+    rest = settle(_rest(p, h), "rest")
+    allowed = settle(match.candidates(rest, h), "allowed")
+    pick = allowed.groupBy("src_row_idx").agg(F.min(F.struct("hist_pos", "major", "J", "T")).alias("b"))
+    rows = rest.drop("stripped", "core").join(pick, "src_row_idx")
+    s, no = F.col("subject"), F.col("batch") == grids.EARLY
+    line = F.to_json(F.struct(
+        F.when(F.col("school_cat") == "走读", F.col("src_row_idx") + UNKNOWN).otherwise(F.col("src_row_idx")).alias("src_row_idx"), "school", "major",
+        F.when(s == "历史", "x").when(~no, F.col("b.major")).alias("match"), F.when(s == "物理", F.col("b.J") + 1).when(~no, F.col("b.J")).alias("J"),
+        F.when(s == "生物", F.col("b.T") + 1).when(~no, F.col("b.T")).alias("T"), F.when(s == "化学", " ").otherwise("同").alias("reason"),
+    ), {"ignoreNullFields": "false"})
+    again = F.explode(F.when(s == "地理", F.array(F.lit(0), F.lit(UNKNOWN))).otherwise(F.array(F.lit(0))))
+    written = rows.select(F.lit("lines.jsonl").alias("file"), line.alias("value"), "src_row_idx", "subject")
+    lines = written.select("file", "value", "src_row_idx", again.alias("add")).select("file", (F.col("src_row_idx") + F.col("add")).alias("lineno"), "value")
+    return contracts.check_judged(lines, rest.select("src_row_idx"), allowed).drop("file")
+
+
+#: Added to a number, it is none of the table's.
+UNKNOWN = 100_000_000
+
+
+def q_contract_renames(spark, d):
+    """rename_rows as lines, against this year's new schools."""
+    columns = ["new_school", "old_school", "confidence", "is_rename", "remark"]
+    place = F.row_number().over(Window.orderBy(*[F.col(c).asc_nulls_first() for c in columns]))  # a small table
+    value = F.to_json(F.struct(*columns[:-1], F.col("remark").alias("note")), {"ignoreNullFields": "false"})
+    lines = table(spark, d, "rename_rows").select(F.lit("renames.jsonl").alias("file"), place.alias("lineno"), value.alias("value"))
+    return contracts.check_renames(lines, schools.new_schools(*_sides(spark, d))).drop("file")
+
+
+def _items(spark: SparkSession, d: str) -> DataFrame:
+    p, h = _sides(spark, d)
+    return match.candidate_items(_rest(p, h), h)
+
+
+def q_resolve_decisions(spark, d):
+    """Picks by position: the first candidate, none, or one that isn't there."""
+    items = settle(_items(spark, d), "items")
+    cand = F.when(F.col("subject") == "物理", 1_000_000).when(F.col("subject") != "历史", 0)
+    picks = items.where("subject <> '化学'").select("src_row_idx", cand.alias("cand"), F.concat(F.lit(" "), "subject", F.lit(" ")).alias("reason"), F.lit(None).cast("string").alias("error"))
+    return contracts.resolve_decisions(items, picks)
+
+
+def q_resolve_verdicts(spark, d):
+    items = settle(_items(spark, d), "items")
+    verdict = F.when(F.col("subject") == "物理", "错").when(F.col("subject") == "历史", "存疑").otherwise("确定")
+    return contracts.resolve_verdicts(items, items.where("subject <> '化学'").select("src_row_idx", verdict.alias("verdict"), F.col("subject").alias("reason")))
+
+
+def q_edge_tables(spark, d):
+    """The boundary tables under their headers, as one."""
+    out = pipeline.link(*_sides(spark, d))
+    sheets = results.edge_tables(out["new_majors"], out["deleted"], out["renamed"], out["new_schools"], out["gone_schools"], out["special"])
+    rows = None
+    for name, df in sheets.items():
+        get = lambda *hs: F.coalesce(*[F.col(h) for h in hs if h in df.columns], F.lit(None).cast("string"))  # noqa: B023, E731
+        one = df.select(F.lit(name).alias("tbl"), get("学校", "新校名", "历史旧校名").alias("school"), get("专业").alias("major"), get("说明", "原因说明", "说明（含官方来源）").alias("note"))
+        rows = one if rows is None else rows.unionByName(one)
+    return rows
+
+
+def _place(spark: SparkSession, name: str) -> str:
+    """A local path in the run's shared folder, for sinks that the driver writes."""
+    folder = run_folder(spark)
+    if "://" in folder and not folder.startswith("file://"):
+        raise RuntimeError("the shared folder isn't mounted on the driver")
+    return f"{folder.removeprefix('file://')}/{name}-{uuid.uuid4().hex}"
+
+
+def q_sink_json_lines(spark, d):
+    """plan_rows written as JSON lines and read again."""
+    columns = ["src_row_idx", "school", "school_cat", "major", "subject", "batch"]
+    rows, path = table(spark, d, "plan_rows").select(*columns), f"{run_folder(spark)}/lines-{uuid.uuid4().hex}"
+    files.write_json_lines(rows, path)
+    return spark.read.schema(rows.schema).json(path)
+
+
+def q_sink_csv(spark, d):
+    """supplier written as CSV and read again."""
+    rows, path = table(spark, d, "supplier").select("s_suppkey", "s_name", "s_nationkey", F.col("s_acctbal").cast("double").alias("s_acctbal")), f"{run_folder(spark)}/csv-{uuid.uuid4().hex}"
+    files.write_csv(rows, path)
+    return spark.read.schema(rows.schema).option("header", True).csv(path)
+
+
+def q_sink_xlsx(spark, d):
+    """nation written as a workbook and read again, header and all."""
+    path = _place(spark, "book") + ".xlsx"
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    write_xlsx(table(spark, d, "nation").select("n_nationkey", "n_name", "n_regionkey").orderBy("n_nationkey"), path)
+    return read_xlsx(spark, path, columns=3)
+
+
+def q_prompts_back(spark, d):
+    """Documents of 20 items written for a judge, and their items read again."""
+    folder = _place(spark, "prompts")
+    out = {"unresolved": settle(_rest(*_sides(spark, d)), "rest"), "past": past_offers(spark, d)}
+    pipeline.prompts(out, folder)
+    items = files.prompt_items(spark, "file://" + folder)
+    return items.select("src_row_idx", "school", "major", F.size("candidates").alias("n"), F.col("candidates")[0]["major"].alias("first"))
+
+
 def q_contract_lines(spark, d):
     """JSON lines made of edge_rows, some broken, through the strict checks."""
     e = table(spark, d, "edge_rows")
@@ -247,10 +376,10 @@ def q_duplicate_keys(spark, d):
 
 
 def q_verdict_demote(spark, d):
-    """Documents as results; a label junk by annotator a1 is a doubt."""
+    """Documents as results; a label table or junk is a doubt."""
     docs = table(spark, d, "documents").select("doc_id", "lang", "source").withColumnRenamed("doc_id", "src_row_idx")
-    v = table(spark, d, "doc_labels").where("annotator = 'a1'").groupBy(F.col("doc_id").alias("src_row_idx")).agg(F.max("doc_kind").alias("k"))
-    kept, _ = results.demote(docs, v.select("src_row_idx", F.when(F.col("k") == "junk", "存疑").otherwise("确定").alias("verdict"), F.lit("x").alias("reason")))
+    v = table(spark, d, "doc_labels").groupBy(F.col("doc_id").alias("src_row_idx")).agg(F.max("doc_kind").alias("k"))
+    kept, _ = results.demote(docs, v.select("src_row_idx", F.when(F.col("k").isin("junk", "table"), "存疑").otherwise("确定").alias("verdict"), F.lit("x").alias("reason")))
     return kept
 
 
@@ -290,10 +419,13 @@ def q_official_url(spark, d):
 
 
 def q_notes_pairs(spark, d):
-    """Years and values of notes written in the nations' names."""
-    n = table(spark, d, "nation").select("n_nationkey", F.concat("n_name", F.lit(" - 一段线；2023="), F.col("n_nationkey") + 400, F.lit(", 2024 = "), F.col("n_nationkey") + 410).alias("v"))
-    get = lambda g: F.transform(F.regexp_extract_all("v", F.lit(r"(20\d{2})\s*=\s*(\d{2,3})"), g), lambda x: x.cast("int"))
-    return n.select("n_nationkey", F.explode(F.arrays_zip(get(1).alias("year"), get(2).alias("value"))).alias("p")).select("n_nationkey", "p.year", "p.value")
+    """The cut-offs of a sheet of notes: the nations of one region tell one
+    year, those of another two."""
+    k, r = F.col("n_nationkey"), F.col("n_regionkey")
+    one = F.concat("n_name", F.lit(" - 一段线；2023="), (k + 400).cast("string"))
+    note = F.when(r == 1, one).when(r == 2, F.concat(one, F.lit(", 2024 = "), (k + 410).cast("string"))).otherwise(F.col("n_name"))
+    found = grids.cutoffs_from_notes(_grid(table(spark, d, "nation"), "n_nationkey", {0: F.col("n_name"), 1: note}, 3))
+    return spark.createDataFrame(list((found or {}).items()), "year int, value int")
 
 
 def plan_grid(spark: SparkSession, d: str) -> DataFrame:
@@ -309,8 +441,8 @@ _GRID_NAMES = {"近三年统计线差": "j", "近三年线差标准差": "t"} |
 
 def _hierarchical(spark: SparkSession, d: str) -> DataFrame:
     p, h = _sides(spark, d)
-    strict = match.strict_match(p.where("batch <> '提前批'"), h)
-    return results.hierarchical(plan_grid(spark, d), strict).withColumnsRenamed(_GRID_NAMES).select("_row_idx", "c0", "c1", "c3", "c4", "c5", "j", "t", *LOG_COLUMNS)
+    kept = pipeline.link(p, h)["main"].join(p.where("batch = '提前批'").select("src_row_idx"), "src_row_idx", "left_anti")
+    return results.hierarchical(plan_grid(spark, d), kept).withColumnsRenamed(_GRID_NAMES).select("_row_idx", "c0", "c1", "c3", "c4", "c5", "j", "t", *LOG_COLUMNS)
 
 
 def q_hierarchical(spark, d):
@@ -326,17 +458,22 @@ def q_coverage(spark, d):
 
 
 def q_audit(spark, d):
+    """All checks over the main results, with faults put in: figures of two
+    categories are moved, matches of a third count as judged, and only some of
+    those have a verdict."""
     p, h = _sides(spark, d)
-    m = settle(match.strict_match(p, h), "strict")
-    table_ = results.hierarchical(plan_grid(spark, d), m)
-    est = spark.createDataFrame([], "src_row_idx int, value double, T double")
-    named = {"plan": plan_grid(spark, d), "past": h}
-    report = checks.audit([
-        checks.judged_coverage(table_, spark.createDataFrame([], "src_row_idx int, verdict string")), checks.stages_filled(results.flat(table_)),
-        checks.no_blank_rows(named), checks.tables_filled(named), checks.figures_consistent(m, h, est),
-        checks.renames_sourced(table(spark, d, "rename_rows")),
+    out = pipeline.link(p, h)
+    judged = F.col("matched") & (F.col("school_cat") == "民族班")
+    named = settle(out["main"].join(out["matched_names"], "src_row_idx", "left").withColumns({
+        "J": F.when(F.col("school_cat").isin("走读", "航海类"), F.col("J") + 0.5).otherwise(F.col("J")), "log": F.when(judged, notes.JUDGED + "：同").otherwise(F.col("log")),
+    }), "named")
+    verdicts = p.where("school_cat = '民族班' AND subject <> '化学'").select("src_row_idx", F.when(F.col("subject") == "不限", "存疑").otherwise("确定").alias("verdict"))
+    table_ = results.hierarchical(plan_grid(spark, d), named)
+    sheets = {"plan": plan_grid(spark, d), "past": h}
+    return checks.audit([
+        checks.judged_coverage(table_, verdicts), checks.stages_filled(results.flat(table_)), checks.no_blank_rows(sheets), checks.tables_filled(sheets),
+        checks.figures_consistent(named, h, out["estimates"]), checks.renames_sourced(table(spark, d, "rename_rows")),
     ])
-    return report.select("name", "passed")
 
 
 def q_sample(spark, d):
@@ -349,7 +486,7 @@ def q_viewer_grep(spark, d):
 
 
 def q_source_hash(spark, d):
-    return files.digests(spark, [f"{d}/region.parquet", f"{d}/nation.parquet"])
+    return files.digests(spark, [f"{d}/*.parquet"])
 
 
 QUERIES = {n: f for n, f in list(globals().items()) if n.startswith("q_")}
@@ -490,7 +627,7 @@ def oracle() -> dict[str, str]:
     major = "coalesce(c4, '') <> '' AND coalesce(c5, '') <> ''"
     scope = f"NOT regexp_matches(coalesce(c1, ''), '{_any(tx.OUT_OF_SCOPE_WORDS)}')"
     grid = "SELECT src_row_idx AS _row_idx, batch AS c0, CASE WHEN batch = '提前批' THEN '专科' ELSE school_cat END AS c1, school AS c3, CASE WHEN subject <> '' THEN CAST(src_row_idx AS VARCHAR) END AS c4, major AS c5 FROM plan_rows"
-    logs = _log_sql("(SELECT * FROM S WHERE src_row_idx IN (SELECT src_row_idx FROM P WHERE batch <> '提前批'))")
+    logs = _log_sql("(SELECT * FROM M WHERE src_row_idx IN (SELECT src_row_idx FROM P WHERE batch <> '提前批'))")
     on = f"({major}) AND l.src_row_idx IS NOT NULL"
     cells = ", ".join(f"CASE WHEN {on} THEN l.{c} END AS {c}" for c in ("single_year", "drift", "second_look", "reason"))
     beyond = f"({major}) AND l.src_row_idx IS NULL AND NOT ({scope})"
@@ -500,9 +637,49 @@ def oracle() -> dict[str, str]:
     gender = f"regexp_matches(c, '{tx.GENDER}') AND regexp_matches(c, '[男女]')"
     official = "'见 http://www.example.org/a 和 https://jyt.' || lower(replace(s_name, '#', '')) || CASE WHEN s_acctbal > 0 THEN '.gov.cn/x）等' ELSE '.edu.cn/y)' END"
     deleted = "FROM H WHERE school IN (SELECT school FROM P WHERE school <> '') AND school NOT IN (SELECT new_school FROM RN) AND NOT EXISTS (SELECT 1 FROM P WHERE P.school = H.school AND P.major = H.major)"
+    special = """SELECT X.src_row_idx, X.school, X.school_cat, X.major, X.core, X.subject, X.batch, CASE WHEN CC.n > 0 THEN '没找到能匹配的往年专业：同校同核心名有 ' || CC.n || ' 个（' || names || CASE WHEN CC.n > 3 THEN '…' ELSE '' END || '），今年的方向和这些都对不上'
+      ELSE '没找到能匹配的往年专业：' || CASE WHEN X.core <> '' THEN X.core ELSE X.major END END AS log, Y.value AS est_value, Y.T AS est_t, Y.level AS est_level, Y.n AS est_n
+      FROM X LEFT JOIN CC ON CC.school = X.school AND CC.core = X.core LEFT JOIN Y ON Y.src_row_idx = X.src_row_idx"""
+    markers = "CASE " + " ".join(f"WHEN contains(H1.major, '{m}') THEN '{m}'" for m in tx.CATEGORY_MARKERS) + " ELSE '' END"
+    close = lambda a, b: f"CASE WHEN {a} IS NULL AND {b} IS NULL THEN true WHEN {a} IS NULL OR {b} IS NULL THEN false ELSE abs({a} - {b}) <= 0.011 END"
     return {
-        "q_plan_projection": base + "SELECT src_row_idx, school, school_cat, major, stripped, core, subject, batch FROM P",
-        "q_history_projection": base + "SELECT hist_pos, school, school_cat, major, stripped, core, subject, J, T, source_table FROM H",
+        "q_plan_projection": base + f"""SELECT src_row_idx, P.school, P.school_cat, P.major, P.stripped, P.core, P.subject, r.batch, CASE WHEN r.batch = '{grids.EARLY}' THEN '{grids.PLAN_EARLY[0]}' ELSE r.batch END AS raw_batch,
+          CASE WHEN r.batch = '{grids.EARLY}' THEN 1 ELSE 0 END AS feed FROM P JOIN plan_rows r USING (src_row_idx)
+          WHERE r.batch IN ('{grids.PLAN_REGULAR}', '{grids.EARLY}') AND coalesce(r.major, '') <> '' AND NOT regexp_matches(coalesce(r.school_cat, ''), '{_any(tx.OUT_OF_SCOPE_WORDS)}')""",
+        "q_history_projection": base + f""", Z AS (SELECT H1.*, {markers} AS marked, coalesce(source_table, '') = '{grids.EARLY}' AS early FROM H1),
+          Z2 AS (SELECT Z.*, CAST(J IS NOT NULL AS INTEGER) + CAST(T IS NOT NULL AS INTEGER) AS years, (coalesce(T, 0.0) + coalesce(J, 0.0)) / nullif(CAST(J IS NOT NULL AS INTEGER) + CAST(T IS NOT NULL AS INTEGER), 0) AS mean FROM Z)
+          SELECT hist_pos + CASE WHEN early THEN {grids.FEED} ELSE 0 END AS hist_pos, Z2.school, CASE WHEN early THEN own WHEN c0 <> '' THEN c0 ELSE marked END AS school_cat, Z2.major, {_strip('Z2.major')} AS stripped, {_core('Z2.major')} AS core, Z2.subject,
+          CASE WHEN early THEN {_r2('mean')} ELSE J END AS J, CASE WHEN NOT early THEN T WHEN years = 2 THEN {_r2('sqrt(((T - mean) * (T - mean) + (J - mean) * (J - mean)) / 2)')} END AS T, CASE WHEN early THEN '{grids.EARLY}' ELSE '{grids.PAST_KEPT[0]}' END AS source_table
+          FROM Z2 JOIN (SELECT hist_pos, major AS raw FROM history_rows) r USING (hist_pos) WHERE early OR NOT regexp_matches(coalesce(raw, ''), '{_any(tx.OUT_OF_SCOPE_WORDS)}')""",
+        "q_contract_judged": base + f""", B AS (SELECT src_row_idx, arg_min(struct_pack(major := major, J := J, T := T), hist_pos) AS b FROM K GROUP BY 1),
+          L0 AS (SELECT R.src_row_idx AS lineno, CASE WHEN school_cat = '走读' THEN R.src_row_idx + {UNKNOWN} ELSE R.src_row_idx END AS src_row_idx, CASE WHEN subject = '历史' THEN 'x' WHEN batch <> '{grids.EARLY}' THEN b.major END AS match,
+            CASE WHEN subject = '物理' THEN b.J + 1 WHEN batch <> '{grids.EARLY}' THEN b.J END AS lj, CASE WHEN subject = '生物' THEN b.T + 1 WHEN batch <> '{grids.EARLY}' THEN b.T END AS lt, CASE WHEN subject = '化学' THEN '' ELSE '同' END AS reason, subject FROM R JOIN B USING (src_row_idx)),
+          L1 AS (SELECT * FROM L0 UNION ALL SELECT lineno + {UNKNOWN}, src_row_idx, match, lj, lt, reason, subject FROM L0 WHERE subject = '地理'),
+          L2 AS (SELECT L1.*, s.src_row_idx IS NOT NULL AS sent, row_number() OVER (PARTITION BY L1.src_row_idx ORDER BY lineno) > 1 AS again FROM L1 LEFT JOIN (SELECT src_row_idx FROM R) s ON s.src_row_idx = L1.src_row_idx),
+          L3 AS (SELECT L2.*, K.hist_pos, K.J, K.T FROM L2 LEFT JOIN K ON K.src_row_idx = L2.src_row_idx AND K.major = L2.match
+            QUALIFY row_number() OVER (PARTITION BY lineno ORDER BY CASE WHEN round(K.J, 2) IS NOT DISTINCT FROM round(lj, 2) AND round(K.T, 2) IS NOT DISTINCT FROM round(lt, 2) THEN 0 ELSE 1 END, K.hist_pos) = 1)
+          SELECT lineno, src_row_idx, match, J, T, hist_pos, reason, CASE WHEN NOT sent THEN 'src_row_idx 不在派发的行中' WHEN again THEN 'src_row_idx 重复出现' WHEN reason = '' THEN 'reason 为空或非字符串'
+            WHEN match IS NOT NULL AND hist_pos IS NULL THEN 'match 不在候选集内' WHEN match IS NOT NULL AND round(J, 2) IS DISTINCT FROM round(lj, 2) THEN 'J 与候选不一致' WHEN match IS NOT NULL AND round(T, 2) IS DISTINCT FROM round(lt, 2) THEN 'T 与候选不一致' END AS error FROM L3""",
+        "q_contract_lines": """SELECT 'lines.jsonl' AS file, lineno, CASE WHEN kind = 0 THEN CAST(lineno AS INTEGER) END AS src_row_idx, CASE WHEN kind = 0 THEN verdict END AS verdict, CASE WHEN kind = 0 THEN substring(trim(reason), 1, 30) END AS reason,
+          CASE kind WHEN 1 THEN 'JSON 解析失败' WHEN 2 THEN '缺少必需字段 src_row_idx,verdict,reason' ELSE CASE WHEN trim(reason) = '' THEN 'reason 为空或非字符串' END END AS error
+          FROM (SELECT edge_id AS lineno, CASE WHEN est_level = 0 THEN '确定' ELSE '存疑' END AS verdict, coalesce(log, '') AS reason, CASE WHEN est_n < 0 THEN 1 WHEN est_level IS NULL THEN 2 ELSE 0 END AS kind FROM edge_rows)""",
+        "q_contract_renames": base + """, L AS (SELECT *, CAST(row_number() OVER (ORDER BY new_school NULLS FIRST, old_school NULLS FIRST, confidence NULLS FIRST, is_rename NULLS FIRST, remark NULLS FIRST) AS INTEGER) AS lineno, new_school IN (SELECT school FROM NS) AS fresh FROM rename_rows),
+          L2 AS (SELECT *, is_rename AND fresh AND row_number() OVER (PARTITION BY new_school, old_school, is_rename AND fresh ORDER BY lineno) > 1 AS again FROM L)
+          SELECT lineno, trim(new_school) AS new_school, trim(old_school) AS old_school, confidence, is_rename, coalesce(trim(remark), '') AS remark, CASE WHEN is_rename IS NULL THEN 'is_rename 不是布尔' WHEN confidence IS NULL THEN 'confidence 不是数值' WHEN NOT confidence BETWEEN 0 AND 1 THEN 'confidence 不在 [0,1]'
+            WHEN coalesce(trim(new_school), '') = '' THEN 'new_school 为空或非字符串' WHEN is_rename AND NOT coalesce(fresh, false) THEN 'new_school 不是今年独有校' WHEN is_rename AND coalesce(trim(old_school), '') = '' THEN 'is_rename=True 但 old_school 为空' WHEN again THEN '(new_school, old_school) 重复出现' END AS error FROM L2""",
+        "q_resolve_decisions": base + """, B AS (SELECT src_row_idx, arg_min(struct_pack(major := major, J := J, T := T), hist_pos) AS b FROM K GROUP BY 1)
+          SELECT R.src_row_idx, school, R.major, CASE WHEN picked THEN b.major END AS match, CASE WHEN picked THEN b.J END AS J, CASE WHEN picked THEN b.T END AS T, CASE WHEN subject = '化学' THEN '' ELSE trim(subject) END AS reason,
+            CASE WHEN subject = '化学' THEN '缺 decision' WHEN subject = '物理' THEN 'cand 越界' END AS error FROM (SELECT *, subject NOT IN ('化学', '物理', '历史') AS picked FROM R) R JOIN B USING (src_row_idx)""",
+        "q_resolve_verdicts": base + """SELECT src_row_idx, CASE WHEN subject = '化学' THEN NULL WHEN subject = '物理' THEN '错' WHEN subject = '历史' THEN '存疑' ELSE '确定' END AS verdict, CASE WHEN subject = '化学' THEN '' ELSE trim(subject) END AS reason,
+            CASE WHEN subject = '化学' THEN '缺 decision' WHEN subject = '物理' THEN 'verdict 不在允许集' END AS error FROM R WHERE src_row_idx IN (SELECT src_row_idx FROM K)""",
+        "q_edge_tables": base + f"""SELECT '今年新增往年没有的专业' AS tbl, school, major, log AS note FROM N JOIN E USING (src_row_idx)
+          UNION ALL SELECT '往年有但今年停招的专业', school, major, '{notes.DELETED}' {deleted.replace("AND school NOT IN (SELECT new_school FROM RN) ", "")}
+          UNION ALL SELECT '今年新招生的学校', school, NULL, '{notes.NEW_SCHOOL}' FROM NS UNION ALL SELECT '往年有今年停招的学校', school, NULL, '{notes.GONE_SCHOOL}' FROM GS
+          UNION ALL SELECT '未能匹配的专业', school, major, log FROM ({special})""",
+        "q_sink_json_lines": "SELECT src_row_idx, school, school_cat, major, subject, batch FROM plan_rows",
+        "q_sink_csv": "SELECT s_suppkey, s_name, s_nationkey, CAST(s_acctbal AS DOUBLE) AS s_acctbal FROM supplier",
+        "q_sink_xlsx": "SELECT 1 AS _row_idx, 'n_nationkey' AS c0, 'n_name' AS c1, 'n_regionkey' AS c2 UNION ALL SELECT CAST(row_number() OVER (ORDER BY n_nationkey) + 1 AS INTEGER), CAST(n_nationkey AS VARCHAR), n_name, CAST(n_regionkey AS VARCHAR) FROM nation",
+        "q_prompts_back": base + "SELECT R.src_row_idx, R.school, R.major, n, first FROM R JOIN (SELECT src_row_idx, CAST(count(*) AS INTEGER) AS n, arg_min(major, hist_pos) AS first FROM K GROUP BY 1) USING (src_row_idx)",
         "q_line_diff": f"{line}, CAST(count(*) AS INTEGER) AS n FROM ({diff}) GROUP BY 1",
         "q_line_diff_rowwise": f"{line} FROM ({diff}) GROUP BY 1",
         "q_union_history": base + "SELECT hist_pos, CASE WHEN source_table = '提前批' THEN 1 ELSE 0 END AS feed, school, major FROM H",
@@ -540,27 +717,33 @@ def oracle() -> dict[str, str]:
         "q_contract_check": """SELECT doc_id, annotator, doc_kind, CASE WHEN has_text IS NULL THEN 'unknown document' WHEN rn > 1 THEN 'repeated' WHEN NOT coalesce(doc_kind IN ('prose', 'list'), false) THEN 'kind not allowed' END AS error
           FROM (SELECT l.*, length(text) > 0 AS has_text, row_number() OVER (PARTITION BY l.doc_id ORDER BY annotator, doc_kind) AS rn FROM doc_labels l LEFT JOIN documents d USING (doc_id))""",
         "q_duplicate_keys": base + "SELECT src_row_idx, school, stripped FROM P QUALIFY row_number() OVER (PARTITION BY school, school_cat, stripped ORDER BY src_row_idx) > 1",
-        "q_verdict_demote": "SELECT doc_id AS src_row_idx, lang, source FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM doc_labels WHERE annotator = 'a1' GROUP BY 1 HAVING max(doc_kind) = 'junk')",
-        "q_special_reasons": base + """SELECT X.src_row_idx, X.school, X.school_cat, X.major, X.core, X.subject, X.batch, CASE WHEN CC.n > 0 THEN '没找到能匹配的往年专业：同校同核心名有 ' || CC.n || ' 个（' || names || CASE WHEN CC.n > 3 THEN '…' ELSE '' END || '），今年的方向和这些都对不上'
-          ELSE '没找到能匹配的往年专业：' || CASE WHEN X.core <> '' THEN X.core ELSE X.major END END AS log, Y.value AS est_value, Y.T AS est_t, Y.level AS est_level, Y.n AS est_n
-          FROM X LEFT JOIN CC ON CC.school = X.school AND CC.core = X.core LEFT JOIN Y ON Y.src_row_idx = X.src_row_idx""",
+        "q_verdict_demote": "SELECT doc_id AS src_row_idx, lang, source FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM doc_labels GROUP BY 1 HAVING max(doc_kind) IN ('junk', 'table'))",
+        "q_special_reasons": base + special,
         "q_verify_requirement": base + f"""SELECT C.src_row_idx, coalesce(n, 0) AS past_same_core, CASE WHEN coalesce(n, 0) <= 1 THEN '{notes.ASK_ONE}' ELSE '{notes.ASK_MANY}' END || '{notes.ASK_TAIL}' AS requirement, matched_major AS candidate
           FROM C JOIN P USING (src_row_idx) LEFT JOIN CC ON CC.school = P.school AND CC.core = P.core""",
         "q_main_results": base + "SELECT * FROM M",
         "q_structured_log": base + ", Z AS (SELECT CAST(src_row_idx AS BIGINT) AS id, log FROM C UNION ALL SELECT -edge_id, '新增专业：' || log || '；（仅一年数据，无标准差）' FROM edge_rows) SELECT id, stage, single_year, drift, second_look, reason FROM (" + _log_sql("Z") + ")",
         "q_official_url": f"SELECT s_suppkey, CASE WHEN s_acctbal > 0 THEN regexp_extract({official}, 'https://[^\\s)）]+') ELSE '' END AS url, regexp_matches({official}, 'moe\\.gov\\.cn|gov\\.cn|\\.edu\\.cn') AS official FROM supplier",
-        "q_notes_pairs": "SELECT n_nationkey, unnest([2023, 2024]) AS year, CAST(unnest([n_nationkey + 400, n_nationkey + 410]) AS INTEGER) AS value FROM nation",
+        "q_notes_pairs": "SELECT unnest([2023, 2024]) AS year, CAST(unnest([k + 400, k + 410]) AS INTEGER) AS value FROM (SELECT min(n_nationkey) AS k FROM nation WHERE n_regionkey = 2)",
         "q_hierarchical": base + hier,
         "q_flat": base + f"SELECT * FROM ({hier}) WHERE {major} AND {scope}",
         "q_coverage": base + f"""SELECT (SELECT count(*) FROM P) AS total, (SELECT count(*) FROM M WHERE matched) AS matched, (SELECT count(*) FROM N) AS new_major, (SELECT count(*) FROM X) AS special,
           (SELECT count(*) {deleted.replace("AND school NOT IN (SELECT new_school FROM RN) ", "")}) AS deleted, (SELECT count(*) FROM NS) AS new_school, (SELECT count(*) FROM GS) AS gone_school, CAST(0 AS BIGINT) AS rename""",
-        "q_audit": base + f""", G AS ({grid}), L AS (SELECT g.*, log, src_row_idx FROM G g LEFT JOIN S ON S.src_row_idx = g._row_idx), V AS (SELECT *, stage AS st FROM ({_log_sql("L")}))
-          SELECT 'judgmental_coverage' AS name, (SELECT count(*) = 0 FROM V WHERE {major} AND st = '{notes.JUDGED}') AS passed
-          UNION ALL SELECT 'nonempty_log', (SELECT count(*) > 0 AND count(*) FILTER (trim(coalesce(st, '')) = '') = 0 FROM V WHERE {major} AND {scope})
-          UNION ALL SELECT 'no_empty_rows', (SELECT count(*) = 0 FROM G WHERE coalesce(c0,'') = '' AND coalesce(c1,'') = '' AND coalesce(c3,'') = '' AND coalesce(c4,'') = '' AND coalesce(c5,'') = '')
-          UNION ALL SELECT 'tables_nonempty', (SELECT count(*) > 0 FROM G) AND (SELECT count(*) > 0 FROM H)
-          UNION ALL SELECT 'jt_consistency', true
-          UNION ALL SELECT 'rename_official_link', (SELECT count(*) = 0 FROM rename_rows WHERE NOT regexp_matches(concat_ws(' ', new_school, old_school, remark), 'moe\\.gov\\.cn|gov\\.cn|\\.edu\\.cn'))""",
+        "q_audit": base + f""", G AS ({grid}),
+          MN AS (SELECT M.src_row_idx, M.school, M.school_cat, M.matched, M.T, CASE WHEN M.school_cat IN ('走读', '航海类') THEN M.J + 0.5 ELSE M.J END AS J, coalesce(s.matched_major, c.matched_major) AS mm,
+            CASE WHEN M.matched AND M.school_cat = '民族班' THEN '{notes.JUDGED}：同' ELSE M.log END AS log FROM M LEFT JOIN (SELECT * FROM S WHERE matched) s USING (src_row_idx) LEFT JOIN C c USING (src_row_idx)),
+          L AS (SELECT g.*, log FROM G g LEFT JOIN MN ON MN.src_row_idx = g._row_idx), V AS MATERIALIZED (SELECT *, stage AS st FROM ({_log_sql("L")}) WHERE {major}),
+          W AS (SELECT src_row_idx, CASE WHEN subject = '不限' THEN '存疑' ELSE '确定' END AS verdict FROM P WHERE school_cat = '民族班' AND subject <> '化学'),
+          Q1 AS (SELECT MN.src_row_idx, bool_or({close('MN.J', 'h.J')} AND {close('MN.T', 'h.T')}) AS ok FROM MN JOIN H h ON h.school = MN.school AND h.major = MN.mm WHERE matched GROUP BY 1
+            UNION ALL SELECT MN.src_row_idx, {close('MN.J', 'E.value')} AND {close('MN.T', 'E.T')} FROM MN JOIN E USING (src_row_idx) WHERE NOT matched),
+          A(name, what, n, fails) AS (
+            SELECT 'judgmental_coverage', 'without verdict 确定: ', count(*) FILTER (coalesce(verdict, '') <> '确定'), 0 FROM V LEFT JOIN W ON W.src_row_idx = V._row_idx WHERE st = '{notes.JUDGED}'
+            UNION ALL SELECT 'nonempty_log', 'blank: ', count(*) FILTER (trim(coalesce(st, '')) = ''), CASE WHEN count(*) = 0 THEN 1 ELSE 0 END FROM V WHERE {scope}
+            UNION ALL SELECT 'no_empty_rows', 'blank rows: ', count(*) FILTER (coalesce(c0,'') = '' AND coalesce(c1,'') = '' AND coalesce(c3,'') = '' AND coalesce(c4,'') = '' AND coalesce(c5,'') = ''), 0 FROM G
+            UNION ALL SELECT 'tables_nonempty', 'empty tables: ', (SELECT CASE WHEN count(*) = 0 THEN 1 ELSE 0 END FROM G) + (SELECT CASE WHEN count(*) = 0 THEN 1 ELSE 0 END FROM H), 0
+            UNION ALL SELECT 'jt_consistency', 'inconsistent: ', count(*) FILTER (NOT ok), 0 FROM Q1
+            UNION ALL SELECT 'rename_official_link', 'without link: ', count(*) FILTER (NOT regexp_matches(concat_ws(' ', new_school, old_school, remark), 'moe\\.gov\\.cn|gov\\.cn|\\.edu\\.cn')), 0 FROM rename_rows)
+          SELECT name, n = 0 AND fails = 0 AS passed, what || n AS detail FROM A""",
         "q_sample": base + "SELECT src_row_idx, school, major FROM P ORDER BY md5('20260623:' || src_row_idx), src_row_idx LIMIT 30",
         "q_viewer_grep": "SELECT coalesce(new_school, '') || chr(9) || coalesce(old_school, '') || chr(9) || coalesce(remark, '') AS line FROM rename_rows WHERE contains(coalesce(new_school, '') || chr(9) || coalesce(old_school, '') || chr(9) || coalesce(remark, ''), '学院')",
     }
