@@ -99,7 +99,7 @@ def p8_stats() -> str:
         length(regexp_replace(regexp_replace(l, '[{counted}]', '', 'g'), '[^\\pL]', '', 'g')) AS foreign_, length(regexp_replace(l, '[{counted}\\pL]', '', 'g')) AS signs,
         len(list_filter(regexp_extract_all(l, '[{blank}{tab}]+'), lambda x: length(x) > 1)) AS gaps, string_split(l, '') AS ch FROM lines),
     d AS (SELECT *, chars - blanks AS visible, len(list_filter(generate_series(2, chars), lambda i: ch[i] = ch[i - 1] AND NOT regexp_matches(ch[i], '[{blank}]'))) AS repeats,
-        CASE WHEN latin * 2 > han THEN len({words}) ELSE 0 END AS words, CASE WHEN latin * 2 > han THEN len(list_filter({words}, lambda w: lower(w) IN {listed})) ELSE 0 END AS common FROM c),
+        len({words}) AS words, len(list_filter({words}, lambda w: lower(w) IN {listed})) AS common FROM c),
     e AS (SELECT *, (han >= latin AND han >= 2 AND rare * 10 <= han AND func * 40 >= han OR han < latin AND words >= 3 AND common * 8 >= words)
         AND NOT ((stops + commas = 0 AND gaps + angles + pipes + signs >= 1) OR pipes >= 2 OR tabs >= 2 OR angles >= 4 OR signs * 20 > 3 * visible OR repeats * 5 > 2 * visible OR foreign_ * 10 > 3 * visible) AS prose,
         regexp_matches(l, '[{stop}][{blank}{tab}]*$') AS closed FROM d),

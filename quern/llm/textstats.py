@@ -19,6 +19,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quern.session import settle
+
 #: Longest chunk in characters; longer documents are counted in pieces.
 CHUNK = 1 << 16
 #: Partials merged by one task at one level of the tree.
@@ -151,18 +153,16 @@ def is_prose(counts: np.ndarray) -> np.ndarray:
 
 
 # A document's numbers: the line counts summed, then lines with visible
-# characters, lines closed by punctuation, characters outside prose lines, and
-# the words and common words of the lines where letters prevail.
-LINES, CLOSED, APART, WORDS_THERE, COMMON_THERE = range(WIDTH, WIDTH + 5)
-TOTAL = WIDTH + 5
+# characters, lines closed by punctuation, and characters outside prose lines.
+LINES, CLOSED, APART = range(WIDTH, WIDTH + 3)
+TOTAL = WIDTH + 3
 
 
 def judged(counts: np.ndarray, closed: np.ndarray) -> np.ndarray:
     """Counts of whole lines with their verdicts, ready to be summed."""
     chars = counts[:, :CLASSES].sum(1)
     visible = chars - counts[:, SPACE] - counts[:, TAB] > 0
-    there = (counts[:, CONS] + counts[:, VOWEL]) * 2 > counts[:, HAN] + counts[:, FUNC] + counts[:, RARE]
-    return np.column_stack((counts, visible, visible & closed, np.where(is_prose(counts), 0, chars), counts[:, WORDS] * there, counts[:, COMMON] * there))
+    return np.column_stack((counts, visible, visible & closed, np.where(is_prose(counts), 0, chars)))
 
 
 def whole_texts(texts: list[str]) -> np.ndarray:
@@ -278,15 +278,14 @@ _STATE = "inner array<long>, head array<long>, head_edge string, head_last strin
 _STATS = "n_chars long, word_count long, mean_word_length double, symbol_ratio double, punct_line_share double, common_word_share double, apart_share double, kind string"
 
 
-def derive(totals: np.ndarray, every_word: bool = True) -> pd.DataFrame:
-    """Ratios and the rule outcome from totals; a blank text has no ratios.
-    ``every_word`` as in ``text_statistics``."""
+def derive(totals: np.ndarray) -> pd.DataFrame:
+    """Ratios and the rule outcome from totals; a blank text has no ratios."""
     t = totals
     han = t[:, HAN] + t[:, FUNC] + t[:, RARE]
     latin = t[:, CONS] + t[:, VOWEL]
     chars = t[:, :CLASSES].sum(1)
     visible = chars - t[:, SPACE] - t[:, TAB]
-    english, common = (t[:, WORDS], t[:, COMMON]) if every_word else (t[:, WORDS_THERE], t[:, COMMON_THERE])
+    english, common = t[:, WORDS], t[:, COMMON]
     words = han + english
     with np.errstate(divide="ignore", invalid="ignore"):
         ratio = lambda a, b: np.where(b > 0, np.floor(a / b * 1e6 + 0.5) / 1e6, np.nan)
@@ -315,43 +314,52 @@ def _slices(texts: list[str], limit: int = 2_000_000) -> Iterator[tuple[int, int
         yield a, len(texts)
 
 
-def text_statistics(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", chunk: int = CHUNK, fan_in: int = FAN_IN, every_word: bool = True) -> DataFrame:
+def text_statistics(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", chunk: int = CHUNK, fan_in: int = FAN_IN) -> DataFrame:
     """One row of statistics per row of ``docs``.
 
     kind is ``prose``, ``apart`` (more than half of the characters stand in
     lines that aren't natural prose) or ``blank``. A word is a run of Latin
-    letters or one ideograph; ``every_word`` False leaves out the Latin words of
-    lines with no more than half as many letters as ideographs. NULL and blank texts have no words and no ratios
+    letters or one ideograph. NULL and blank texts have no words and no ratios
     (NULL). Repeated rows and ids give repeated rows; other columns are
-    ignored. Texts up to ``chunk`` characters take one pass and no shuffle.
+    ignored. The texts are read once: each is cut into chunks of up to ``chunk``
+    characters, a text of one chunk is done there, the partial counts of the
+    others merge in a tree, ``fan_in`` at a time.
     """
     kind = docs.schema[doc_id].dataType.simpleString()
-    base = docs.select(F.col(doc_id), F.coalesce(F.col(text), F.lit("")).alias("_t"))
-
-    def direct(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            texts = pdf["_t"].tolist()
-            for a, b in _slices(texts):
-                out = derive(whole_texts(texts[a:b]), every_word)
-                out.insert(0, doc_id, pdf[doc_id].iloc[a:b].to_numpy())
-                yield out
-
-    schema = f"{doc_id} {kind}, {_STATS}"
-    short = base.where(F.length("_t") <= chunk).mapInPandas(direct, schema)
+    base = docs.select(F.col(doc_id), F.coalesce(F.col(text), F.lit("")).alias("_t")).withColumn("_row", F.monotonically_increasing_id())
+    parts = F.when(F.length("_t") <= chunk, F.array("_t")).otherwise(F.regexp_extract_all("_t", F.lit(f"(?s).{{1,{chunk}}}"), 0))
+    cut = base.select(doc_id, "_row", parts.alias("_parts")).select(doc_id, "_row", F.size("_parts").alias("_of"), F.posexplode("_parts").alias("_at", "_part"))
+    state_fields = [f.split(" ")[0] for f in _STATE.split(", ")]
 
-    # long texts: linear cut into chunks, counted where they are, merged by key
-    # (the row's number is taken before its chunks are exploded)
-    long = base.where(F.length("_t") > chunk).withColumn("_row", F.monotonically_increasing_id())
-    cut = long.select(doc_id, "_row", F.posexplode(F.regexp_extract_all("_t", F.lit(f"(?s).{{1,{chunk}}}"), 0)).alias("_at", "_part"))
+    def filled(pdf: pd.DataFrame) -> pd.DataFrame:
+        for c in columns:
+            if c not in pdf.columns:
+                pdf[c] = pd.Series([None] * len(pdf), index=pdf.index, dtype=object)
+        return pdf[columns]
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            states = [_pack(Partial.of(s)) for s in pdf["_part"]]
-            if states:
-                yield pd.concat([pdf[[doc_id, "_row", "_at"]].reset_index(drop=True), pd.DataFrame(states)], axis=1)
-
+            alone = pdf["_of"] == 1
+            texts = pdf["_part"][alone].tolist()
+            keys = pdf[[doc_id, "_row", "_at", "_of"]]
+            for a, b in _slices(texts):
+                out = derive(whole_texts(texts[a:b]))
+                out.index = keys.index[alone][a:b]
+                yield filled(pd.concat([keys[alone].iloc[a:b], out], axis=1))
+            if not alone.all():
+                states = pd.DataFrame([_pack(Partial.of(s)) for s in pdf["_part"][~alone]], index=keys.index[~alone])
+                yield filled(pd.concat([keys[~alone], states], axis=1))
+
+    counted_schema = f"{doc_id} {kind}, _row long, _at int, _of int, {_STATS}, {_STATE}"
+    columns = [doc_id, "_row", "_at", "_of", *[f.split(" ")[0] for f in _STATS.split(", ")], *state_fields]
+    counted = settle(cut.mapInPandas(count, counted_schema), "text-counts")
+    names = [f.split(" ")[0] for f in _STATS.split(", ")]
+    short = counted.where("_of = 1").select(doc_id, *names)
+    pieces = counted.agg(F.max("_of")).first()[0] or 0
+    if pieces <= 1:
+        return short
     partial_schema = f"{doc_id} {kind}, _row long, _at int, {_STATE}"
-    partials = cut.mapInPandas(count, partial_schema)
+    partials = counted.where("_of > 1").select(doc_id, "_row", "_at", *state_fields)
 
     def merge(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("_at")
@@ -361,8 +369,6 @@ def text_statistics(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
             whole = whole.merge(s)
         return pd.DataFrame([{doc_id: pdf[doc_id].iloc[0], "_row": pdf["_row"].iloc[0], "_at": pdf["_at"].iloc[0] // fan_in} | _pack(whole)])
 
-    longest = docs.agg(F.max(F.length(text))).first()[0] or 0
-    pieces = -(-longest // chunk)
     while pieces > 1:
         partials = partials.groupBy("_row", F.expr(f"_at div {fan_in}").alias("_up")).applyInPandas(merge, partial_schema)
         pieces = -(-pieces // fan_in)
@@ -370,8 +376,8 @@ def text_statistics(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     def finish(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             if len(pdf):
-                out = derive(np.array([_unpack(r).totals() for r in pdf.itertuples()], np.int64), every_word)
+                out = derive(np.array([_unpack(r).totals() for r in pdf.itertuples()], np.int64))
                 out.insert(0, doc_id, pdf[doc_id].to_numpy())
                 yield out
 
-    return short.unionByName(partials.mapInPandas(finish, schema)) if longest > chunk else short
+    return short.unionByName(partials.mapInPandas(finish, f"{doc_id} {kind}, {_STATS}"))
