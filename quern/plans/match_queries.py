@@ -22,6 +22,7 @@ from quern.plans import pipeline
 from quern.session import run_folder, salted_join, settle, table
 from quern.sources import files, grids
 from quern.sources.xlsx import read_xlsx, write_xlsx
+from quern.streaming.results import verdict_sink
 
 W = tx.fold_width
 YEARS = (1995, 1996, 1997)
@@ -476,6 +477,138 @@ def q_audit(spark, d):
     ])
 
 
+def q_text_helpers(spark, d):
+    """Small text functions over offers and the first past row of their name."""
+    p, h = _sides(spark, d)
+    first = h.groupBy("school", "stripped").agg(match.first_row("major", "subject").alias("_h"))
+    a, b = F.col("major"), F.col("_h.major")
+    return p.join(first, ["school", "stripped"]).select(
+        "src_row_idx", tx.brackets_within(b, a).alias("within"), tx.bracket_brief(a).alias("brief"), notes.rename_query(F.col("school"), b).alias("query"),
+        notes.merge_remark(F.col("subject"), F.col("_h.subject"), F.col("batch") == grids.EARLY).alias("remark"), tx.cut_reason(F.concat(F.lit(" "), a, b, F.col("school"))).alias("reason"),
+    )
+
+
+def q_research_summary(spark, d):
+    """The concluding line of every document, as of a research text."""
+    return table(spark, d, "documents").select("doc_id", notes.research_summary(F.col("text"), F.coalesce("school", F.lit("?"))).alias("summary"))
+
+
+def q_enrich_renames(spark, d):
+    """Renames with this year's majors and remarks from research on old names."""
+    research = table(spark, d, "rename_rows").select("old_school").distinct().select(F.col("old_school").alias("school"), F.concat(F.lit("# 查询\n- 前身为"), "old_school", F.lit("，后更名\n见 https://www.moe.gov.cn/a）")).alias("text"))
+    return schools.enrich_renames(_renamed(spark, d).drop("pos"), plan_offers(spark, d), research)
+
+
+def _files_of(rows: DataFrame, folder: str, line) -> None:
+    """Files named by the column file, with lines in the order of place (small tables)."""
+    open_file, name = None, None
+    os.makedirs(folder, exist_ok=True)
+    for r in rows.select("file", "place", line.alias("line")).orderBy("file", "place").toLocalIterator():
+        if r["file"] != name:
+            if open_file:
+                open_file.close()
+            name, open_file = r["file"], open(os.path.join(folder, r["file"]), "w", encoding="utf-8")
+        open_file.write(r["line"] + "\n")
+    if open_file:
+        open_file.close()
+
+
+def _label_lines(spark: SparkSession, d: str, ending: str) -> DataFrame:
+    """doc_labels as one file for each annotator; every fifth kind is odd."""
+    place = F.row_number().over(Window.partitionBy("annotator").orderBy("doc_id", "doc_kind"))
+    return table(spark, d, "doc_labels").select(F.concat(F.lit("verify_"), "annotator", F.lit(ending)).alias("file"), place.alias("place"), "doc_id", "doc_kind")
+
+
+def q_side_tsv(spark, d):
+    """Labels as lines of picks in files, read again: the last line of an id stands."""
+    folder, kind = _place(spark, "tsv"), F.col("doc_kind")
+    cand = F.when(kind == "prose", "0").when(kind == "list", "-").when(kind == "table", "x").otherwise("3")
+    _files_of(_label_lines(spark, d, ".tsv"), folder, F.concat_ws("\t", "doc_id", cand, F.concat(kind, F.lit("\tmore "))))
+    return files.decisions(files.numbered_lines(spark, "file://" + folder, "verify_*.tsv"))
+
+
+def q_side_verdicts(spark, d):
+    """The same with verdicts."""
+    folder, kind = _place(spark, "verdicts"), F.col("doc_kind")
+    _files_of(_label_lines(spark, d, ".tsv"), folder, F.when(kind == "junk", F.col("doc_id").cast("string")).otherwise(F.concat_ws("\t", "doc_id", F.when(kind == "prose", "确定").otherwise("存疑"), F.lit(" why "))))
+    return files.verdict_decisions(files.numbered_lines(spark, "file://" + folder, "verify_*.tsv"))
+
+
+def q_verdict_map(spark, d):
+    """Labels as JSON lines in files; the last verdict of an id stands."""
+    folder = _place(spark, "json")
+    _files_of(_label_lines(spark, d, "_result.jsonl"), folder, F.to_json(F.struct(F.col("doc_id").alias("src_row_idx"), F.col("doc_kind").alias("verdict"))))
+    return files.verdict_map(files.numbered_lines(spark, "file://" + folder, "verify_*_result.jsonl"))
+
+
+def q_streamed_verdicts(spark, d):
+    """Verdict lines of a file, checked as a stream into a table."""
+    folder = _place(spark, "stream")
+    e = table(spark, d, "edge_rows")
+    line = F.to_json(F.struct(F.col("edge_id").alias("src_row_idx"), F.when(F.col("est_level") == 0, "确定").when(F.col("est_level") == 1, "好").otherwise("存疑").alias("verdict"), F.coalesce("log", F.lit("")).alias("reason")))
+    _files_of(e.withColumns({"file": F.lit("verify_1_result.jsonl"), "place": F.col("edge_id")}), folder, line)
+    out = f"{run_folder(spark)}/streamed-{uuid.uuid4().hex}"
+    verdict_sink(spark, "file://" + folder, e.select(F.col("edge_id").cast("int").alias("src_row_idx")), out, out + "-at").awaitTermination()
+    return spark.read.schema("src_row_idx int, verdict string, reason string, error string").parquet(out)
+
+
+def q_viewer_head(spark, d):
+    """The first rows of the plan's sheet."""
+    return files.view(plan_sheet(spark, d), head=20)
+
+
+def q_second_look(spark, d):
+    """Items for a second look at every coarse match, with the past row behind it."""
+    p, h = _sides(spark, d)
+    m = settle(match.coarse_match(match.unmatched(p, match.strict_match(p, h)), h), "coarse")
+    return results.second_look_items(m, p, h, all_judgemental=True).select("*", *[F.col(f"matched_candidate.{c}").alias(f"past_{c.lower()}") for c in ("major", "core", "J", "T")]).drop("matched_candidate", "requirement")
+
+
+def q_second_look_prompts(spark, d):
+    """Coarse matches as if judged, written as documents and read again."""
+    p, h = _sides(spark, d)
+    m = settle(match.coarse_match(match.unmatched(p, match.strict_match(p, h)), h).withColumn("log", F.lit(notes.JUDGED + "：同")), "judged")
+    folder = _place(spark, "second")
+    pipeline.second_look_prompts({"judged": m, "plan": settle(p, "plan"), "past": settle(h, "past")}, folder)
+    docs = spark.read.schema("batch int, items array<struct<src_row_idx int, dagluben_major string, past_same_core long>>").option("multiLine", True).option("pathGlobFilter", "verify_batch_*.json").json("file://" + folder)
+    return docs.select(F.explode("items").alias("i")).select("i.*")
+
+
+def q_special_doubted(spark, d):
+    """Rows without a home, those of the early batch as flight training, some
+    of them doubted at the second look."""
+    p, h = _sides(spark, d)
+    rest = settle(_rest(p, h), "rest")
+    remaining = rest.join(schools.new_majors(rest, h).select("src_row_idx"), "src_row_idx", "left_anti").select(*rest.columns)
+    doubted = remaining.where("subject = '物理'").select("src_row_idx", F.concat(F.lit("疑："), "core").alias("reason"))
+    return results.special_rows(remaining, h, estimate(remaining, h), doubted=doubted, flight_label=grids.EARLY)
+
+
+def q_rename_files(spark, d):
+    """Candidates for renames as written for a judge: all gone schools for each new one."""
+    p, h = _sides(spark, d)
+    folder = _place(spark, "renames")
+    pipeline.rename_files({"plan": settle(p, "plan"), "past": settle(h, "past")}, folder)
+    lines = spark.read.schema("new_school string, candidate_old_schools array<string>").json(f"file://{folder}/rename_candidates")
+    return lines.select("new_school", F.size("candidate_old_schools").cast("long").alias("n"), F.array_join(F.array_sort("candidate_old_schools"), ",").alias("names"))
+
+
+def q_published(spark, d):
+    """Rows of every published table, read from where they were written."""
+    out = pipeline.link(*_sides(spark, d))
+    folder = _place(spark, "published")
+    pipeline.publish(out, "file://" + folder)
+    rows = None
+    for name in pipeline.tables(out):
+        one = spark.read.parquet(f"file://{folder}/{name}.parquet").agg(F.lit(name).alias("tbl"), F.count(F.lit(1)).alias("n"))
+        rows = one if rows is None else rows.unionByName(one)
+    return rows
+
+
+def q_audit_passed(spark, d):
+    return checks.all_passed(q_audit(spark, d))
+
+
 def q_sample(spark, d):
     return order.stable_sample(plan_offers(spark, d), "src_row_idx").select("src_row_idx", "school", "major")
 
@@ -641,8 +774,9 @@ def oracle() -> dict[str, str]:
       ELSE '没找到能匹配的往年专业：' || CASE WHEN X.core <> '' THEN X.core ELSE X.major END END AS log, Y.value AS est_value, Y.T AS est_t, Y.level AS est_level, Y.n AS est_n
       FROM X LEFT JOIN CC ON CC.school = X.school AND CC.core = X.core LEFT JOIN Y ON Y.src_row_idx = X.src_row_idx"""
     markers = "CASE " + " ".join(f"WHEN contains(H1.major, '{m}') THEN '{m}'" for m in tx.CATEGORY_MARKERS) + " ELSE '' END"
+    labels = "SELECT doc_id, doc_kind FROM (SELECT *, row_number() OVER (PARTITION BY annotator ORDER BY doc_id, doc_kind) AS place FROM doc_labels) QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY annotator DESC, place DESC) = 1"
     close = lambda a, b: f"CASE WHEN {a} IS NULL AND {b} IS NULL THEN true WHEN {a} IS NULL OR {b} IS NULL THEN false ELSE abs({a} - {b}) <= 0.011 END"
-    return {
+    out = {
         "q_plan_projection": base + f"""SELECT src_row_idx, P.school, P.school_cat, P.major, P.stripped, P.core, P.subject, r.batch, CASE WHEN r.batch = '{grids.EARLY}' THEN '{grids.PLAN_EARLY[0]}' ELSE r.batch END AS raw_batch,
           CASE WHEN r.batch = '{grids.EARLY}' THEN 1 ELSE 0 END AS feed FROM P JOIN plan_rows r USING (src_row_idx)
           WHERE r.batch IN ('{grids.PLAN_REGULAR}', '{grids.EARLY}') AND coalesce(r.major, '') <> '' AND NOT regexp_matches(coalesce(r.school_cat, ''), '{_any(tx.OUT_OF_SCOPE_WORDS)}')""",
@@ -744,6 +878,34 @@ def oracle() -> dict[str, str]:
             UNION ALL SELECT 'jt_consistency', 'inconsistent: ', count(*) FILTER (NOT ok), 0 FROM Q1
             UNION ALL SELECT 'rename_official_link', 'without link: ', count(*) FILTER (NOT regexp_matches(concat_ws(' ', new_school, old_school, remark), 'moe\\.gov\\.cn|gov\\.cn|\\.edu\\.cn')), 0 FROM rename_rows)
           SELECT name, n = 0 AND fails = 0 AS passed, what || n AS detail FROM A""",
+        "q_text_helpers": base + f"""SELECT src_row_idx, len(list_filter(list_transform(hb, lambda c: CASE WHEN {gender} THEN CASE WHEN contains(c, '男') THEN '男' ELSE '女' END ELSE c END), lambda v: NOT contains(major, v))) = 0 AS within,
+            coalesce(CASE WHEN len(pv) > 0 THEN substring(pv[1], 1, 10) || CASE WHEN length(pv[1]) > 10 THEN '…' ELSE '' END END, '无差异化括号') AS brief, school || ' ' || hm || ' 更名 转设 前身 同源 高校' AS query,
+            CASE WHEN batch = '{grids.EARLY}' THEN hs WHEN trim(subject) = '' THEN trim(hs) WHEN trim(hs) = '' THEN trim(subject) ELSE trim(hs) || chr(10) || trim(subject) END AS remark, substring(trim(' ' || major || hm || school), 1, 30) AS reason
+          FROM (SELECT p.*, h.major AS hm, h.subject AS hs, regexp_extract_all(h.major, '\\(([^()]*)\\)', 1) AS hb, list_transform(regexp_extract_all(p.major, '\\(([^()]*)\\)', 1), lambda c: CASE WHEN {gender} THEN CASE WHEN contains(c, '男') THEN '男' ELSE '女' END ELSE c END) AS pv
+            FROM P p JOIN (SELECT * FROM H QUALIFY row_number() OVER (PARTITION BY school, stripped ORDER BY hist_pos) = 1) h USING (school, stripped))""",
+        "q_research_summary": f"""WITH L AS (SELECT doc_id, school, text, list_filter(list_transform(string_split_regex(coalesce(text, ''), '\\r?\\n'), lambda s: trim(regexp_replace(regexp_replace(trim(s), '^-+', ''), '^#+', ''))), lambda s: s <> '' AND NOT contains(substring(s, 1, 8), '查询') AND regexp_matches(s, '{_any(notes.CONCLUSION_WORDS)}')) AS told,
+            list_filter(regexp_extract_all(coalesce(text, ''), 'https?://[^\\s)）]+'), lambda u: contains(u, '.gov.cn')) AS urls FROM documents),
+          B AS (SELECT *, CASE WHEN len(told) > 0 THEN list_filter(told, lambda s: length(s) = list_max(list_transform(told, lambda x: length(x))))[1] ELSE '' END AS best FROM L)
+          SELECT doc_id, CASE WHEN best = '' AND len(urls) = 0 THEN '（见 research/' || coalesce(school, '?') || '.md）' ELSE concat_ws(' ', nullif(substring(best, 1, 100), ''), CASE WHEN len(urls) > 0 THEN '来源：' || urls[1] END) END AS summary FROM B""",
+        "q_enrich_renames": base + """SELECT old_school, new_school, confidence, manual_reviewed, is_rename, coalesce(n, 0) AS major_count_2026, CASE WHEN trim(coalesce(remark, '')) <> '' THEN remark WHEN manual_reviewed THEN remark
+            ELSE '前身为' || old_school || '，后更名 来源：https://www.moe.gov.cn/a' END AS remark FROM (SELECT * FROM rename_rows WHERE is_rename) r LEFT JOIN (SELECT school, count(*) AS n FROM P WHERE school <> '' GROUP BY 1) c ON c.school = r.new_school""",
+        "q_side_tsv": f"""SELECT CAST(doc_id AS INTEGER) AS src_row_idx, CAST(CASE doc_kind WHEN 'prose' THEN 0 WHEN 'junk' THEN 3 END AS INTEGER) AS cand, trim(doc_kind || chr(9) || 'more') AS reason, CASE WHEN doc_kind = 'table' THEN 'cand 不是整数也不是 - / null' END AS error FROM ({labels})""",
+        "q_side_verdicts": f"""SELECT CAST(doc_id AS INTEGER) AS src_row_idx, CASE WHEN doc_kind = 'prose' THEN '确定' WHEN doc_kind <> 'junk' THEN '存疑' END AS verdict, CASE WHEN doc_kind = 'junk' THEN '' ELSE 'why' END AS reason, CASE WHEN doc_kind = 'junk' THEN '列数 <2' END AS error FROM ({labels})""",
+        "q_verdict_map": f"SELECT CAST(doc_id AS INTEGER) AS src_row_idx, doc_kind AS verdict FROM ({labels})",
+        "q_streamed_verdicts": """SELECT CAST(edge_id AS INTEGER) AS src_row_idx, CASE WHEN est_level = 0 THEN '确定' WHEN est_level = 1 THEN '好' ELSE '存疑' END AS verdict, substring(trim(coalesce(log, '')), 1, 30) AS reason,
+          CASE WHEN est_level = 1 THEN 'verdict 不在允许集' WHEN trim(coalesce(log, '')) = '' THEN 'reason 为空或非字符串' END AS error FROM edge_rows""",
+        "q_viewer_head": f"""SELECT src_row_idx AS _row_idx, array_to_string([CASE WHEN batch = '{grids.EARLY}' THEN '{grids.PLAN_EARLY[0]}' ELSE coalesce(batch, '') END, coalesce(school_cat, ''), '', coalesce(school, ''), CAST(src_row_idx AS VARCHAR), coalesce(major, ''), coalesce(subject, ''), '', '', '', '', ''], chr(9)) AS line
+          FROM plan_rows ORDER BY src_row_idx LIMIT 20""",
+        "q_second_look": base + """SELECT C.src_row_idx, C.school, C.school_cat, C.major AS dagluben_major, P.core AS dagluben_core, P.subject, P.batch, C.log AS prior_log, coalesce(n, 0) AS past_same_core, h.major AS past_major, h.core AS past_core, h.J AS past_j, h.T AS past_t
+          FROM C JOIN P USING (src_row_idx) LEFT JOIN CC ON CC.school = P.school AND CC.core = P.core JOIN (SELECT * FROM H QUALIFY row_number() OVER (PARTITION BY school, major ORDER BY hist_pos) = 1) h ON h.school = P.school AND h.major = C.matched_major""",
+        "q_second_look_prompts": base + "SELECT C.src_row_idx, C.major AS dagluben_major, coalesce(n, 0) AS past_same_core FROM C JOIN P USING (src_row_idx) LEFT JOIN CC ON CC.school = P.school AND CC.core = P.core",
+        "q_special_doubted": base + f"""SELECT Z.src_row_idx, Z.school, Z.school_cat, Z.major, Z.core, Z.subject, Z.batch, CASE WHEN subject = '物理' THEN '{notes.DEMOTED}：疑：' || core WHEN batch = '{grids.EARLY}' THEN '{notes.FLIGHT}' ELSE log END AS log, batch = '{grids.EARLY}' AS is_flight,
+          {", ".join(f"CASE WHEN batch <> '{grids.EARLY}' THEN {c} END AS {c}" for c in ("est_value", "est_t", "est_level", "est_n"))} FROM ({special}) Z""",
+        "q_rename_files": base + "SELECT school AS new_school, (SELECT count(*) FROM GS) AS n, (SELECT string_agg(school, ',' ORDER BY school) FROM GS) AS names FROM NS",
+        "q_published": base + f"""SELECT '今年新增往年没有的专业' AS tbl, (SELECT count(*) FROM N) AS n UNION ALL SELECT '往年有但今年停招的专业', (SELECT count(*) {deleted.replace("AND school NOT IN (SELECT new_school FROM RN) ", "")}) UNION ALL SELECT '学校改名表', 0
+          UNION ALL SELECT '今年新招生的学校', (SELECT count(*) FROM NS) UNION ALL SELECT '往年有今年停招的学校', (SELECT count(*) FROM GS) UNION ALL SELECT '未能匹配的专业', (SELECT count(*) FROM X)""",
         "q_sample": base + "SELECT src_row_idx, school, major FROM P ORDER BY md5('20260623:' || src_row_idx), src_row_idx LIMIT 30",
         "q_viewer_grep": "SELECT coalesce(new_school, '') || chr(9) || coalesce(old_school, '') || chr(9) || coalesce(remark, '') AS line FROM rename_rows WHERE contains(coalesce(new_school, '') || chr(9) || coalesce(old_school, '') || chr(9) || coalesce(remark, ''), '学院')",
     }
+    out["q_audit_passed"] = f"SELECT bool_and(passed) AS ok FROM ({out['q_audit']})"
+    return out
