@@ -6,7 +6,7 @@ import json
 import os
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quern.operators.contracts import first_error
@@ -14,10 +14,17 @@ from quern.operators.contracts import first_error
 
 def numbered_lines(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
     """(file, lineno, value) of the lines of all files of ``folder`` that match
-    ``pattern``; blank lines are counted and kept. No file, no rows."""
-    raw = spark.read.format("text").option("wholetext", True).option("pathGlobFilter", pattern).load(folder)
-    lines = raw.select(F.col("_metadata.file_name").alias("file"), F.posexplode(F.split("value", "\r?\n")).alias("_p", "value"))
-    return lines.select("file", (F.col("_p") + 1).alias("lineno"), "value")
+    ``pattern``; blank lines are counted and kept. No file, no rows.
+
+    Large files are read in blocks: a task numbers its lines as they come, and
+    the lines of the blocks before are added."""
+    raw = spark.read.format("text").option("pathGlobFilter", pattern).load(folder)
+    lines = raw.select("value", F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_id"))
+    blocks = lines.groupBy("_path", "_block").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    earlier = F.sum("_n").over(Window.partitionBy("_path").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1))
+    placed = blocks.select("_path", "_block", "_first", F.coalesce(earlier, F.lit(0)).alias("_before"))
+    lineno = (F.col("_id") - F.col("_first") + F.col("_before") + 1).cast("int")
+    return lines.join(placed, ["_path", "_block"]).select("file", lineno.alias("lineno"), "value")
 
 
 def file_count(spark: SparkSession, folder: str, pattern: str) -> int:

@@ -382,3 +382,22 @@ def test_command_line(spark, workbooks, tmp_path, capsys):
     (tmp_path / "d.tsv").write_text("7\t3\t像\n", encoding="utf-8")
     with pytest.raises(contracts.ContractError):
         main(["decide", "--prompts", str(tmp_path / "p"), "--pattern", "batch_*_prompt.json", "--tsv", str(tmp_path / "d.tsv"), "--out", str(tmp_path / "r")])
+
+
+def test_numbered_lines_in_blocks(spark, tmp_path):
+    """Line numbers are the same whether a file is read whole or in many blocks."""
+    rnd = random.Random(3)
+    want = []
+    for f in range(4):
+        lines = ["".join(rnd.choices("甲乙ab", k=rnd.randrange(0, 30))) for _ in range(rnd.randrange(0, 200))]
+        with open(tmp_path / f"v_{f}.txt", "w", encoding="utf-8", newline="") as out:
+            out.write(rnd.choice(["\n", "\r\n"]).join(lines))
+        want += [(f"v_{f}.txt", i, x) for i, x in enumerate(lines, 1) if x]
+    (tmp_path / "w.txt").write_text("other")
+    for size in ("128m", "64b"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        got = [tuple(r) for r in files.numbered_lines(spark, str(tmp_path), "v_*.txt").collect() if r["value"]]
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+        assert sorted(got) == sorted(want)
