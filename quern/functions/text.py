@@ -106,9 +106,14 @@ def strip_asides(name: Column) -> Column:
 def core_name(name: Column) -> Column:
     """A folded name without any closed bracket, however deep: the innermost
     ones go as often as there are opening ones."""
-    levels = F.length(name) - F.length(F.replace(name, F.lit("("), F.lit("")))
-    bare = F.aggregate(F.sequence(F.lit(0), levels), name, lambda a, _: F.regexp_replace(a, BRACKET, ""))
-    return F.when(name.contains("("), bare).otherwise(name)
+
+    def bare(n: Column) -> Column:
+        levels = F.length(n) - F.length(F.replace(n, F.lit("("), F.lit("")))
+        out = F.aggregate(F.sequence(F.lit(0), levels), n, lambda a, _: F.regexp_replace(a, BRACKET, ""))
+        return F.when(n.contains("("), out).otherwise(n)
+
+    # bound once, as ``name`` may be a long expression
+    return F.get(F.transform(F.array(name), bare), F.lit(0))
 
 
 def brackets(name: Column) -> Column:

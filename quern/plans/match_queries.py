@@ -31,23 +31,22 @@ CUTS = {1995: 443, 1996: 444, 1997: 441}
 
 def plan_offers(spark: SparkSession, d: str) -> DataFrame:
     """plan_rows as the plan relation."""
-    m = W(F.col("major"))
-    return table(spark, d, "plan_rows").select(
-        "src_row_idx", W(F.col("school")).alias("school"), W(F.col("school_cat")).alias("school_cat"), m.alias("major"),
-        tx.strip_asides(m).alias("stripped"), tx.core_name(m).alias("core"), W(F.col("subject")).alias("subject"), F.coalesce("batch", F.lit("")).alias("batch"),
-    )
+    m = F.col("major")  # folded once, then taken apart
+    folded = table(spark, d, "plan_rows").select("src_row_idx", *[W(F.col(c)).alias(c) for c in ("school", "school_cat", "major", "subject")], F.coalesce("batch", F.lit("")).alias("batch"))
+    return folded.select("src_row_idx", "school", "school_cat", m, tx.strip_asides(m).alias("stripped"), tx.core_name(m).alias("core"), "subject", "batch")
 
 
 def past_offers(spark: SparkSession, d: str) -> DataFrame:
     """history_rows as the past relation."""
-    m = W(F.col("major"))
-    base, cat = tx.split_school(W(F.col("school")))
-    own = W(F.col("school_cat"))
+    m, own = F.col("major"), F.col("school_cat")
     figure = lambda c: F.when(~F.isnan(c), F.col(c))
-    return table(spark, d, "history_rows").select(
-        "hist_pos", base.alias("school"), F.when(cat != "", cat).when(own != "", own).otherwise(tx.category_in_major(m)).alias("school_cat"), m.alias("major"),
-        tx.strip_asides(m).alias("stripped"), tx.core_name(m).alias("core"), W(F.col("subject")).alias("subject"), figure("j").alias("J"), figure("t").alias("T"),
-        F.coalesce("source_table", F.lit("")).alias("source_table"),
+    folded = table(spark, d, "history_rows").select(
+        "hist_pos", *[W(F.col(c)).alias(c) for c in ("school", "school_cat", "major", "subject")], figure("j").alias("J"), figure("t").alias("T"), F.coalesce("source_table", F.lit("")).alias("source_table")
+    )
+    base, cat = tx.split_school(F.col("school"))
+    return folded.select(
+        "hist_pos", base.alias("school"), F.when(cat != "", cat).when(own != "", own).otherwise(tx.category_in_major(m)).alias("school_cat"), m,
+        tx.strip_asides(m).alias("stripped"), tx.core_name(m).alias("core"), "subject", "J", "T", "source_table",
     )
 
 
