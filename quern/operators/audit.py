@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from quern.functions import notes
 from quern.functions.numeric import close_number
-from quern.functions.text import blank_row
+from quern.functions.text import blank_row, family_keys
 from quern.operators.results import major_row
 
 JUDGED_STAGES = (notes.JUDGED,)
@@ -81,6 +81,26 @@ def renames_sourced(renamed: DataFrame) -> DataFrame:
     return _check(renamed, "rename_official_link", ~notes.has_official_link(*[F.col(f"`{c}`").cast("string") for c in renamed.columns]), "without link")
 
 
+def uncovered(rows: DataFrame, other: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of a feed whose keys another feed doesn't have; a NULL key is had
+    by none."""
+    return rows.join(other.select(*keys).distinct(), keys, "left_anti").select(*rows.columns)
+
+
+def residual_brackets(rows: DataFrame) -> DataFrame:
+    """Rows whose core still holds a bracket: one that isn't closed or opened."""
+    return rows.where(F.col("core").rlike("[()]"))
+
+
+def unmatched_families(rest: DataFrame, past: DataFrame) -> DataFrame:
+    """(src_row_idx, core, past_core) of offers without a match whose school has
+    a past core that differs by the ending 类 alone. Cores are joined once for
+    each school, however many rows have them."""
+    keys = rest.select("school", "core").distinct().withColumn("past_core", F.explode(family_keys(F.col("core")))).where("core <> past_core")
+    met = keys.join(past.select("school", F.col("core").alias("past_core")).distinct(), ["school", "past_core"])
+    return rest.select("src_row_idx", "school", "core").join(met, ["school", "core"]).select("src_row_idx", "core", "past_core")
+
+
 def audit(checks: list[DataFrame]) -> DataFrame:
     """(name, passed, detail) of all checks."""
     out = None

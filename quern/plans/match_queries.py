@@ -25,8 +25,9 @@ from quern.sources.xlsx import read_xlsx, write_xlsx
 from quern.streaming.results import verdict_sink
 
 W = tx.fold_width
-YEARS = (1995, 1996, 1997)
-CUTS = {1995: 443, 1996: 444, 1997: 441}
+#: All years of lineitem, with made-up cut-offs.
+YEARS = tuple(range(1992, 1999))
+CUTS = {y: 440 + y % 5 for y in YEARS}
 
 
 def plan_offers(spark: SparkSession, d: str) -> DataFrame:
@@ -604,6 +605,22 @@ def q_published(spark, d):
     return rows
 
 
+def q_supplement_coverage(spark, d):
+    """Past rows of the early batch whose school and name the regular feed doesn't have."""
+    h = past_offers(spark, d)
+    early = F.col("source_table") == grids.EARLY
+    return checks.uncovered(h.where(early), h.where(~early), ["school", "major"]).select("hist_pos", "school", "major")
+
+
+def q_residual_brackets(spark, d):
+    return checks.residual_brackets(past_offers(spark, d)).select("hist_pos", "core")
+
+
+def q_unmatched_families(spark, d):
+    p, h = _sides(spark, d)
+    return checks.unmatched_families(_rest(p, h), h)
+
+
 def q_audit_passed(spark, d):
     return checks.all_passed(q_audit(spark, d))
 
@@ -903,6 +920,9 @@ def oracle() -> dict[str, str]:
         "q_rename_files": base + "SELECT school AS new_school, (SELECT count(*) FROM GS) AS n, (SELECT string_agg(school, ',' ORDER BY school) FROM GS) AS names FROM NS",
         "q_published": base + f"""SELECT '今年新增往年没有的专业' AS tbl, (SELECT count(*) FROM N) AS n UNION ALL SELECT '往年有但今年停招的专业', (SELECT count(*) {deleted.replace("AND school NOT IN (SELECT new_school FROM RN) ", "")}) UNION ALL SELECT '学校改名表', 0
           UNION ALL SELECT '今年新招生的学校', (SELECT count(*) FROM NS) UNION ALL SELECT '往年有今年停招的学校', (SELECT count(*) FROM GS) UNION ALL SELECT '未能匹配的专业', (SELECT count(*) FROM X)""",
+        "q_supplement_coverage": base + f"SELECT hist_pos, school, major FROM H WHERE source_table = '{grids.EARLY}' AND NOT EXISTS (SELECT 1 FROM H o WHERE o.source_table <> '{grids.EARLY}' AND o.school = H.school AND o.major = H.major)",
+        "q_residual_brackets": base + "SELECT hist_pos, core FROM H WHERE regexp_matches(core, '[()]')",
+        "q_unmatched_families": base + "SELECT DISTINCT R.src_row_idx, R.core, h.core AS past_core FROM R JOIN H h ON h.school = R.school WHERE R.core <> '' AND h.core <> '' AND (R.core || '类' = h.core OR h.core || '类' = R.core)",
         "q_sample": base + "SELECT src_row_idx, school, major FROM P ORDER BY md5('20260623:' || src_row_idx), src_row_idx LIMIT 30",
         "q_viewer_grep": "SELECT coalesce(new_school, '') || chr(9) || coalesce(old_school, '') || chr(9) || coalesce(remark, '') AS line FROM rename_rows WHERE contains(coalesce(new_school, '') || chr(9) || coalesce(old_school, '') || chr(9) || coalesce(remark, ''), '学院')",
     }

@@ -401,3 +401,13 @@ def test_numbered_lines_in_blocks(spark, tmp_path):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
         spark.conf.unset("spark.sql.files.openCostInBytes")
         assert sorted(got) == sorted(want)
+
+
+def test_extra_checks(spark):
+    from quern.operators import audit
+
+    rows = spark.createDataFrame([(1, "甲", "数学"), (2, "甲", "数学(乙"), (3, None, "化学)"), (4, "丙", ""), (5, "丁", None)], "src_row_idx int, school string, core string")
+    assert {r["src_row_idx"] for r in audit.residual_brackets(rows).collect()} == {2, 3}
+    past = spark.createDataFrame([("甲", "数学类"), ("甲", "数学类"), ("乙", "数学类"), ("甲", "数学"), ("丙", "类"), (None, "化学)类")], "school string, core string")
+    assert [tuple(r) for r in audit.unmatched_families(rows, past).collect()] == [(1, "数学", "数学类")]
+    assert {r["src_row_idx"] for r in audit.uncovered(rows, past, ["school", "core"]).collect()} == {2, 3, 4, 5}
