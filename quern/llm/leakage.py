@@ -40,6 +40,8 @@ BLOOM_BITS, BLOOM_LEAST, BLOOM_MOST, BLOOM_PROBES = 64, 18, 29, 4
 #: Hashes of the texts of candidate pairs are broadcast up to this many (1.6 MB),
 #: beyond it a filter of them goes ahead of a shuffled join.
 HASHES_SENT = 100_000
+#: Characters that a task works on at once; a longer text is taken in pieces.
+PIECE = 2_000_000
 #: Most diagonals on either side of a seed that an alignment may reach.
 REACH = 4000
 #: Half the width of the first, narrow alignment.
@@ -103,6 +105,8 @@ def fold_batch(texts: list[str]) -> np.ndarray:
 
 def fold_texts(texts: list[str]) -> list[str]:
     """``fold_text`` of every text."""
+    if len(texts) == 1 and len(texts[0]) > PIECE:
+        return ["".join(fold_texts([texts[0][a : a + PIECE]])[0] for a in range(0, len(texts[0]), PIECE))]
     return decode(fold_batch(texts)).split("\x01") if texts else []
 
 
@@ -280,10 +284,11 @@ def _codes(s: str) -> np.ndarray:
     return np.frombuffer(s.encode("utf-32-le", "surrogatepass"), np.uint32)
 
 
-def _slices(texts: list[str], limit: int = 2_000_000) -> Iterator[tuple[int, int]]:
+def _slices(texts: list[str]) -> Iterator[tuple[int, int]]:
+    """Index ranges whose texts have about PIECE characters together."""
     a = n = 0
     for i, t in enumerate(texts):
-        if n and n + len(t) > limit:
+        if n and n + len(t) > PIECE:
             yield a, i
             a, n = i, 0
         n += len(t)
@@ -345,6 +350,41 @@ def item_grams(kinds: DataFrame) -> DataFrame:
     return kinds.select("i", "s").mapInPandas(cut, "h long, i long, p int, stretch int, size int")
 
 
+Filters = dict[int, tuple[np.ndarray, int]]
+
+
+def found_places(codes: np.ndarray, maps: Filters, behind: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, places) of the n-grams that pass their size's filter and don't
+    end within the first ``behind`` characters."""
+    hs, at = [], []
+    for size, (m, bits) in maps.items():
+        if size:
+            h = length_hashes(codes, size)
+            ends = np.arange(len(h)) + size
+        else:
+            h, ends = gram_hashes(codes)
+        h = h.view(np.int64)
+        found = _passes(h, m, bits)
+        found = found[ends[found] > behind]
+        hs.append(h[found])
+        at.append(found)
+    return np.concatenate(hs), np.concatenate(at)
+
+
+def long_text_places(text: str, maps: Filters) -> tuple[np.ndarray, np.ndarray]:
+    """``found_places`` of a text taken in pieces that share an n-gram's length."""
+    hs, at, done, kept = [], [], 0, np.zeros(0, np.uint32)
+    for a in range(0, len(text), PIECE):
+        codes = np.concatenate((kept, fold_batch([text[a : a + PIECE]])))
+        h, places = found_places(codes, maps, len(kept))
+        hs.append(h)
+        at.append(places + done)
+        done += len(codes)
+        kept = codes[-(WEIGHT - 1) :]
+        done -= len(kept)
+    return np.concatenate(hs), np.concatenate(at)
+
+
 def corpus_places(docs: DataFrame, doc_id: str, text: str, filters: dict[int, tuple[bytes, int]]) -> DataFrame:
     """(doc_id, t1, t2, hs, at): of every document with any, the n-grams that
     pass the filter, and where. ``filters`` has one for each size of n-gram."""
@@ -357,15 +397,12 @@ def corpus_places(docs: DataFrame, doc_id: str, text: str, filters: dict[int, tu
         for pdf in batches:
             texts = pdf[text].tolist()
             for lo, hi in _slices(texts):
-                codes = fold_batch(texts[lo:hi])
-                begins = np.concatenate(([0], np.flatnonzero(codes == 1) + 1))
-                hs, at = [], []
-                for size, (m, bits) in maps.items():
-                    h = (length_hashes(codes, size) if size else gram_hashes(codes)[0]).view(np.int64)
-                    found = _passes(h, m, bits)
-                    hs.append(h[found])
-                    at.append(found)
-                h, places = np.concatenate(hs), np.concatenate(at)
+                if hi - lo == 1 and len(texts[lo]) > PIECE:
+                    (h, places), begins = long_text_places(texts[lo], maps), np.zeros(1, np.int64)
+                else:
+                    codes = fold_batch(texts[lo:hi])
+                    begins = np.concatenate(([0], np.flatnonzero(codes == 1) + 1))
+                    h, places = found_places(codes, maps)
                 doc = np.searchsorted(begins, places, "right") - 1
                 order = np.argsort(doc, kind="stable")
                 h, places, doc = h[order], places[order], doc[order]

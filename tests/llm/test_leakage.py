@@ -78,6 +78,20 @@ def test_runs(spark, monkeypatch, hashes):
     assert sum(r["doc_id"] == 903 and r["item_id"] == 0 for r in out) == 4  # two rows by two rows
 
 
+def test_pieces(monkeypatch):
+    """A long text taken in pieces gives the places of the whole."""
+    rnd = random.Random(9)
+    text = "".join(rnd.choices("甲乙丙丁abc12，ＡＢﬁ é", k=3000))
+    codes = leakage.fold_batch([text])
+    everything = {size: (np.full(1 << 15, 255, np.uint8), 18) for size in (0, 1, 5, 15)}
+    h, at = leakage.found_places(codes, everything)
+    for piece in (7, 100, 2999, 3000):
+        monkeypatch.setattr(leakage, "PIECE", piece)
+        h2, at2 = leakage.long_text_places(text, everything)
+        assert sorted(zip(h.tolist(), at.tolist())) == sorted(zip(h2.tolist(), at2.tolist()))
+        assert leakage.fold_texts([text]) == [leakage.fold_text(text)]
+
+
 def test_edges(spark):
     d = spark.createDataFrame([], DOC)
     e = spark.createDataFrame([(1, "x" * 60)], ITEM)
